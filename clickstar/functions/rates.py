@@ -11,7 +11,8 @@ def ratio(top: Column, bottom: Column) -> Column:
 
 
 def percent(top: Column, bottom: Column) -> Column:
-    return ratio(top, bottom) * F.lit(100.0)
+    """One division, so that an exact half is still one when it is rounded."""
+    return ratio(top * F.lit(100), bottom)
 
 
 def rounded_sum(value: Column, digits: int = 4) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickstar import fixed_values as V
-from clickstar.functions.rates import ratio, scaled
+from clickstar.functions.rates import percent, ratio, scaled
 from clickstar.operators.quality import rows, status
 
 
@@ -107,11 +107,11 @@ def volume_changes(flat: DataFrame) -> DataFrame:
     before = today.select(F.date_add("date", 1).alias("date"),
                           F.col("events_count").alias("previous_count"))
     both = today.join(before, "date", "left")
-    change = ratio(F.col("events_count") - F.col("previous_count"), F.col("previous_count"))
-    return both.withColumn("change", change).select(
+    gained = F.col("events_count") - F.col("previous_count")
+    return both.withColumn("change", percent(gained, F.col("previous_count"))).select(
         F.lit("volume_drop").alias("alert_type"), F.col("date").alias("check_date"),
-        F.when(F.col("change") < V.VOLUME_DROP, "FAIL").otherwise("PASS").alias("status"),
-        "events_count", "previous_count", F.round(F.col("change") * 100, 2).alias("pct_change"))
+        F.when(F.col("change") < V.VOLUME_DROP * 100, "FAIL").otherwise("PASS").alias("status"),
+        "events_count", "previous_count", F.round("change", 2).alias("pct_change"))
 
 
 def volume_drop(flat: DataFrame, day: dt.date, first: dt.date) -> DataFrame:
@@ -203,7 +203,7 @@ def conversion_by_channel(facts: DataFrame, channels: DataFrame, first: dt.date)
             .agg(n.alias("sessions"), conv.alias("conversions"),
                  F.round(F.sum("total_conversion_value"), 4).alias("total_conversion_value"))
             .withColumn("conversion_rate", F.round(
-                ratio(F.col("conversions"), F.col("sessions")) * 100, 2))
+                percent(F.col("conversions"), F.col("sessions")), 2))
             .orderBy(F.desc("sessions")))
 
 

@@ -32,15 +32,17 @@ N = "count(*) AS sessions"
 CONV = "CAST(sum(conversions) AS BIGINT) AS conversions"
 LEADS = "CAST(sum(leads) AS BIGINT) AS leads"
 ENGAGED = "CAST(sum(engaged_sessions) AS BIGINT) AS engaged_sessions"
-RATE = "round(sum(conversions) * 100.0 / count(*), 2) AS conversion_rate"
+RATE = "R2<sum(conversions) * 100.0 / count(*)>R2 AS conversion_rate"
 VALUE = "round(sum(total_conversion_value), 4) AS total_conversion_value"
 
 
 def add(name: str, query: Query, sql: str | None = None) -> None:
+    """Registers a query. ``R2<x>R2`` in its SQL rounds x to 2 places, halves upwards."""
     assert name not in QUERIES, name
     QUERIES[name] = query
     if sql is not None:
-        SQL[name] = O.with_ctes(sql)
+        sql = sql.replace("R2<", "CAST(round(CAST(")
+        SQL[name] = O.with_ctes(sql.replace(">R2", " AS DECIMAL(38, 9)), 2) AS DOUBLE)"))
 
 
 def day(w: Warehouse) -> dt.date:
@@ -472,7 +474,7 @@ add("mart_conversions_conformed", lambda w: w.mart_conversions(), "SELECT * FROM
 CHANGES_SQL = """SELECT 'volume_drop' AS alert_type, a.date AS check_date,
       if(coalesce((a.events_count - b.events_count) / b.events_count < -0.2, false),
          'FAIL', 'PASS') AS status, a.events_count, b.events_count AS previous_count,
-      round((a.events_count - b.events_count) / b.events_count * 100, 2) AS pct_change
+      R2<(a.events_count - b.events_count) / b.events_count * 100>R2 AS pct_change
       FROM vol AS a LEFT JOIN vol AS b ON a.date = b.date + 1"""
 add("self_join_prev_day", lambda w: monitor.volume_changes(w.flat), CHANGES_SQL)
 for _dim, _column in quality.REFERENCES.items():
@@ -555,10 +557,10 @@ KPIS = f"""{N}, {CONV}, {RATE},
 add("kpi_overview", lambda w: metrics.kpi_overview(w.mart_sessions()),
     f"SELECT {KPIS} FROM mart")
 add("channel_rates", lambda w: metrics.rates(w.mart_sessions(), "channel_group"),
-    f"""SELECT channel_group, {RATE}, round(sum(leads) * 100.0 / count(*), 2) AS lead_rate,
-      round(sum(engaged_sessions) * 100.0 / count(*), 2) AS engaged_rate,
+    f"""SELECT channel_group, {RATE}, R2<sum(leads) * 100.0 / count(*)>R2 AS lead_rate,
+      R2<sum(engaged_sessions) * 100.0 / count(*)>R2 AS engaged_rate,
       round(round(sum(total_conversion_value), 4) / count(*), 4) AS revenue_per_session,
-      round(100 - sum(engaged_sessions) * 100.0 / count(*), 2) AS bounce_rate,
+      R2<100 - sum(engaged_sessions) * 100.0 / count(*)>R2 AS bounce_rate,
       round(avg(session_duration_seconds) / 60, 4) AS avg_duration_min FROM mart GROUP BY 1""")
 add("sessions_by_date", lambda w: metrics.sessions_by_date(month(w)),
     f"SELECT session_date, {N}, {CONV} FROM {MONTH} GROUP BY 1")
@@ -567,8 +569,8 @@ add("sessions_by_channel", lambda w: metrics.sessions_by_channel(month(w)),
 add("sessions_by_device", lambda w: metrics.sessions_by_device(w.mart_sessions()),
     f"SELECT device_category, {N}, {CONV}, {RATE} FROM mart GROUP BY 1")
 _MOBILE = " ".join(f"""count(*) FILTER (device_category = '{k}') AS {k}_sessions,
-      round(sum(conversions) FILTER (device_category = '{k}') * 100.0
-        / nullif(count(*) FILTER (device_category = '{k}'), 0), 2) AS {k}_conversion_rate,"""
+      R2<sum(conversions) FILTER (device_category = '{k}') * 100.0
+        / nullif(count(*) FILTER (device_category = '{k}'), 0)>R2 AS {k}_conversion_rate,"""
                    for k in ("mobile", "desktop")).rstrip(",")
 add("mobile_vs_desktop", lambda w: metrics.mobile_vs_desktop(w.mart_sessions()),
     f"SELECT {_MOBILE} FROM mart")
@@ -586,9 +588,9 @@ add("channel_comparison", lambda w: metrics.channel_comparison(w.mart_sessions()
 add("channel_funnel", lambda w: metrics.channel_funnel(w.mart_sessions()),
     """SELECT channel_group, CAST(1 AS BIGINT) AS step, 'sessions' AS step_name,
       sessions AS value, 100.0::DOUBLE AS step_rate FROM x UNION ALL SELECT channel_group, 2,
-      'engaged_sessions', engaged_sessions, round(engaged_sessions * 100.0 / sessions, 2) FROM x
+      'engaged_sessions', engaged_sessions, R2<engaged_sessions * 100.0 / sessions>R2 FROM x
       UNION ALL SELECT channel_group, 3, 'conversions', conversions,
-      round(conversions * 100.0 / nullif(engaged_sessions, 0), 2) FROM x""".replace(
+      R2<conversions * 100.0 / nullif(engaged_sessions, 0)>R2 FROM x""".replace(
         "FROM x", f"FROM (SELECT channel_group, {N}, {ENGAGED}, {CONV} FROM mart GROUP BY 1)"))
 add("campaign_performance", lambda w: metrics.campaign_performance(w.mart_sessions()),
     f"""SELECT utm_campaign, utm_source, utm_medium, {N}, {CONV}, {RATE}, {VALUE}
@@ -745,17 +747,17 @@ add("run_assertions", lambda w: w.quality_log(), "SELECT * FROM dq_history")
 
 # --- audit, alerts, trends ---------------------------------------------------------------------
 
-GBS = "round(sum(bytes_processed) / 1e9, 2) AS total_gb_processed"
+GBS = "R2<sum(bytes_processed) / 1e9>R2 AS total_gb_processed"
 add("vw_recent_runs", lambda w: monitor.recent_runs(w.run_log, back(w, 7)),
     f"""SELECT run_id, run_date, dag_id, task_id, status, rows_processed,
-      round(bytes_processed / 1e9, 2) AS bytes_processed_gb, duration_seconds, error_message,
+      R2<bytes_processed / 1e9>R2 AS bytes_processed_gb, duration_seconds, error_message,
       run_timestamp FROM rlog WHERE run_date >= {O.back(7)}""")
 add("vw_daily_summary", lambda w: monitor.runs_by_day(w.run_log, back(w, 30)),
     f"""SELECT run_date, dag_id, count(*) AS total_runs,
       count(*) FILTER (status = 'success') AS successful_runs,
       count(*) FILTER (status = 'failed') AS failed_runs,
       CAST(sum(rows_processed) AS BIGINT) AS total_rows_processed,
-      round(sum(bytes_processed) / 1e12, 2) AS total_bytes_processed_tb,
+      R2<sum(bytes_processed) / 1e12>R2 AS total_bytes_processed_tb,
       round(avg(duration_seconds), 4) AS avg_duration_seconds FROM rlog
       WHERE run_date >= {O.back(30)} GROUP BY 1, 2""")
 add("daily_summary", lambda w: monitor.daily_summary(
@@ -784,7 +786,7 @@ add("alert_dag_failure", lambda w: monitor.failed_jobs(w.run_log, day(w)),
 add("dag_failures_all_days", lambda w: monitor.failed_jobs(w.run_log),
     f"{FAILED_SQL} GROUP BY run_date, dag_id")
 COST_SQL = """SELECT 'high_query_cost' AS alert_type, CAST(creation_time AS DATE) AS query_date,
-      count(*) AS high_cost_queries, round(sum(total_bytes_billed) / 1e12, 2) AS total_tb_billed
+      count(*) AS high_cost_queries, R2<sum(total_bytes_billed) / 1e12>R2 AS total_tb_billed
       FROM qlog WHERE total_bytes_billed > 1e12 AND creation_time >= {}
       GROUP BY 2 HAVING total_tb_billed > 5"""
 add("alert_high_query_cost", lambda w: monitor.high_query_cost(w.query_log, back(w, 30)),
@@ -792,7 +794,7 @@ add("alert_high_query_cost", lambda w: monitor.high_query_cost(w.query_log, back
 BIG = "total_logical_bytes / 1e9"
 add("alert_large_partition", lambda w: monitor.large_partitions(w.partition_stats(100000)),
     f"""SELECT 'large_partition' AS alert_type, table_name, partition_id,
-      round({BIG}, 2) AS size_gb, total_rows, 'WARNING' AS status FROM big_pstats
+      R2<{BIG}>R2 AS size_gb, total_rows, 'WARNING' AS status FROM big_pstats
       WHERE {BIG} > 2""")
 add("runs_by_task", lambda w: monitor.runs_by_task(w.run_log, back(w, 7)),
     f"""SELECT dag_id, task_id, status, count(*) AS execution_count,
@@ -803,21 +805,21 @@ add("volume_trend", lambda w: monitor.volume_trend(w.flat, back(w, 30)),
     f"""SELECT event_date_partition AS date, count(*) AS events_count,
       count(DISTINCT session_id) AS unique_sessions,
       count(DISTINCT user_pseudo_id) AS unique_users,
-      round(count(*) / nullif(count(DISTINCT session_id), 0), 2) AS avg_events_per_session
+      R2<count(*) / nullif(count(DISTINCT session_id), 0)>R2 AS avg_events_per_session
       FROM flat WHERE event_date_partition >= {O.back(30)} GROUP BY 1""")
 add("query_performance", lambda w: monitor.query_performance(w.query_log, back(w, 7)),
     f"""SELECT CAST(creation_time AS DATE) AS query_date, count(*) AS total_queries,
       count(*) FILTER (total_bytes_billed > 1e9) AS large_queries,
-      round(avg(total_bytes_billed) / 1e9, 2) AS avg_gb_billed,
-      round(sum(total_bytes_billed) / 1e12, 2) AS total_tb_billed,
-      round(avg(total_slot_ms) / 1000, 2) AS avg_slot_seconds FROM qlog
+      R2<avg(total_bytes_billed) / 1e9>R2 AS avg_gb_billed,
+      R2<sum(total_bytes_billed) / 1e12>R2 AS total_tb_billed,
+      R2<avg(total_slot_ms) / 1000>R2 AS avg_slot_seconds FROM qlog
       WHERE statement_type = 'SELECT' AND creation_time >= {O.back(7)} GROUP BY 1""")
 add("conversion_by_channel", lambda w: monitor.conversion_by_channel(
     w.table("fact_sessions"), w.dim("dim_channel", True), back(w, 30)),
     f"""SELECT channel_group, channel_type, count(DISTINCT session_id) AS sessions,
       count(*) FILTER (has_conversion) AS conversions,
       round(sum(total_conversion_value), 4) AS total_conversion_value,
-      round(count(*) FILTER (has_conversion) / nullif(count(DISTINCT session_id), 0) * 100, 2)
+      R2<count(*) FILTER (has_conversion) / nullif(count(DISTINCT session_id), 0) * 100>R2
         AS conversion_rate
       FROM g_sessions LEFT JOIN c_channel USING (channel_key)
       WHERE session_date >= {O.back(30)} GROUP BY 1, 2""")
@@ -840,12 +842,12 @@ add("partition_file_sizes", lambda w: monitor.file_stats(
     flat_table(w), "stg_events_flat", "event_date_partition"))
 add("partition_report", lambda w: monitor.partition_report(
     w.partition_stats(100000), back(w, 7)),
-    f"""SELECT table_name, partition_id, total_rows, round({BIG}, 2) AS size_gb,
-      round(total_logical_bytes / 1e12, 2) AS size_tb FROM big_pstats
+    f"""SELECT table_name, partition_id, total_rows, R2<{BIG}>R2 AS size_gb,
+      R2<total_logical_bytes / 1e12>R2 AS size_tb FROM big_pstats
       WHERE partition_id >= '{O.P.days_back(7)}'""")
 add("partition_size_recommendation", lambda w: monitor.size_recommendation(
     w.partition_stats(100000)),
-    f"""SELECT table_name, partition_id, round({BIG}, 2) AS size_gb, total_rows,
+    f"""SELECT table_name, partition_id, R2<{BIG}>R2 AS size_gb, total_rows,
       CASE WHEN {BIG} < 0.5 THEN '{V.PARTITION_TOO_SMALL}'
       WHEN {BIG} > 2 THEN '{V.PARTITION_TOO_LARGE}' ELSE '{V.PARTITION_OPTIMAL}' END
       AS recommendation FROM big_pstats ORDER BY table_name, partition_id DESC LIMIT 20""")
@@ -853,7 +855,7 @@ add("partition_usage", lambda w: monitor.partition_usage(w.partition_stats(10000
     """SELECT table_name, count(DISTINCT partition_id) AS num_partitions,
       min(partition_id) AS oldest_partition, max(partition_id) AS newest_partition,
       CAST(sum(total_rows) AS BIGINT) AS total_rows,
-      round(sum(total_logical_bytes) / 1e12, 2) AS total_size_tb FROM big_pstats GROUP BY 1""")
+      R2<sum(total_logical_bytes) / 1e12>R2 AS total_size_tb FROM big_pstats GROUP BY 1""")
 LARGE_SQL = f"""FROM qlog WHERE creation_time >= {O.back(7)} AND statement_type = 'SELECT'"""
 TOP_READ = "ORDER BY total_bytes_processed DESC, job_id LIMIT 10"
 add("expensive_queries", lambda w: monitor.expensive_queries(w.query_log, back(w, 7)),

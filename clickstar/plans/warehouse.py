@@ -9,6 +9,7 @@ read once stays a lazy plan.
 from __future__ import annotations
 
 import hashlib
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,24 +33,24 @@ class Warehouse:
 
     # --- sources ---------------------------------------------------------------------
 
-    @property
+    @cached_property
     def events(self) -> DataFrame:
         return adapter.read_events(self.spark, self.sf_dir)
 
-    @property
+    @cached_property
     def run_log(self) -> DataFrame:
         return adapter.run_log(self.events)
 
-    @property
+    @cached_property
     def query_log(self) -> DataFrame:
         return adapter.query_log(self.events)
 
-    @property
+    @cached_property
     def raw(self) -> DataFrame:
         """The export as a projection of the events, for plans that read it once."""
         return raw.with_suffix(adapter.raw_export(self.events))
 
-    @property
+    @cached_property
     def flat(self) -> DataFrame:
         """Flat events as a plan; ``table('stg_events_flat')`` is the written form."""
         return stage.flatten(self.raw)

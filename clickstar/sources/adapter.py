@@ -2,15 +2,13 @@
 
 The supplied tables hold no nested export, run log or query log, so each is
 derived row by row from ``events``: a projection, no shuffle. Every value follows
-from event id, user id, time, type, value and the integer in ``props``.
+from event id ``e``, user id ``u``, time, type, value ``v`` and the integer ``k``
+in ``props``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-HALF_DAY_MICROS = 43_200_000_000
+from pyspark.sql import DataFrame
 
 EVENTS_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                  "value double, props string")
@@ -20,131 +18,113 @@ def read_events(spark, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
-def _pick(index: Column, *values: str | None) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]).cast("array<string>"), index.cast("int"))
-
-
 def _base(events: DataFrame) -> DataFrame:
-    ts = F.col("ts").cast("timestamp")
-    return events.select(
-        F.col("event_id").alias("e"), F.col("user_id").alias("u"), ts.alias("at"),
-        F.unix_micros(ts).alias("us"), F.col("event_type").alias("kind"),
-        F.col("value").alias("v"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"))
-
-
-def _param(key: str, value: Column, kind: str, present: Column) -> Column:
-    def slot(name: str, type_: str) -> Column:
-        return (value if kind == name else F.lit(None)).cast(type_).alias(name)
-
-    entry = F.struct(F.lit(key).alias("key"),
-                     F.struct(slot("string_value", "string"), slot("int_value", "bigint"),
-                              slot("float_value", "double"),
-                              slot("double_value", "double")).alias("value"))
-    return F.when(present, entry)
+    return events.selectExpr(
+        "event_id AS e", "user_id AS u", "CAST(ts AS TIMESTAMP) AS at",
+        "unix_micros(CAST(ts AS TIMESTAMP)) AS us", "event_type AS kind", "value AS v",
+        "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
+
+
+def _pick(index: str, *values: str) -> str:
+    """The list entry at ``index``, NULL past its end."""
+    names = ", ".join(f"'{v}'" for v in values)
+    return f"get(array({names}), CAST({index} AS INT))"
+
+
+EVENT_NAME = """CASE kind
+    WHEN 'view' THEN if(e % 3 = 0, 'scroll', 'page_view')
+    WHEN 'click' THEN CASE e % 4 WHEN 0 THEN 'file_download' WHEN 1 THEN 'search'
+        ELSE 'click' END
+    WHEN 'purchase' THEN CASE e % 5 WHEN 0 THEN 'add_to_cart' WHEN 1 THEN 'conversion'
+        ELSE 'purchase' END
+    WHEN 'signup' THEN CASE e % 3 WHEN 0 THEN 'generate_lead' WHEN 1 THEN 'form_submit'
+        ELSE 'contact' END
+    ELSE 'exception' END"""
+
+_SITE = _pick("k % 3", "www.a.com", "shop.a.com", "b.org")
+_SOURCE = _pick("k % 6", "google", "bing", "facebook", "newsletter", "partner", "twitter")
+_MEDIUM = _pick("k % 7", "cpc", "organic", "social", "email", "referral", "display")
+
+# (key, field that holds the value, value, condition under which it is present)
+_PARAMS = [
+    ("ga_session_id", "int_value", "us div 43200000000 * 43200", "e % 97 <> 0"),
+    ("page_location", "string_value",
+     f"if(e % 13 = 0, 'app://home', concat('https://', {_SITE}, '/p', k % 20))", "e % 11 <> 0"),
+    ("page_title", "string_value", "concat('Page ', k % 20)", "true"),
+    ("page_referrer", "string_value", "'https://ref.example/'", "k % 5 = 0"),
+    ("utm_source", "string_value", _SOURCE, "k < 60"),
+    ("utm_medium", "string_value", _MEDIUM, "k < 60 AND k % 7 <> 6"),
+    ("utm_campaign", "string_value", "concat('c', k % 5)", "k < 60 AND k % 10 <> 0"),
+    ("utm_term", "string_value", "concat('t', k % 2)", "k < 60 AND k % 3 = 0"),
+    ("utm_content", "string_value", "'banner'", "k < 60 AND k % 4 = 0"),
+    ("lead_id", "string_value", "concat('L', e)",
+     "event_name IN ('generate_lead', 'form_submit', 'contact')"),
+    ("conversion_value", "string_value", "CAST(v AS STRING)", "kind = 'purchase'"),
+    ("session_engaged", "int_value", "e % 2", "true"),
+]
+
+
+def _param(key: str, field: str, value: str, present: str) -> str:
+    fields = {"string_value": "STRING", "int_value": "BIGINT", "float_value": "DOUBLE",
+              "double_value": "DOUBLE"}
+    slots = ", ".join(f"'{name}', CAST({value if name == field else 'NULL'} AS {kind})"
+                      for name, kind in fields.items())
+    entry = f"named_struct('key', '{key}', 'value', named_struct({slots}))"
+    return f"if({present}, array({entry}), array())"
 
 
 def raw_export(events: DataFrame) -> DataFrame:
     """The nested export: one row per event, keyed parameters in an array."""
-    base = _base(events)
-    e, u, k, us = (F.col(c) for c in ("e", "u", "k", "us"))
-    name = (
-        F.when(F.col("kind") == "view", F.when(e % 3 == 0, "scroll").otherwise("page_view"))
-        .when(F.col("kind") == "click", F.when(e % 4 == 0, "file_download")
-              .when(e % 4 == 1, "search").otherwise("click"))
-        .when(F.col("kind") == "purchase", F.when(e % 5 == 0, "add_to_cart")
-              .when(e % 5 == 1, "conversion").otherwise("purchase"))
-        .when(F.col("kind") == "signup", F.when(e % 3 == 0, "generate_lead")
-              .when(e % 3 == 1, "form_submit").otherwise("contact"))
-        .otherwise("exception"))
-    base = base.withColumn("event_name", name)
-    always, tagged = F.lit(True), k < 60
-    page = k % 20
-    location = F.when(e % 13 == 0, F.lit("app://home")).otherwise(
-        F.concat(F.lit("https://"), _pick(k % 3, "www.a.com", "shop.a.com", "b.org"),
-                 F.lit("/p"), page.cast("string")))
-    text, whole = "string_value", "int_value"
-    params = F.array_compact(F.array(
-        _param("ga_session_id", F.expr(f"us div {HALF_DAY_MICROS}") * 43200, whole, e % 97 != 0),
-        _param("page_location", location, text, e % 11 != 0),
-        _param("page_title", F.concat(F.lit("Page "), page.cast("string")), text, always),
-        _param("page_referrer", F.lit("https://ref.example/"), text, k % 5 == 0),
-        _param("utm_source", _pick(k % 6, "google", "bing", "facebook", "newsletter", "partner",
-                                   "twitter"), text, tagged),
-        _param("utm_medium", _pick(k % 7, "cpc", "organic", "social", "email", "referral",
-                                   "display"), text, tagged & (k % 7 != 6)),
-        _param("utm_campaign", F.concat(F.lit("c"), (k % 5).cast("string")), text,
-               tagged & (k % 10 != 0)),
-        _param("utm_term", F.concat(F.lit("t"), (k % 2).cast("string")), text,
-               tagged & (k % 3 == 0)),
-        _param("utm_content", F.lit("banner"), text, tagged & (k % 4 == 0)),
-        _param("lead_id", F.concat(F.lit("L"), e.cast("string")), text,
-               F.col("event_name").isin("generate_lead", "form_submit", "contact")),
-        _param("conversion_value", F.col("v").cast("string"), text, F.col("kind") == "purchase"),
-        _param("session_engaged", e % 2, whole, always)))
-    bought = F.col("event_name") == "purchase"
-    return base.select(
-        us.alias("event_timestamp"), "event_name",
-        F.concat(F.lit("u"), u.cast("string")).alias("user_pseudo_id"),
-        F.when(u % 3 == 0, F.concat(F.lit("c"), u.cast("string"))).alias("user_id"),
-        e.alias("src_event_id"),
-        params.alias("event_params"),
-        F.struct(
-            _pick(u % 5, "desktop", "mobile", "tablet", "smart tv", None).alias("category"),
-            _pick(e % 3, "Apple", "Samsung", None).alias("mobile_brand_name"),
-            _pick(e % 3, "m1", "m2", None).alias("mobile_model_name"),
-            _pick(u % 4, "Windows", "Android", "iOS", None).alias("operating_system"),
-            _pick(e % 2, "10", "11").alias("operating_system_version")).alias("device"),
-        F.struct(
-            _pick(u % 10, "United States", "Canada", "Brazil", "Argentina", "Spain", "France",
-                  "Japan", "India", "Kenya", None).alias("country"),
-            F.concat(F.lit("r"), (u % 3).cast("string")).alias("region"),
-            _pick(u % 3, "A", "B", None).alias("city"),
-            _pick(u % 10, "Americas", "Americas", "Americas", "Americas", "Europe", "Europe",
-                  "Asia", "Asia", "Africa", None).alias("continent")).alias("geo"),
-        F.struct(
-            _pick(u % 4, "(organic)", "(direct)", "brand", None).alias("name"),
-            _pick(u % 4, "organic", "(none)", "cpc", None).alias("medium"),
-            _pick(u % 4, "google", "(direct)", "bing", None).alias("source"),
-        ).alias("traffic_source"),
-        F.struct(
-            F.when(bought, k % 4 + 1).alias("total_item_quantity"),
-            F.when(bought, F.col("v")).alias("purchase_revenue"),
-            F.when(bought, F.lit("USD")).alias("purchase_revenue_currency"),
-        ).alias("ecommerce"),
-        F.date_format("at", "yyyyMMdd").alias("event_date"))
+    params = ", ".join(_param(*p) for p in _PARAMS)
+    bought = "event_name = 'purchase'"
+    return _base(events).selectExpr("*", f"{EVENT_NAME} AS event_name").selectExpr(
+        "us AS event_timestamp", "event_name", "concat('u', u) AS user_pseudo_id",
+        "if(u % 3 = 0, concat('c', u), NULL) AS user_id", "e AS src_event_id",
+        f"flatten(array({params})) AS event_params",
+        f"""named_struct(
+            'category', {_pick("u % 5", "desktop", "mobile", "tablet", "smart tv")},
+            'mobile_brand_name', {_pick("e % 3", "Apple", "Samsung")},
+            'mobile_model_name', {_pick("e % 3", "m1", "m2")},
+            'operating_system', {_pick("u % 4", "Windows", "Android", "iOS")},
+            'operating_system_version', {_pick("e % 2", "10", "11")}) AS device""",
+        f"""named_struct(
+            'country', {_pick("u % 10", "United States", "Canada", "Brazil", "Argentina",
+                              "Spain", "France", "Japan", "India", "Kenya")},
+            'region', concat('r', u % 3), 'city', {_pick("u % 3", "A", "B")},
+            'continent', {_pick("u % 10", "Americas", "Americas", "Americas", "Americas",
+                                "Europe", "Europe", "Asia", "Asia", "Africa")}) AS geo""",
+        f"""named_struct(
+            'name', {_pick("u % 4", "(organic)", "(direct)", "brand")},
+            'medium', {_pick("u % 4", "organic", "(none)", "cpc")},
+            'source', {_pick("u % 4", "google", "(direct)", "bing")}) AS traffic_source""",
+        f"""named_struct(
+            'total_item_quantity', if({bought}, k % 4 + 1, NULL),
+            'purchase_revenue', if({bought}, v, NULL),
+            'purchase_revenue_currency', if({bought}, 'USD', NULL)) AS ecommerce""",
+        "date_format(at, 'yyyyMMdd') AS event_date")
 
 
 def run_log(events: DataFrame) -> DataFrame:
     """One audit row per event, in the shape of ``etl_run_log``."""
-    base = _base(events)
-    e, failed = F.col("e"), F.col("kind") == "error"
-    return base.select(
-        F.concat(F.lit("r"), e.cast("string")).alias("run_id"),
-        F.to_date("at").alias("run_date"),
-        _pick(e % 3, "daily_load", "data_quality_checks", "audit_monitoring").alias("dag_id"),
-        F.concat(F.lit("t"), (e % 7).cast("string")).alias("task_id"),
-        F.when(failed, "failed").when(F.col("kind") == "signup", "running")
-        .otherwise("success").alias("status"),
-        (e % 1000).alias("rows_processed"),
-        (F.round(F.col("v") * 100).cast("bigint") * 1_000_000).alias("bytes_processed"),
-        F.col("u").alias("duration_seconds"),
-        F.when(failed, F.concat(F.lit("E"), (F.col("k") % 5).cast("string")))
-        .alias("error_message"),
-        F.col("at").alias("run_timestamp"))
+    job = _pick("e % 3", "daily_load", "data_quality_checks", "audit_monitoring")
+    return _base(events).selectExpr(
+        "concat('r', e) AS run_id", "CAST(at AS DATE) AS run_date", f"{job} AS dag_id",
+        "concat('t', e % 7) AS task_id",
+        "CASE kind WHEN 'error' THEN 'failed' WHEN 'signup' THEN 'running' "
+        "ELSE 'success' END AS status",
+        "e % 1000 AS rows_processed",
+        "CAST(round(v * 100) AS BIGINT) * 1000000 AS bytes_processed",
+        "u AS duration_seconds", "if(kind = 'error', concat('E', k % 5), NULL) AS error_message",
+        "at AS run_timestamp")
 
 
 def query_log(events: DataFrame) -> DataFrame:
     """One query per event: when it ran, what it read and what it was billed."""
-    billed = F.round(F.col("v") * 100).cast("bigint") * 45_000_000
-    base = _base(events).withColumn("total_bytes_billed", billed)
-    e = F.col("e")
-    return base.select(
-        F.concat(F.lit("j"), e.cast("string")).alias("job_id"),
-        F.col("at").alias("creation_time"),
-        F.when(F.col("kind") == "signup", "INSERT").otherwise("SELECT").alias("statement_type"),
-        F.expr("total_bytes_billed * (e % 10 + 1) div 10").alias("total_bytes_processed"),
-        "total_bytes_billed",
-        (e * 10).alias("total_slot_ms"),
-        F.concat(F.lit("SELECT * FROM stg_events_flat WHERE event_date_partition = '"),
-                 F.date_format("at", "yyyy-MM-dd"), F.lit("'")).alias("query"))
+    billed = "CAST(round(v * 100) AS BIGINT) * 45000000"
+    return _base(events).selectExpr(
+        "concat('j', e) AS job_id", "at AS creation_time",
+        "if(kind = 'signup', 'INSERT', 'SELECT') AS statement_type",
+        f"{billed} * (e % 10 + 1) div 10 AS total_bytes_processed",
+        f"{billed} AS total_bytes_billed", "e * 10 AS total_slot_ms",
+        "concat('SELECT * FROM stg_events_flat WHERE event_date_partition = ''', "
+        "date_format(at, 'yyyy-MM-dd'), '''') AS query")
