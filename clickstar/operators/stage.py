@@ -7,7 +7,7 @@ large share of all rows reaches the shuffle as one row per input task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickstar import fixed_values as V
@@ -212,10 +212,38 @@ def session_bounds(flat: DataFrame, time_col: str = "day") -> DataFrame:
                 "SECOND", F.col("session_start_timestamp"), F.col("session_end_timestamp"))))
 
 
-def gap_sessions(flat: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Sessions by inactivity gap instead of by session id; also runs on a stream."""
-    at = F.timestamp_micros(F.col("event_timestamp"))
-    timed = flat if "event_at" in flat.columns else flat.withColumn("event_at", at)
+def gap_sessions(flat: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
+    """Sessions by inactivity gap: events of a user less than the gap apart belong together.
+
+    Events are first chained inside one user and time slot, so a user with very many
+    events is spread over many tasks. The pieces, a few per slot at most, are then
+    chained across slots; a session that runs through a slot border is joined again.
+    """
+    gap, slot = gap_minutes * 60_000_000, slot_minutes * 60_000_000
+    events = flat.where(F.col("event_timestamp").isNotNull()).select(
+        "user_pseudo_id", F.expr(f"event_timestamp div {slot}").alias("slot"),
+        F.col("event_timestamp").alias("first"), F.col("event_timestamp").alias("last"),
+        F.lit(1).cast("bigint").alias("n"))
+    pieces = _chain(events, ["user_pseudo_id", "slot"], gap)
+    return _chain(pieces, ["user_pseudo_id"], gap).select(
+        "user_pseudo_id", F.timestamp_micros("first").alias("first_event_at"),
+        F.timestamp_micros("last").alias("last_event_at"), F.col("n").alias("events_count"))
+
+
+def _chain(spans: DataFrame, group: list[str], gap: int) -> DataFrame:
+    """Joins spans of a group that start less than ``gap`` after the one before ends."""
+    ordered = Window.partitionBy(*group).orderBy("first", "last")
+    apart = F.col("first") - F.lag("last").over(ordered) >= gap
+    marked = spans.withColumn("new", F.when(apart, 1).otherwise(0))
+    numbered = marked.withColumn("session", F.sum("new").over(
+        ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy(*group, "session").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"),
+        F.sum("n").alias("n")).drop("session")
+
+
+def gap_session_windows(timed: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Gap sessions of a stream, whose state already keeps one open session per user."""
     return (timed.groupBy("user_pseudo_id", F.session_window("event_at", gap).alias("w"))
             .agg(F.count(F.lit(1)).alias("events_count"),
                  F.max("event_at").alias("last_event_at"))

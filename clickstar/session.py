@@ -47,7 +47,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    # Gap sessions are merged inside each input task before they are shuffled.
+    # A stream's gap sessions are merged inside each input task before they are shuffled.
     spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     return spark
 

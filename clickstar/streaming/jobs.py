@@ -104,7 +104,7 @@ def stream_sessions(raw: DataFrame, path: str, checkpoint: str, delay: str = WAT
 def stream_gap_sessions(raw: DataFrame, path: str, checkpoint: str, gap: str = "30 minutes",
                         delay: str = WATERMARK, continuous: str | None = None) -> StreamingQuery:
     """Gap sessions, each written once the watermark has passed its end."""
-    out = stage.gap_sessions(flat_stream(raw, delay), gap)
+    out = stage.gap_session_windows(flat_stream(raw, delay), gap)
     return _each_batch(out, "append", checkpoint, _numbered(path), continuous)
 
 
