@@ -18,6 +18,7 @@ from clickstar import schemas
 from clickstar.operators import dims as D
 from clickstar.operators import facts, merge, monitor, quality, stage, tables
 from clickstar.params import RunParams
+from clickstar.session import side_by_side
 from clickstar.sources import raw
 
 JOB = "daily_load"
@@ -152,26 +153,36 @@ class DailyLoad:
 
     # --- audit -----------------------------------------------------------------------
 
-    def logged(self, task: str, step: Callable[[], object], counted: str | None = None) -> None:
-        """Runs a step and appends its outcome, duration and row count to the run log."""
-        start, error = time.monotonic(), None
+    def timed(self, step: Callable[[], object]) -> tuple[float, Exception | None]:
+        start = time.monotonic()
         try:
             step()
         except Exception as exc:
-            error = exc
-        rows = 0
-        if error is None and counted:
-            rows = self.read_day(counted).count()
-        self.log(task, "failed" if error else "success", rows, time.monotonic() - start,
-                 str(error) if error else None)
+            return time.monotonic() - start, exc
+        return time.monotonic() - start, None
+
+    def logged(self, task: str, step: Callable[[], object], counted: str | None = None) -> None:
+        """Runs a step and appends its outcome, duration and row count to the run log."""
+        seconds, error = self.timed(step)
+        rows = self.read_day(counted).count() if counted and not error else 0
+        self.log(task, rows, seconds, error)
         if error:
             raise error
 
-    def log(self, task: str, status: str, rows: int, seconds: float,
-            message: str | None) -> None:
+    def logged_together(self, steps: dict[str, Callable[[], object]]) -> None:
+        """Runs independent steps side by side, then logs them one by one."""
+        results = side_by_side(self.spark, [lambda s=s: self.timed(s) for s in steps.values()])
+        for task, (seconds, error) in zip(steps, results):
+            self.log(task, 0, seconds, error)
+        for _, error in results:
+            if error:
+                raise error
+
+    def log(self, task: str, rows: int, seconds: float, error: Exception | None) -> None:
         now = self.params.run_ts or dt.datetime.combine(self.params.as_of, dt.time(2))
-        line = [(self.run_id, self.params.run_date, JOB, task, status, rows, 0, int(seconds),
-                 message, now)]
+        line = [(self.run_id, self.params.run_date, JOB, task,
+                 "failed" if error else "success", rows, 0, int(seconds),
+                 str(error) if error else None, now)]
         tables.append_rows(self.spark.createDataFrame(line, schemas.ETL_RUN_LOG),
                            self.path("etl_run_log"), "run_date")
 
@@ -189,10 +200,9 @@ def run_daily(spark: SparkSession, export: str, root: str, params: RunParams,
     load.logged("stg_events_flat", lambda: load.stg_events_flat(reprocess_days),
                 "stg_events_flat")
     load.logged("stg_sessions", lambda: load.stg_sessions(reprocess_days), "stg_sessions")
-    load.logged("stg_users", load.stg_users)
-    load.logged("dim_date", load.dim_date)
-    for name in D.DIMENSIONS:
-        load.logged(name, lambda name=name: load.dimension(name))
+    load.logged_together({
+        "stg_users": load.stg_users, "dim_date": load.dim_date,
+        **{name: lambda name=name: load.dimension(name) for name in D.DIMENSIONS}})
     for name in ("fact_sessions", "fact_events", "fact_conversions"):
         merge_job(load, name)
     load.logged("quality_gate", load.gate)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickstar.operators import dims as D
 from clickstar.operators import facts, marts, monitor, quality, stage, tables
 from clickstar.params import RunParams
-from clickstar.session import prepare, shared_dir
+from clickstar.session import prepare, shared_dir, side_by_side
 from clickstar.sources import adapter, raw
 
 
@@ -121,6 +121,8 @@ class Warehouse:
              date: bool = False) -> dict[str, DataFrame]:
         names = ["dim_device", "dim_geo", "dim_campaign", "dim_channel"]
         names += ["dim_event_type"] if events else []
+        self.path("stg_sessions")
+        side_by_side(self.spark, [lambda n=n: self.dim(n, conformed) for n in names])
         out = {n: self.dim(n, conformed) for n in names}
         if date:
             out["dim_date"] = self.table("dim_date")

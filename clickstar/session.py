@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 
@@ -67,3 +70,11 @@ def shared_dir(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         os.environ["CLICKSTAR_LOCAL_DIR"] = folder
     return folder
+
+
+def side_by_side(spark: SparkSession, steps: Iterable[Callable[[], object]],
+                 width: int = 4) -> list:
+    """Runs independent Spark jobs at the same time, so small ones share the cluster."""
+    with ThreadPoolExecutor(width) as pool:
+        run = inheritable_thread_target(spark)
+        return [f.result() for f in [pool.submit(run(step)) for step in steps]]
