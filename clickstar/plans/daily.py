@@ -211,6 +211,32 @@ def run_daily(spark: SparkSession, export: str, root: str, params: RunParams,
     return load
 
 
+def run_scheduled_checks(load: DailyLoad) -> list[tuple[str, bool]]:
+    """The scheduled checks: stage first, then fact volume, then fact references.
+
+    A group runs only when the one before it passed. Volumes pass from their expected
+    minimum on.
+    """
+    flat, sessions = load.read_day("stg_events_flat"), load.read_day("stg_sessions")
+    fact, dates = load.read_day("fact_sessions"), load.read("dim_date")
+    values = quality.value_checks(flat, sessions, fact).select(
+        "check_name", F.col("minimum_status").alias("status"))
+    is_fact = F.col("check_name") == "check_fact_sessions_volume"
+    rows = quality.stage_results(flat, sessions, load.params.run_date)
+    zero = rows.where(F.col("assertion_name").isin(
+        "events_without_session", "negative_session_duration")).select(
+        F.concat(F.lit("check_"), "assertion_name").alias("check_name"), "status")
+    orphan = quality.integrity(fact, dates, "dim_date").select(
+        F.lit("check_orphan_sessions").alias("check_name"), "status")
+    done: list[tuple[str, bool]] = []
+    for group in (values.where(~is_fact).unionByName(zero), values.where(is_fact), orphan):
+        outcome = [(r["check_name"], r["status"] == "PASS") for r in group.collect()]
+        done += sorted(outcome)
+        if not all(ok for _, ok in outcome):
+            break
+    return done
+
+
 def run_quality(load: DailyLoad) -> int:
     """Exit code of the quality job: 1 when any check of the day failed."""
     return 1 if quality.failed_names(load.checks()) else 0

@@ -486,8 +486,8 @@ for _dim, _column in quality.REFERENCES.items():
           WHERE NOT EXISTS (FROM {_cte}_keys AS d WHERE d.{_column} = f.{_column}) GROUP BY 1""")
 add("exists_correlated", lambda w: w.run_log.where(F.col("status") != "failed").select(
     "run_date", "dag_id", "task_id").distinct().join(
-        w.run_log.where(F.col("status") == "failed").select("run_date", "dag_id", "task_id"),
-        ["run_date", "dag_id", "task_id"], "left_semi"),
+        w.run_log.where(F.col("status") == "failed").select("run_date", "dag_id", "task_id")
+        .distinct(), ["run_date", "dag_id", "task_id"], "left_semi"),
     """SELECT DISTINCT run_date, dag_id, task_id FROM rlog AS a WHERE status <> 'failed'
       AND EXISTS (FROM rlog AS b WHERE b.status = 'failed' AND b.run_date = a.run_date
       AND b.dag_id = a.dag_id AND b.task_id = a.task_id)""")

@@ -14,7 +14,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    return build_session("tests", cores="*", partitions=4)
+    return build_session("tests", cores="*", partitions=2, **{"spark.default.parallelism": "2"})
 
 
 @pytest.fixture(scope="session")

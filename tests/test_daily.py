@@ -111,3 +111,15 @@ def test_quality_exit_code(loaded):
     _, _, _, load = loaded
     failed = quality.failed_names(load.checks())
     assert daily.run_quality(load) == (1 if failed else 0)
+
+
+def test_scheduled_checks_stop_after_a_failing_group(loaded):
+    spark, export, root, load = loaded
+    done = daily.run_scheduled_checks(load)
+    assert [n for n, _ in done[:4]] == [
+        "check_events_volume", "check_events_without_session",
+        "check_negative_session_duration", "check_sessions_volume"]
+    passed = all(ok for _, ok in done[:4])
+    assert len(done) == (6 if passed else 4)
+    empty = daily.DailyLoad(spark, export, root, RunParams(dt.date(2023, 1, 1)))
+    assert len(daily.run_scheduled_checks(empty)) == 4
