@@ -342,9 +342,9 @@ add("filter_any_utm", lambda w: w.flat.where(D.any_known(*D.CAMPAIGN.needed)).se
     ID, *D.CAMPAIGN.needed),
     f"""SELECT {ID}, utm_source, utm_medium, utm_campaign FROM flat
       WHERE coalesce(utm_source, utm_medium, utm_campaign) IS NOT NULL""")
-add("select_star_plus", lambda w: w.flat.select("*", F.col("event_name").alias("name_again"))
-    .where(F.col("is_lead_event")),
-    "SELECT *, event_name AS name_again FROM flat WHERE is_lead_event")
+add("select_star_plus", lambda w: w.flat.select(
+    "*", rules.event_category(F.col("event_name")).alias("event_category")),
+    f"SELECT *, {O._table_case('event_name', V.EVENT_CATEGORIES)} AS event_category FROM flat")
 add("region_filter", lambda w: marts.region_filter(w.mart_sessions(), "r1").select(
     "session_id", "user_pseudo_id", "session_date", "region", "conversions"),
     """SELECT session_id, user_pseudo_id, session_date, region, conversions FROM mart
