@@ -126,14 +126,42 @@ def rewrite(spark: SparkSession, source: str, target: str, partition: str,
     return after
 
 
-def recluster(spark: SparkSession, path: str, partition: str, cluster: tuple[str, ...]) -> int:
-    """Rewrites a table in a new order and swaps it in; the old one stays as ``.old``."""
-    new, old = f"{path}.new", f"{path}.old"
-    rows = rewrite(spark, path, new, partition, cluster)
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, such as the staged input of a finished step."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+    spark.catalog.refreshByPath(path)
+
+
+def swap_in(spark: SparkSession, new: str, path: str) -> None:
+    """Puts the folder ``new`` in place of ``path``; the version before stays as ``.old``.
+
+    Both moves are renames, so a crash leaves the old version, the new one, or both.
+    """
     fs, here = _fs(spark, path)
-    if not (fs.rename(here, _fs(spark, old)[1]) and fs.rename(_fs(spark, new)[1], here)):
-        raise RuntimeError(f"could not swap {new} in for {path}")
+    old = _fs(spark, f"{path}.old")[1]
+    if fs.exists(here):
+        fs.delete(old, True)
+        if not fs.rename(here, old):
+            raise RuntimeError(f"could not set {path} aside")
+    if not fs.rename(_fs(spark, new)[1], here):
+        raise RuntimeError(f"could not move {new} to {path}")
     spark.catalog.refreshByPath(path)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Brings the old version back when a swap stopped between its two moves."""
+    fs, here = _fs(spark, path)
+    old = _fs(spark, f"{path}.old")[1]
+    if fs.exists(here) or not fs.exists(old):
+        return False
+    return fs.rename(old, here)
+
+
+def recluster(spark: SparkSession, path: str, partition: str, cluster: tuple[str, ...]) -> int:
+    """Rewrites a table in a new order and swaps it in; the old one stays as ``.old``."""
+    rows = rewrite(spark, path, f"{path}.new", partition, cluster)
+    swap_in(spark, f"{path}.new", path)
     return rows
 
 

@@ -94,6 +94,7 @@ class DailyLoad:
         overwrite the folder it reads.
         """
         dim, path = D.DIMENSIONS[name], self.path(name)
+        tables.recover(self.spark, path)
         day = self.read_day("stg_sessions" if dim is D.CHANNEL else "stg_events_flat")
         if tables.exists(self.spark, path):
             rows = D.extend(self.read(name), day, dim)
@@ -101,8 +102,7 @@ class DailyLoad:
             rows = D.conformed(day, dim)
         staged = f"{path}.{self.run_id}"
         tables.write_replace(self.stamp(rows), staged)
-        tables.write_replace(self.spark.read.parquet(staged), path)
-        self.spark.catalog.refreshByPath(path)
+        tables.swap_in(self.spark, staged, path)
 
     def dim_date(self) -> None:
         tables.write_replace(self.stamp(D.dim_date(self.spark)), self.path("dim_date"))
@@ -123,6 +123,7 @@ class DailyLoad:
         tables.write_replace(self.stamp(rows), staged)
         merge.merge_table(self.spark, self.path(name), self.spark.read.parquet(staged),
                           schemas.TABLES[name])
+        tables.drop(self.spark, staged)
 
     def checks(self) -> DataFrame:
         """The day's quality results, appended to the log."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from clickstar.operators import facts, merge, stage
+from clickstar.operators import facts, merge, stage, tables
 from clickstar.schemas import RAW_EVENTS, Table
 from clickstar.sources.raw import with_suffix
 
@@ -124,5 +124,6 @@ def stream_upsert_events(raw: DataFrame, dims: dict[str, DataFrame], table: Tabl
         batch.write.mode("overwrite").parquet(folder)
         merge.merge_table(batch.sparkSession, path, batch.sparkSession.read.parquet(folder),
                           table)
+        tables.drop(batch.sparkSession, folder)
 
     return _each_batch(keyed, "append", checkpoint, upsert, continuous)

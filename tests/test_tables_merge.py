@@ -128,3 +128,18 @@ def test_layers_catalogue_and_layout(spark, tmp_path):
     assert layout == [("fact_sessions", 1, "date_key"), ("fact_sessions", 2, "channel_key"),
                       ("fact_sessions", 3, "has_conversion")]
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_swap_keeps_the_version_before_and_recovers(spark, tmp_path):
+    path, new = str(tmp_path / "t"), str(tmp_path / "new")
+    for n in (1, 2, 3):
+        tables.write_replace(spark.range(n), new)
+        tables.swap_in(spark, new, path)
+        assert spark.read.parquet(path).count() == n
+    assert spark.read.parquet(f"{path}.old").count() == 2
+    assert tables.recover(spark, path) is False
+    (tmp_path / "t").rename(tmp_path / "lost")
+    assert tables.recover(spark, path) is True
+    assert spark.read.parquet(path).count() == 2
+    tables.drop(spark, path)
+    assert not tables.exists(spark, path)
