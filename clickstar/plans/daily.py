@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickstar import fixed_values as V
 from clickstar import schemas
 from clickstar.operators import dims as D
 from clickstar.operators import facts, merge, monitor, quality, stage, tables
@@ -152,6 +153,13 @@ class DailyLoad:
         tables.write_replace(self.stamp(one).withColumnRenamed(
             "_etl_timestamp", "report_timestamp"), self.path("daily_summary"))
 
+    def retention(self, years: int = V.RETENTION_YEARS) -> dict[str, int]:
+        """Drops whole days past the retention time; returns how many per table."""
+        cutoff = tables.retention_cutoff(self.params.as_of, years)
+        return {name: tables.delete_before(self.spark, self.path(name),
+                                           schemas.TABLES[name].partition, cutoff)
+                for name in ("stg_events_flat", "stg_sessions", "fact_sessions")}
+
     # --- audit -----------------------------------------------------------------------
 
     def timed(self, step: Callable[[], object]) -> tuple[float, Exception | None]:

@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from clickstar import schemas
 from clickstar.operators import quality, tables
 from clickstar.params import RunParams
 from clickstar.plans import daily
@@ -123,3 +124,13 @@ def test_scheduled_checks_stop_after_a_failing_group(loaded):
     assert len(done) == (6 if passed else 4)
     empty = daily.DailyLoad(spark, export, root, RunParams(dt.date(2023, 1, 1)))
     assert len(daily.run_scheduled_checks(empty)) == 4
+
+
+def test_retention_drops_days_past_two_years(loaded):
+    spark, export, root, load = loaded
+    assert set(load.retention().values()) == {0}
+    later = daily.DailyLoad(spark, export, root, RunParams(dt.date(2026, 1, 14)))
+    assert later.retention() == {"stg_events_flat": 1, "stg_sessions": 1, "fact_sessions": 1}
+    for name in ("stg_events_flat", "stg_sessions", "fact_sessions"):
+        assert tables.partition_days(spark, later.path(name),
+                                     schemas.TABLES[name].partition) == [DAYS[1]]
