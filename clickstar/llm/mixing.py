@@ -196,22 +196,26 @@ def crossing(cells: DataFrame, wanted: DataFrame, at: str) -> DataFrame:
 
 
 def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """The rows of ``docs`` repeated as often as ``mixed`` takes them.
+    """The rows of ``docs`` repeated as often as ``mixed`` takes them, columns unchanged.
 
-    Joined by (doc_id, source, size); rows that agree in all three and got different
-    numbers of copies are told apart by their place among them.
+    Joined by (doc_id, source, size). Rows that agree in all three share their copies: each
+    gets the whole part, and the first ones in the order of their texts one more.
     """
     key = ["doc_id", "source", "size"]
-    sized = docs.withColumn("size", n_words(F.col("text"))) if "size" not in docs.columns else docs
-    taken = mixed.groupBy(*key).agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
-    taken = taken.select(*[F.col(k).alias(f"m_{k}") for k in key], "copies", "rows")
-    on = [same(F.col(k), F.col(f"m_{k}")) for k in key]
-    joined = sized.join(taken, on[0] & on[1] & on[2])
-    single = joined.where("rows = 1").withColumn("times", F.col("copies"))
-    place = F.row_number().over(Window.partitionBy(*key).orderBy("text"))
-    spread = F.floor(F.col("copies") / F.col("rows")) + (
-        place <= F.col("copies") % F.col("rows")).cast("int")
-    several = joined.where("rows > 1").withColumn("times", spread)
-    repeated = single.unionByName(several).where("times > 0")
-    return repeated.withColumn("copy", F.explode(F.sequence(
-        F.lit(1), F.col("times").cast("int")))).select(*docs.columns)
+    taken = mixed.groupBy(*key).agg(F.sum("copies").alias("_mix_copies"),
+                                    F.count("*").alias("_mix_rows"))
+    taken = taken.select(*[F.col(k).alias(f"_mix_{k}") for k in key], "_mix_copies", "_mix_rows")
+    sized = docs.withColumn("_mix_words", n_words(F.col("text")))
+    joined = sized.join(taken, same(F.col("doc_id"), F.col("_mix_doc_id"))
+                        & same(F.col("source"), F.col("_mix_source"))
+                        & (F.col("_mix_words") == F.col("_mix_size")))
+    repeated = joined.where("_mix_rows = 1").withColumn("_mix_times", F.col("_mix_copies"))
+    if not taken.where("_mix_rows > 1").isEmpty():
+        place = F.row_number().over(Window.partitionBy(
+            "_mix_doc_id", "_mix_source", "_mix_size").orderBy("text"))
+        spread = F.floor(F.col("_mix_copies") / F.col("_mix_rows")) + (
+            place <= F.col("_mix_copies") % F.col("_mix_rows")).cast("int")
+        repeated = repeated.unionByName(
+            joined.where("_mix_rows > 1").withColumn("_mix_times", spread))
+    return repeated.where("_mix_times > 0").withColumn("_mix_copy", F.explode(F.sequence(
+        F.lit(1), F.col("_mix_times").cast("int")))).select(*docs.columns)

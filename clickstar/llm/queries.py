@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import bottom_k, chat_format, license_scan, mixing, url_filter
-from clickstar.llm.tables import Scratch, read
+from clickstar.llm import (bottom_k, chat_format, license_scan, mixing, nearest, ngram_join, packing,
+                           toxicity, url_filter, warc)
+from clickstar.llm.tables import Scratch, read, ship
 from clickstar.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +20,7 @@ SQL: dict[str, str] = {}
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(prepare(spark), sf_dir)
+            return function(ship(prepare(spark)), sf_dir)
 
         QUERIES[name] = run
         return run
@@ -27,6 +28,12 @@ def query(name: str) -> Callable[[Query], Query]:
     return register
 
 
+@query("op1_packing")
+def packing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack_documents(docs, with_ids=False)
+
+
 @query("op2_mixing")
 def mixing_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "source", "text")
@@ -41,6 +48,26 @@ def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(license_scan.scan(docs))
 
 
+@query("op4_ngram_join")
+def ngram_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return ngram_join.near_duplicates(docs, Scratch(spark, "ngrams"), width=3, percent=90)
+
+
+@query("op5_toxicity")
+def toxicity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels", "doc_id", "toxic"))
+    return toxicity.grade(docs, model)
+
+
+@query("op6_warc")
+def warc_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    return warc.archive_and_index(pages, Scratch(spark, "warc")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "index_pos")
+
+
 # Rules as keys, host and path in one.
 BLOCKED = ["net/", "example.com/de/"]
 ALLOWED = ["example.net/en/", "org/fr/"]
@@ -89,6 +116,12 @@ def sketch_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         bottom_k.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
+@query("op9_nearest")
+def nearest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return nearest.nearest(vectors, F.col("vec_id") % 20 == 0)
+
+
 @query("op10_chat_format")
 def chat_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
@@ -177,3 +210,45 @@ SELECT doc_id, size, source_size, share AS target, CAST((whole + CASE WHEN rank
         upto < words OR upto - size < words AND upto - size / 2 <= words)
     THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM upto JOIN tgt USING (no_source, s)"""
+
+
+WORDS_SQL = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), [])"""
+SQL["op4_ngram_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct([array_to_string(w[i:i + 2], ' ') FOR i IN range(1, len(w) - 1)]) END AS s
+    FROM w),
+n AS (SELECT doc_id, len(s) AS n FROM s),
+u AS MATERIALIZED (SELECT doc_id, unnest(s) AS t FROM s),
+e AS MATERIALIZED (SELECT x, y FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+        FROM u a JOIN u b ON a.t = b.t AND a.doc_id <> b.doc_id GROUP BY ALL)
+    JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * i >= 90 * (p.n + q.n - i)),
+r(doc_id, reached) AS (SELECT doc_id, doc_id FROM n
+    UNION SELECT r.doc_id, e.y FROM r JOIN e ON e.x = r.reached)
+SELECT doc_id, CAST(any_value(n) AS BIGINT) AS n_shingles, min(reached) AS component_id
+FROM r JOIN n USING (doc_id) GROUP BY doc_id"""
+
+SQL["op6_warc"] = rf"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, coalesce(url, '') AS url FROM pages),
+k AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS payload_digest,
+    max(page_id) OVER (PARTITION BY html) AS first, array_to_string(list_reverse(string_split(
+        lower(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)), '.')), ',') || ')'
+        || regexp_extract(url, '(?s)^.*?://[^/?#]*([^#]*)', 1) AS url_key,
+    (page_id % {warc.CIRCLE} + {warc.CIRCLE}) % {warc.CIRCLE} AS seconds FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+    CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN 'revisit' ELSE 'response' END
+        AS record_type,
+    CASE WHEN payload_bytes >= 1000 AND first <> page_id THEN first END AS refers_to,
+    row_number() OVER (ORDER BY url_key, seconds, page_id) - 1 AS index_pos FROM k"""
+
+SQL["op9_nearest"] = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+        AND len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+        AND len([e FOR e IN embedding IF e <> 0]) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x) AS score
+    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+    AS INTEGER) AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20"""

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,26 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Sends this package to the executors once, for the operators that run Python there."""
+    app = spark.sparkContext.applicationId
+    if app not in _SHIPPED:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        archive = os.path.join(tempfile.mkdtemp(prefix="clickstar-"), "clickstar_package.zip")
+        with zipfile.ZipFile(archive, "w") as z:
+            for folder, _, names in os.walk(package):
+                for name in names:
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        z.write(path, os.path.relpath(path, os.path.dirname(package)))
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(app)
+    return spark
+
+
 class Scratch:
     """Tables written once under the shared folder, so that a lost executor costs no rework."""
 
