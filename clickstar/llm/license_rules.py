@@ -164,9 +164,9 @@ def rules() -> list[dict]:
         for keyword in keywords.split("|"):
             found.append((60, label, keyword, names))
             for version in versions:
-                found.append((80, f"{label}-{version.replace(' ', '.')}", keyword,
-                              f"{names}(?: version| v)? {version}"))
-                found.append((82, f"{label}-{version.replace(' ', '.')}+", keyword,
+                exact = f"{label}-{version.replace(' ', '.') if ' ' in version else version + '.0'}"
+                found.append((80, exact, keyword, f"{names}(?: version| v)? {version}"))
+                found.append((82, f"{exact}+", keyword,
                               f"{names}(?: version| v)? {version} or (?:any )?later"))
     for label, short, name in COMMONS:
         found.append((60, label, "cc", f"cc {short}"))

@@ -38,6 +38,8 @@ BITS = 18
 COLUMNS = 1 << BITS
 LEADING = (None, 4, 6)
 GRADES = 3
+# Least distance of the rejection severity from that of the held-out clean texts.
+MARGIN = 0.05
 # Every byte that is not a letter, a digit or part of a longer character separates words.
 SEPARATORS = WHITE.copy()
 SEPARATORS[[*range(0, 48), *range(58, 65), *range(91, 97), *range(123, 128)]] = True
@@ -199,7 +201,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = 2500, max_clean: in
     severity = model.exceed(Sparse([rows[i] for i in held]).dot(weights)).sum(axis=1)
     clean = np.sort(severity[~toxic[held]]) if (~toxic[held]).any() else np.zeros(1)
     highest = clean[max(0, len(clean) - 1 - int(clean_loss * len(clean)))]
-    return Model(weights, thresholds, float(max(0.5, highest + 1e-6)))
+    # half-way to the next severity above, but not next to the clean ones
+    higher = severity[severity > highest + MARGIN]
+    next_one = higher.min() if len(higher) else float(GRADES)
+    return Model(weights, thresholds, float(max(highest + MARGIN, (highest + next_one) / 2)))
 
 
 def grade(docs: DataFrame, model: Model) -> DataFrame:
