@@ -89,29 +89,31 @@ def as_text(s: Column) -> Column:
 
 
 def next_ids(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, next_id, need) for each distinct doc_id, in ascending order, in a circle.
+    """(id, next_id, need, several) for each distinct doc_id, in ascending order, in a circle.
 
-    ``need`` is the most code points that any document of this id takes from the next one.
-    The order is found in ranges: each range is ordered by itself, and only its first id is
-    needed by the range before it.
+    ``need`` is the most code points that any document of this id takes from the next one,
+    ``several`` whether the next id has more than one row. The order is found in ranges:
+    each range is ordered by itself, and only its first id is needed by the range before it.
     """
     half = F.floor(F.length(F.coalesce("text", F.lit(""))) / 2)
-    ids = docs.groupBy(F.col("doc_id").alias("id")).agg(F.max(half).alias("need"))
+    ids = docs.groupBy(F.col("doc_id").alias("id")).agg(
+        F.max(half).alias("need"), F.count("*").alias("rows"))
     ids = scratch.keep(ids, "ids")
     ranged = scratch.keep(ids.repartitionByRange("id").withColumn(
         "part", F.spark_partition_id()), "ranged")
-    firsts = ranged.groupBy("part").agg(F.min(F.struct(F.col("id").isNotNull(), "id")).alias("f"))
+    one = F.struct("id", "rows")
+    firsts = ranged.groupBy("part").agg(F.min(F.struct(F.col("id").isNotNull(), "id", "rows")).alias("f"))
     by_part = Window.partitionBy().orderBy("part")
     firsts = firsts.select("part", F.coalesce(
         F.lead("f").over(by_part), F.first("f").over(
             by_part.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
         .alias("start"))
     in_part = Window.partitionBy("part").orderBy("id")
-    linked = ranged.withColumn("last", F.lead("need").over(in_part).isNull()) \
-        .withColumn("within", F.lead("id").over(in_part))
-    return linked.join(firsts, "part").select(
-        "id", "need", F.when(F.col("last"), F.col("start.id")).otherwise(F.col("within"))
-        .alias("next_id"))
+    linked = ranged.withColumn("within", F.lead(one).over(in_part)).join(firsts, "part")
+    at_end = F.col("within").isNull()
+    return linked.select(
+        "id", "need", F.when(at_end, F.col("start.id")).otherwise(F.col("within.id")).alias("next_id"),
+        (F.when(at_end, F.col("start.rows")).otherwise(F.col("within.rows")) > 1).alias("several"))
 
 
 def edited(docs: DataFrame, scratch: Scratch, k: int = K) -> DataFrame:
@@ -125,12 +127,20 @@ def edited(docs: DataFrame, scratch: Scratch, k: int = K) -> DataFrame:
     links = scratch.keep(next_ids(docs, scratch), "links")
     text = F.coalesce("text", F.lit(""))
     own = docs.select("doc_id", text.alias("text"), F.length(text).alias("n"))
-    giver = links.select(F.col("next_id").alias("giver"), F.col("id").alias("taker"), "need")
-    given = own.join(giver, F.col("doc_id").eqNullSafe(F.col("giver")))
-    best = F.min(F.struct("n", "text", "need", "taker")).alias("x")
-    given = given.groupBy("doc_id").agg(best).select(
-        F.col("x.taker").alias("taker"), F.expr("left(x.text, int(x.need))").alias("start"),
-        sketch(F.col("x.text"), k).alias("next_sketch"))
+    giver = links.select(F.col("next_id").alias("giver"), F.col("id").alias("taker"), "need",
+                         "several")
+    meet = own.join(giver, F.col("doc_id").eqNullSafe(F.col("giver")))
+
+    def gifts(rows: DataFrame) -> DataFrame:
+        return rows.select("taker", F.expr("left(text, int(need))").alias("start"),
+                           sketch(F.col("text"), k).alias("next_sketch"))
+
+    # what a document gives is cut to size and sketched before it is shuffled to its taker
+    given = gifts(meet.where(~F.col("several")))
+    if not links.where("several").isEmpty():
+        least = meet.where("several").groupBy("giver").agg(
+            F.min(F.struct("n", "text", "taker", "need")).alias("x")).select("x.*")
+        given = given.unionByName(gifts(least))
     both = own.join(given, F.col("doc_id").eqNullSafe(F.col("taker")))
     cut = F.floor(F.col("n") / 2).cast("int")
     new = F.concat(F.expr("left(text, int(n - floor(n / 2)))"), F.substring("start", F.lit(1), cut))

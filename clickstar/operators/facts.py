@@ -58,7 +58,7 @@ def attach_keys(rows: DataFrame, dims: dict[str, DataFrame],
 
 def fact_sessions(session_rows: DataFrame, dims: dict[str, DataFrame],
                   conformed: bool = False) -> DataFrame:
-    """Sessions with their dimension keys."""
+    """Sessions with their dimension keys; the conformed form keeps the whole session grain."""
     keyed = attach_keys(session_rows, dims, SESSION_LOOKUPS, conformed)
     return keyed.select(
         "session_id", "session_date", "user_pseudo_id", "user_id",
@@ -67,7 +67,8 @@ def fact_sessions(session_rows: DataFrame, dims: dict[str, DataFrame],
         "session_duration_seconds", "events_count", "pageviews",
         F.col("has_conversion").cast("boolean").alias("has_conversion"),
         F.col("has_lead").cast("boolean").alias("has_lead"), "session_engaged",
-        "total_conversion_value", "total_purchase_revenue", "landing_page", "exit_page")
+        "total_conversion_value", "total_purchase_revenue", "landing_page", "exit_page",
+        *(["ga_session_id"] if conformed else []))
 
 
 def fact_events(flat: DataFrame, dims: dict[str, DataFrame], conformed: bool = False,

@@ -11,6 +11,9 @@ from clickstar.operators import tables
 from clickstar.schemas import Table
 
 
+TWICE = "several source rows share one merge key"
+
+
 class DuplicateMergeKey(ValueError):
     """Several source rows would update one target row."""
 
@@ -21,16 +24,6 @@ def _matches(keys: list[str], null_safe: bool) -> Column:
                   [t.eqNullSafe(s) if null_safe else t == s for t, s in pairs])
 
 
-def require_unique(source: DataFrame, keys: list[str], null_safe: bool = True) -> None:
-    """Raises when a key that can match occurs twice; stops at the first found."""
-    if not null_safe:
-        source = source.dropna(subset=keys)
-    twice = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1)
-    row = twice.first()
-    if row is not None:
-        raise DuplicateMergeKey(f"{row['n']} source rows share {row.asDict()}")
-
-
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
                update_columns: list[str] | None = None, null_safe: bool = True) -> DataFrame:
     """The table after the merge.
@@ -38,21 +31,42 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
     A matched row takes ``update_columns`` from the source (all columns when not
     given) and keeps the rest; an unmatched source row is inserted whole; an
     unmatched target row stays. With ``null_safe`` a NULL key equals a NULL key,
-    so a second run of the same load changes nothing.
+    so a second run of the same load changes nothing; otherwise a row with a NULL
+    key matches nothing.
+
+    Both sides are stacked and grouped by key, so rows are shuffled once. Two source
+    rows of one key stop the job; the target holds a key once.
     """
     columns = target.columns
     update = set(columns if update_columns is None else update_columns)
-    left = target.withColumn("_t", F.lit(True)).alias("t")
-    right = source.select(*columns).withColumn("_s", F.lit(True)).alias("s")
-    joined = left.join(right, _matches(keys, null_safe), "full_outer")
-    in_target, in_source = F.col("t._t").isNotNull(), F.col("s._s").isNotNull()
+    rest = [c for c in columns if c not in keys]
+    both = target.withColumn("_new", F.lit(False)).unionByName(
+        source.select(*columns).withColumn("_new", F.lit(True)))
+    group = list(keys)
+    if not null_safe:
+        no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        both = both.withColumn("_alone", F.when(no_key, F.monotonically_increasing_id()))
+        group.append("_alone")
+    packed = F.struct(*rest) if rest else F.struct(F.lit(True).alias("_"))
+    grouped = both.groupBy(*group).agg(
+        F.count_if("_new").alias("_n"), F.count_if(~F.col("_new")).alias("_m"),
+        F.first(F.when(F.col("_new"), packed), ignorenulls=True).alias("_s"),
+        F.first(F.when(~F.col("_new"), packed), ignorenulls=True).alias("_t"))
+    twice = F.concat(F.lit(f"{TWICE} {', '.join(keys)}: "),
+                     F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
+    grouped = grouped.withColumn("_s", F.when(
+        F.col("_n") > 1, F.raise_error(twice).cast(grouped.schema["_s"].dataType))
+        .otherwise(F.col("_s")))
 
     def value(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        new, old = F.col(f"_s.{c}"), F.col(f"_t.{c}")
         if c in update:
-            return F.when(in_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
-        return F.when(in_target, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
+            return F.when(F.col("_n") > 0, new).otherwise(old)
+        return F.when(F.col("_m") > 0, old).otherwise(new)
 
-    return joined.select(*[value(c).alias(c) for c in columns])
+    return grouped.select(*[value(c).alias(c) for c in columns])
 
 
 def incremental_merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
@@ -79,11 +93,12 @@ def touched_days(target: DataFrame, source: DataFrame, table: Table) -> list:
 def merge_table(spark: SparkSession, path: str, source: DataFrame, table: Table) -> int:
     """Merges ``source`` into the table at ``path``; rewrites touched days only.
 
-    Returns the number of touched days. The rewritten days are staged and moved in
-    at commit, so the input survives until then. ``source`` is read up to three
-    times: pass a written table.
+    Returns the number of touched days. New versions of the days are written beside the
+    table and swapped in day by day, after which no crash can lose a row; a swap that an
+    earlier run left unfinished is finished first. ``source`` is read twice: pass a
+    written table.
     """
-    require_unique(source, list(table.merge_keys))
+    tables.swap_days(spark, path)
     tables.ensure_table(spark, path, table.schema, table.partition)
     target = tables.read_table(spark, path, table.schema)
     days = touched_days(target, source, table)
@@ -95,6 +110,11 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, table: Table)
         inside = inside | day.isNull()
     merged = merge_rows(target.where(inside), source, list(table.merge_keys),
                         list(table.update_columns))
-    tables.write_partitioned(merged, path, table.partition, table.cluster)
-    spark.catalog.refreshByPath(path)
+    try:
+        tables.stage_days(merged, path, table.partition, table.cluster)
+    except Exception as error:
+        if TWICE in str(error):
+            raise DuplicateMergeKey(str(error)[str(error).index(TWICE):][:300]) from error
+        raise
+    tables.swap_days(spark, path)
     return len(days)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickstar import fixed_values as V
@@ -58,14 +59,12 @@ def runs_by_task(log: DataFrame, first: dt.date) -> DataFrame:
 def daily_summary(day: dt.date, flat: DataFrame, sessions: DataFrame, facts: DataFrame,
                   conversions: DataFrame) -> DataFrame:
     """Row counts of four tables for one day, as one row."""
-    def counted(table: DataFrame, name: str) -> DataFrame:
-        return table.agg(rows().alias(name))
-
-    one = counted(flat, "events_count").select(F.lit(day).alias("report_date"), "events_count")
-    for table, name in ((sessions, "sessions_count"), (facts, "fact_sessions_count"),
-                        (conversions, "conversions_count")):
-        one = one.join(counted(table, name), F.lit(True))
-    return one
+    named = {"events_count": flat, "sessions_count": sessions, "fact_sessions_count": facts,
+             "conversions_count": conversions}
+    tagged = reduce(DataFrame.unionByName, [
+        table.select(F.lit(name).alias("counted")) for name, table in named.items()])
+    return tagged.agg(*[F.count_if(F.col("counted") == n).alias(n) for n in named]).select(
+        F.lit(day).alias("report_date"), *named)
 
 
 def pipeline_health(log: DataFrame, as_of: dt.date) -> DataFrame:
@@ -128,12 +127,25 @@ def quality_failures(dq_log: DataFrame, day: dt.date) -> DataFrame:
                     status(F.col("failed_assertions") == 0).alias("status")))
 
 
-def failed_jobs(log: DataFrame, day: dt.date | None = None) -> DataFrame:
-    """Failed tasks and their distinct messages per day and job."""
+def failure_messages(log: DataFrame, day: dt.date | None = None) -> DataFrame:
+    """One row per day, job and message with its number of failed tasks."""
     failed = log.where(F.col("status") == "failed")
     if day is not None:
         failed = on(failed, "run_date", day)
-    per_message = failed.groupBy("run_date", "dag_id", "error_message").agg(rows().alias("n"))
+    return failed.groupBy("run_date", "dag_id", "error_message").agg(rows().alias("n"))
+
+
+def failed_jobs(log: DataFrame, day: dt.date | None = None) -> DataFrame:
+    """Failed tasks and the classes of their messages per day and job, as one text.
+
+    A message's class leaves out its digits, and with them ids and dates, unless that is
+    all that tells messages apart: texts of up to 20 characters stay as they are.
+    """
+    whole = F.col("error_message")
+    kind = F.when(F.length(whole) <= 20, whole).otherwise(F.regexp_replace(whole, r"\d+", "N"))
+    per_message = failure_messages(log, day).withColumn("error_message", kind)
+    per_message = per_message.groupBy("run_date", "dag_id", "error_message").agg(
+        F.sum("n").alias("n"))
     return per_message.groupBy("run_date", "dag_id").agg(
         F.sum("n").alias("failed_tasks"),
         F.array_join(F.array_sort(F.collect_list("error_message")), "; ")
@@ -158,22 +170,28 @@ def size_gb(column: str = "total_logical_bytes") -> Column:
     return F.col(column) / F.lit(V.GB)
 
 
-def large_partitions(stats: DataFrame, day: dt.date | None = None) -> DataFrame:
+def large_partitions(stats: DataFrame, day: dt.date | None = None,
+                     limit_gb: float = V.LARGE_PARTITION_GB) -> DataFrame:
+    """Partitions above the limit, of one day if given."""
     if day is not None:
         stats = stats.where(F.col("partition_id") == day.isoformat())
-    return stats.where(size_gb() > V.LARGE_PARTITION_GB).select(
+    return stats.where(size_gb() > limit_gb).select(
         F.lit("large_partition").alias("alert_type"), "table_name", "partition_id",
         F.round(size_gb(), 2).alias("size_gb"), "total_rows", F.lit("WARNING").alias("status"))
 
 
 # --- trends --------------------------------------------------------------------------
 
-def volume_trend(flat: DataFrame, first: dt.date) -> DataFrame:
-    """Events, distinct sessions and distinct users per day."""
-    events, sessions = rows(), F.count_distinct("session_id")
-    return (since(flat, "event_date_partition", first)
-            .groupBy(F.col("event_date_partition").alias("date"))
-            .agg(events.alias("events_count"), sessions.alias("unique_sessions"),
+def volume_trend(sessions: DataFrame, first: dt.date) -> DataFrame:
+    """Events, distinct sessions and distinct users per day.
+
+    From the session table, which holds every event's session, user and day in far fewer
+    rows than there are events; only the look-back's partitions are read.
+    """
+    return (since(sessions, "session_date", first)
+            .groupBy(F.col("session_date").alias("date"))
+            .agg(F.sum("events_count").alias("events_count"),
+                 F.count_distinct("session_id").alias("unique_sessions"),
                  F.count_distinct("user_pseudo_id").alias("unique_users"))
             .withColumn("avg_events_per_session",
                         F.round(ratio(F.col("events_count"), F.col("unique_sessions")), 2))
@@ -237,11 +255,10 @@ def partition_stats(table: DataFrame, name: str, partition: str) -> DataFrame:
                     "total_logical_bytes"))
 
 
-def file_stats(table: DataFrame, name: str, partition: str) -> DataFrame:
-    """Files and bytes on disk of every day, from file metadata."""
-    files = table.select(F.col(partition).alias("day"),
-                         F.col("_metadata.file_path").alias("path"),
-                         F.col("_metadata.file_size").alias("bytes")).distinct()
+def file_stats(spark: SparkSession, path: str, name: str, partition: str) -> DataFrame:
+    """Files and bytes on disk of every day, from the file listing: no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(
+        path).select(F.col(partition).cast("date").alias("day"), F.col("length").alias("bytes"))
     return (files.groupBy("day").agg(rows().alias("files"), F.sum("bytes").alias("file_bytes"))
             .select(F.lit(name).alias("table_name"),
                     F.date_format("day", "yyyy-MM-dd").alias("partition_id"), "files",
@@ -259,10 +276,11 @@ def partition_report(stats: DataFrame, first: dt.date) -> DataFrame:
         scaled(F.col("total_logical_bytes"), V.TB).alias("size_tb"))
 
 
-def size_recommendation(stats: DataFrame, n: int = 20) -> DataFrame:
+def size_recommendation(stats: DataFrame, n: int = 20, small_gb: float = V.SMALL_PARTITION_GB,
+                        large_gb: float = V.LARGE_PARTITION_GB) -> DataFrame:
     """Whether a partition is too small, too large or fine."""
-    advice = (F.when(size_gb() < V.SMALL_PARTITION_GB, V.PARTITION_TOO_SMALL)
-              .when(size_gb() > V.LARGE_PARTITION_GB, V.PARTITION_TOO_LARGE)
+    advice = (F.when(size_gb() < small_gb, V.PARTITION_TOO_SMALL)
+              .when(size_gb() > large_gb, V.PARTITION_TOO_LARGE)
               .otherwise(V.PARTITION_OPTIMAL))
     return stats.select("table_name", "partition_id", F.round(size_gb(), 2).alias("size_gb"),
                         "total_rows", advice.alias("recommendation")).orderBy(

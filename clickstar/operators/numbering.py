@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-QUARTER_HOUR = 15 * 60 * 1_000_000
+SECOND = 1_000_000
+QUARTER_HOUR = 15 * 60 * SECOND
 
 
 def number_rows(rows: DataFrame, group: list[str], name: str, clock: str = "event_timestamp",
@@ -17,9 +20,13 @@ def number_rows(rows: DataFrame, group: list[str], name: str, clock: str = "even
     each slot its starting number, and only the rows of one slot are sorted
     together. NULL group values form a group of their own and a NULL clock sorts
     first. Group columns are made non-NULL so that join and window share one
-    shuffle.
+    shuffle. A group with a NULL in it gathers all rows of unknown users, so it is
+    cut into slots of a second; numbers do not depend on the slots' length.
     """
-    slot = F.coalesce(F.expr(f"{clock} div {slot_micros}"), F.lit(-(2 ** 62)))
+    unknown = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in group])
+    fine = F.expr(f"{clock} div {SECOND}")
+    coarse = F.expr(f"{clock} div {slot_micros}")
+    slot = F.coalesce(F.when(unknown, fine).otherwise(coarse), F.lit(-(2 ** 62)))
     spread: list[str] = []
     sized = rows
     for i, column in enumerate(group):

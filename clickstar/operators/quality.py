@@ -82,8 +82,8 @@ STAGE_CHECKS = [
           lambda: {"sessions_negative_duration": _negative()},
           _zero("sessions_negative_duration")),
     Check("stage_sessions_events_distribution", "stg_sessions",
-          lambda: {"avg_events_per_session": F.round(F.avg("events_count"), 4),
-                   "stddev_events_per_session": F.round(F.stddev_samp("events_count"), 4)},
+          lambda: {"avg_events_per_session": F.avg("events_count"),
+                   "stddev_events_per_session": F.stddev_samp("events_count")},
           lambda: F.col("avg_events_per_session").between(*V.EVENTS_PER_SESSION_RANGE)),
     Check("stage_sessions_unique", "stg_sessions",
           lambda: {"total_sessions": rows(),
@@ -143,10 +143,12 @@ def orphan_counts(fact: DataFrame, dims: dict[str, DataFrame], names: list[str],
 
 def consistency(fact: DataFrame, stage: DataFrame) -> DataFrame:
     """One row: do fact and stage hold about as many rows for the day."""
-    facts = fact.agg(rows().alias("fact_count"))
-    staged = stage.agg(rows().alias("stage_count"))
+    both = fact.select(F.lit(True).alias("is_fact")).unionByName(
+        stage.select(F.lit(False).alias("is_fact")))
+    counts = both.agg(F.count_if("is_fact").alias("fact_count"),
+                      F.count_if(~F.col("is_fact")).alias("stage_count"))
     gap = F.abs(F.col("fact_count") - F.col("stage_count"))
-    return facts.join(staged, F.lit(True)).select(
+    return counts.select(
         F.lit("olap_fact_sessions_consistency").alias("assertion_name"),
         "fact_count", "stage_count", status(gap <= V.FACT_STAGE_TOLERANCE).alias("status"))
 
@@ -241,6 +243,29 @@ def olap_results(fact: DataFrame, dims: dict[str, DataFrame], day: dt.date) -> D
                   ["fact_sessions_volume", *[f"{n}_integrity" for n in OLAP_NAMES]], F.lit(day))
 
 
+def assertion_results(raw: DataFrame, flat: DataFrame, sessions: DataFrame, fact: DataFrame,
+                      dims: dict[str, DataFrame], day: dt.date) -> DataFrame:
+    """Every assertion of a day as a log row; ``count`` is the assertion's first number.
+
+    Names differ from those of the monitoring rows, so both can stand in one log.
+    """
+    reports = [(c.table.split("_")[0].replace("stg", "stage").replace("fact", "olap")
+                .replace("dim", "olap"), c.report({
+                    "stg_events_flat": flat, "stg_sessions": sessions, "fact_sessions": fact,
+                    **dims}[c.table]))
+               for c in CHECKS.values()]
+    reports += [("olap", integrity(fact, dims[n], n)) for n in REFERENCES]
+    reports += [("olap", consistency(fact, sessions)), ("olap", not_empty(dims)),
+                ("raw", duplicate_param_keys(raw)), ("stage", bad_amounts(flat))]
+    out = None
+    for layer, report in reports:
+        number = next(c for c in report.columns if c not in ("assertion_name", "status"))
+        one = report.select(F.lit(day).alias("check_date"), F.lit(layer).alias("layer"),
+                            "assertion_name", "status", F.col(number).cast("bigint").alias("count"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def quality_history(flat: DataFrame, sessions: DataFrame, fact: DataFrame,
                     dims: dict[str, DataFrame]) -> DataFrame:
     """The same log rows for every day that has data."""
@@ -256,6 +281,6 @@ def quality_history(flat: DataFrame, sessions: DataFrame, fact: DataFrame,
 
 
 def failed_names(results: DataFrame) -> list[str]:
-    """Names of failing checks; at most one per check, so safe to bring to the driver."""
-    bad = results.where(F.col("status") == "FAIL").select("assertion_name")
+    """Names of failing checks: as many as there are checks at most."""
+    bad = results.where(F.col("status") == "FAIL").select("assertion_name").distinct()
     return sorted(r[0] for r in bad.collect())

@@ -46,6 +46,17 @@ def parse_event_date(text: Column) -> Column:
     return F.to_date(text, "yyyyMMdd")
 
 
+def tie_breaker() -> Column:
+    """What tells events of one name and microsecond apart.
+
+    The source's own sequence where it has one, else a hash of the whole event, so that
+    an export without a sequence still loads to the same rows on every run.
+    """
+    content = [F.col(c) for c in ("event_timestamp", "event_name", "user_pseudo_id", "user_id",
+                                  "event_params", "device", "geo", "traffic_source", "ecommerce")]
+    return F.coalesce(F.col("src_event_id"), F.xxhash64(*content))
+
+
 def flatten(raw: DataFrame) -> DataFrame:
     """Flat events: parameters and nested fields as columns, plus derived ones."""
     day = parse_event_date(F.col("event_date"))
@@ -71,7 +82,7 @@ def flatten(raw: DataFrame) -> DataFrame:
         *[event_param(p, "int_value").alias(p) for p in V.INT_PARAMS],
         *[event_param(p, "string_value").alias(p) for p in V.TEXT_PARAMS],
         *[F.col(path).alias(name) for name, path in nested.items()],
-        "table_suffix", "src_event_id")
+        "table_suffix", tie_breaker().alias("src_event_id"))
     return opened.withColumns({
         "session_id": keys.session_key(F.col("user_pseudo_id"), F.col("ga_session_id")),
         "page_domain": rules.page_domain(F.col("page_location")),
@@ -132,6 +143,19 @@ def session_parts(time_col: str = "day", lenient: bool = False) -> dict[str, Col
     }
 
 
+# How parts of one session that were built apart become one.
+COMBINE = {"session_start_timestamp": F.min, "entry": F.min, "events_count": F.sum,
+           "pageviews": F.sum, "scrolls": F.sum, "conversion_events_count": F.sum,
+           "lead_events_count": F.sum, "total_conversion_value": F.sum,
+           "total_purchase_revenue": F.sum}
+
+
+def combined_parts(parts: DataFrame, grain: list[str]) -> DataFrame:
+    """Sessions whose ``session_parts`` were aggregated in several pieces; the rest is a maximum."""
+    names = [c for c in parts.columns if c not in grain]
+    return parts.groupBy(*grain).agg(*[COMBINE.get(c, F.max)(c).alias(c) for c in names])
+
+
 def session_columns(grain: list[str], extra: tuple[str, ...] = ()) -> list[Column]:
     """Final session columns from the aggregates of ``session_parts``."""
     return [
@@ -142,9 +166,8 @@ def session_columns(grain: list[str], extra: tuple[str, ...] = ()) -> list[Colum
         F.col("events_count"), *[F.col(c) for c in extra],
         F.col("pageviews"), F.col("scrolls"), F.col("has_conversion"), F.col("has_lead"),
         F.col("conversion_events_count"), F.col("lead_events_count"),
-        F.round("total_conversion_value", 4).alias("total_conversion_value"),
-        F.col("max_purchase_revenue"),
-        F.round("total_purchase_revenue", 4).alias("total_purchase_revenue"),
+        F.col("total_conversion_value"), F.col("max_purchase_revenue"),
+        F.col("total_purchase_revenue"),
         F.col("entry.page_location").alias("landing_page"),
         F.col("last.page_location").alias("exit_page"),
         F.col("entry.device_category").alias("device_category"),
@@ -218,22 +241,44 @@ def gap_sessions(flat: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60)
     Events are first chained inside one user and time slot, so a user with very many
     events is spread over many tasks. The pieces, a few per slot at most, are then
     chained across slots; a session that runs through a slot border is joined again.
+    Events without a user cannot be told apart by visitor: they count as one span per slot
+    and are aggregated in part before they are shuffled.
+    """
+    return chained(gap_pieces(flat, gap_minutes, slot_minutes), gap_minutes)
+
+
+def chained(spans: DataFrame, gap_minutes: int = 30) -> DataFrame:
+    """Sessions from spans (user_pseudo_id, first, last, n) that were chained in pieces.
+
+    Spans may overlap, as pieces of different batches do. Unknown visitors are no visitor:
+    their spans are not chained any further than they came.
     """
-    gap, slot = gap_minutes * 60_000_000, slot_minutes * 60_000_000
+    spans = spans.select("user_pseudo_id", "first", "last", "n")
+    known = _chain(spans.where("user_pseudo_id IS NOT NULL"), ["user_pseudo_id"],
+                   gap_minutes * 60_000_000)
+    return known.unionByName(spans.where("user_pseudo_id IS NULL")).select(
+        "user_pseudo_id", F.timestamp_micros("first").alias("first_event_at"),
+        F.timestamp_micros("last").alias("last_event_at"), F.col("n").alias("events_count"))
+
+
+def gap_pieces(flat: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
+    """Events chained inside one user and time slot, as input of :func:`chained`."""
+    slot = slot_minutes * 60_000_000
     events = flat.where(F.col("event_timestamp").isNotNull()).select(
         "user_pseudo_id", F.expr(f"event_timestamp div {slot}").alias("slot"),
         F.col("event_timestamp").alias("first"), F.col("event_timestamp").alias("last"),
         F.lit(1).cast("bigint").alias("n"))
-    pieces = _chain(events, ["user_pseudo_id", "slot"], gap)
-    return _chain(pieces, ["user_pseudo_id"], gap).select(
-        "user_pseudo_id", F.timestamp_micros("first").alias("first_event_at"),
-        F.timestamp_micros("last").alias("last_event_at"), F.col("n").alias("events_count"))
+    unknown = events.where("user_pseudo_id IS NULL").groupBy("user_pseudo_id", "slot").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
+    known = events.where("user_pseudo_id IS NOT NULL")
+    return _chain(known, ["user_pseudo_id", "slot"], gap_minutes * 60_000_000).unionByName(unknown)
 
 
 def _chain(spans: DataFrame, group: list[str], gap: int) -> DataFrame:
-    """Joins spans of a group that start less than ``gap`` after the one before ends."""
+    """Joins spans of a group that start less than ``gap`` after all before have ended."""
     ordered = Window.partitionBy(*group).orderBy("first", "last")
-    apart = F.col("first") - F.lag("last").over(ordered) >= gap
+    before = F.max("last").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.col("first") - before >= gap
     marked = spans.withColumn("new", F.when(apart, 1).otherwise(0))
     numbered = marked.withColumn("session", F.sum("new").over(
         ordered.rowsBetween(Window.unboundedPreceding, 0)))
@@ -242,15 +287,6 @@ def _chain(spans: DataFrame, group: list[str], gap: int) -> DataFrame:
         F.sum("n").alias("n")).drop("session")
 
 
-def gap_session_windows(timed: DataFrame, gap: str = "30 minutes") -> DataFrame:
-    """Gap sessions of a stream, whose state already keeps one open session per user."""
-    return (timed.groupBy("user_pseudo_id", F.session_window("event_at", gap).alias("w"))
-            .agg(F.count(F.lit(1)).alias("events_count"),
-                 F.max("event_at").alias("last_event_at"))
-            .select("user_pseudo_id", F.col("w.start").alias("first_event_at"),
-                    "last_event_at", "events_count"))
-
-
 USER_PICKS = {"device_category": "primary_device_category", "country": "primary_country",
               "source": "primary_source", "medium": "primary_medium"}
 
@@ -276,9 +312,9 @@ def users(session_rows: DataFrame) -> DataFrame:
         F.datediff("user_last_seen_date", "user_first_seen_date").cast("bigint")
         .alias("user_lifetime_days"),
         "total_sessions", "total_events", "total_pageviews", "total_conversions", "total_leads",
-        F.round("conversion_value", 4).alias("total_user_conversion_value"),
-        F.round("revenue", 4).alias("total_user_purchase_revenue"),
-        F.round("duration", 4).alias("avg_session_duration_seconds"),
+        F.col("conversion_value").alias("total_user_conversion_value"),
+        F.col("revenue").alias("total_user_purchase_revenue"),
+        F.col("duration").alias("avg_session_duration_seconds"),
         "total_engaged_sessions",
         *[F.col(f"first.{c}").alias(name) for c, name in USER_PICKS.items()])
 

@@ -91,6 +91,16 @@ def partition_days(spark: SparkSession, path: str, partition: str) -> list[dt.da
                   if n.startswith(head) and n[len(head):len(head) + 1].isdigit())
 
 
+def numbered_folders(spark: SparkSession, path: str, head: str) -> list[int]:
+    """N of the folders ``head=N`` under a path."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [status.getPath().getName() for status in fs.listStatus(p)]
+    return sorted(int(n[len(head) + 1:]) for n in names
+                  if n.startswith(f"{head}=") and n[len(head) + 1:].isdigit())
+
+
 def retention_cutoff(as_of: dt.date, years: int) -> dt.date:
     """The same day ``years`` earlier; 29 February falls back to the 28th."""
     try:
@@ -158,6 +168,58 @@ def recover(spark: SparkSession, path: str) -> bool:
     return fs.rename(old, here)
 
 
+def replace_safely(df: DataFrame, path: str, partition: str | None = None) -> None:
+    """Replaces a whole table by writing the new version beside it and swapping it in.
+
+    Readers and a crash in between find the old version or the new one.
+    """
+    spark, new = df.sparkSession, f"{path}.new"
+    recover(spark, path)
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(partition) if partition else writer).parquet(new)
+    swap_in(spark, new, path)
+
+
+def stage_days(df: DataFrame, path: str, partition: str, cluster: tuple[str, ...]) -> None:
+    """Writes new versions of some days beside the table, for :func:`swap_days`."""
+    (laid_out(df, partition, cluster).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(partition)
+     .parquet(f"{path}.staged"))
+
+
+def swap_days(spark: SparkSession, path: str) -> int:
+    """Moves every staged day in place of the table's; returns how many.
+
+    A day's old folder is set aside, the new one moved in, each by one rename, and the old
+    folders go at the end. Stopped at any point it can be called again: a stage that was
+    not finished is dropped, a finished one is moved in to the last day.
+    """
+    fs, staged = _fs(spark, f"{path}.staged")
+    aside = _fs(spark, f"{path}.aside")[1]
+    if not fs.exists(staged):
+        fs.delete(aside, True)
+        return 0
+    if not fs.exists(_fs(spark, f"{path}.staged/_SUCCESS")[1]):
+        fs.delete(staged, True)
+        return 0
+    fs.mkdirs(aside)
+    fs.mkdirs(_fs(spark, path)[1])
+    names = [status.getPath().getName() for status in fs.listStatus(staged)
+             if status.isDirectory()]
+    for name in names:
+        here, old = (_fs(spark, f"{folder}/{name}")[1] for folder in (path, f"{path}.aside"))
+        if fs.exists(here):
+            fs.delete(old, True)
+            if not fs.rename(here, old):
+                raise RuntimeError(f"could not set {name} of {path} aside")
+        if not fs.rename(_fs(spark, f"{path}.staged/{name}")[1], here):
+            raise RuntimeError(f"could not move {name} to {path}")
+    fs.delete(staged, True)
+    fs.delete(aside, True)
+    spark.catalog.refreshByPath(path)
+    return len(names)
+
+
 def recluster(spark: SparkSession, path: str, partition: str, cluster: tuple[str, ...]) -> int:
     """Rewrites a table in a new order and swaps it in; the old one stays as ``.old``."""
     rows = rewrite(spark, path, f"{path}.new", partition, cluster)

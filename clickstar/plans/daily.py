@@ -9,7 +9,7 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -85,8 +85,7 @@ class DailyLoad:
                                    self.params.days_back(lookback))
         rows = tables.laid_out(self.stamp(stage.users(recent)), "user_first_seen_date",
                                schemas.TABLES["stg_users"].cluster)
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy("user_first_seen_date").parquet(self.path("stg_users")))
+        tables.replace_safely(rows, self.path("stg_users"), "user_first_seen_date")
 
     def dimension(self, name: str) -> None:
         """Extends a dimension by the day's new members; reads one day only.
@@ -106,7 +105,7 @@ class DailyLoad:
         tables.swap_in(self.spark, staged, path)
 
     def dim_date(self) -> None:
-        tables.write_replace(self.stamp(D.dim_date(self.spark)), self.path("dim_date"))
+        tables.replace_safely(self.stamp(D.dim_date(self.spark)), self.path("dim_date"))
 
     def dims(self, events: bool = False) -> dict[str, DataFrame]:
         names = [n for n in D.DIMENSIONS if events or n != "dim_event_type"]
@@ -127,15 +126,18 @@ class DailyLoad:
         tables.drop(self.spark, staged)
 
     def checks(self) -> DataFrame:
-        """The day's quality results, appended to the log."""
+        """The day's quality results; they replace those of an earlier run of the day."""
         dims = {**self.dims(), "dim_date": self.read("dim_date")}
-        results = quality.stage_results(
-            self.read_day("stg_events_flat"), self.read_day("stg_sessions"),
-            self.params.run_date).unionByName(quality.olap_results(
-                self.read_day("fact_sessions"), dims, self.params.run_date))
+        flat, sessions = self.read_day("stg_events_flat"), self.read_day("stg_sessions")
+        fact, day = self.read_day("fact_sessions"), self.params.run_date
+        export = raw.scan_raw_day(raw.open_export(self.spark, self.export), day)
+        results = (quality.stage_results(flat, sessions, day)
+                   .unionByName(quality.olap_results(fact, dims, day))
+                   .unionByName(quality.assertion_results(export, flat, sessions, fact, dims, day)))
         stamped = (self.stamp(results)
                    .withColumnRenamed("_etl_timestamp", "check_timestamp"))
-        tables.append_rows(stamped, self.path("data_quality_log"), "check_date")
+        tables.write_partitioned(stamped, self.path("data_quality_log"), "check_date",
+                                 schemas.TABLES["data_quality_log"].cluster)
         return raw.scan_partition(self.read("data_quality_log"), "check_date",
                                   self.params.run_date)
 
@@ -150,7 +152,7 @@ class DailyLoad:
             self.params.run_date, self.read_day("stg_events_flat"),
             self.read_day("stg_sessions"), self.read_day("fact_sessions"),
             self.read_day("fact_conversions"))
-        tables.write_replace(self.stamp(one).withColumnRenamed(
+        tables.replace_safely(self.stamp(one).withColumnRenamed(
             "_etl_timestamp", "report_timestamp"), self.path("daily_summary"))
 
     def retention(self, years: int = V.RETENTION_YEARS) -> dict[str, int]:
@@ -203,19 +205,28 @@ def merge_job(load: DailyLoad, name: str) -> None:
 
 def run_daily(spark: SparkSession, export: str, root: str, params: RunParams,
               reprocess_days: int = 1) -> DailyLoad:
-    """Export → stage → dimensions → facts → checks → summary, each step logged."""
+    """Export → stage → dimensions → facts → checks → summary, each step logged.
+
+    With ``reprocess_days`` the days before the run date are loaded again up to the
+    facts and their checks, oldest first, so late rows reach every table.
+    """
     load = DailyLoad(spark, export, root, params)
     load.logged("check_raw_data", load.check_raw)
     load.logged("stg_events_flat", lambda: load.stg_events_flat(reprocess_days),
                 "stg_events_flat")
     load.logged("stg_sessions", lambda: load.stg_sessions(reprocess_days), "stg_sessions")
-    load.logged_together({
-        "stg_users": load.stg_users, "dim_date": load.dim_date,
-        **{name: lambda name=name: load.dimension(name) for name in D.DIMENSIONS}})
-    for name in ("fact_sessions", "fact_events", "fact_conversions"):
-        merge_job(load, name)
-    load.logged("quality_gate", load.gate)
-    load.logged("quality_checks", load.checks)
+    load.logged("dim_date", load.dim_date)
+    for back in range(reprocess_days - 1, -1, -1):
+        day = replace(load, params=replace(
+            params, run_date=params.run_date - dt.timedelta(days=back)))
+        if back and day.read_day("stg_events_flat").isEmpty():
+            continue
+        steps = {name: lambda name=name, day=day: day.dimension(name) for name in D.DIMENSIONS}
+        day.logged_together(steps if back else {"stg_users": load.stg_users, **steps})
+        for name in ("fact_sessions", "fact_events", "fact_conversions"):
+            merge_job(day, name)
+        day.logged("quality_gate", day.gate)
+        day.logged("quality_checks", day.checks)
     load.logged("daily_summary", load.summary)
     return load
 

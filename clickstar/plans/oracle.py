@@ -133,13 +133,14 @@ def _key_columns(dims, conformed: bool) -> str:
 
 
 def _fact_sessions(prefix: str, conformed: bool) -> str:
+    source, grain = ("sess_event", ", ga_session_id") if conformed else ("sess", "")
     return f"""
     SELECT session_id, session_date, user_pseudo_id, user_id, session_date AS date_key,
       {_key_columns(_SESSION_VALUES, conformed)},
       session_start_timestamp, session_end_timestamp, session_duration_seconds, events_count,
       pageviews, has_conversion, has_lead, session_engaged, total_conversion_value,
-      total_purchase_revenue, landing_page, exit_page
-    FROM {_lookup_joins("sess AS x", _SESSION_VALUES, prefix)}"""
+      total_purchase_revenue, landing_page, exit_page{grain}
+    FROM {_lookup_joins(f"{source} AS x", _SESSION_VALUES, prefix)}"""
 
 
 _IDENTITY = ("coalesce(x.session_id, x.user_pseudo_id || '_') || '_' || x.event_timestamp "
@@ -338,6 +339,9 @@ CTES: dict[str, str] = {
     "sess": _sessions("session_id, user_pseudo_id, user_id, ga_session_id, "
                       "event_date_partition AS session_date",
                       "GROUP BY ALL", "event_timestamp_date"),
+    "sess_event": _sessions("session_id, user_pseudo_id, user_id, ga_session_id, "
+                            "event_date_partition AS session_date",
+                            "GROUP BY ALL", "make_timestamp(event_timestamp)"),
     "sess_real": _sessions(
         "session_id, user_pseudo_id, ga_session_id, "
         f"first(user_id ORDER BY {EVENT_ORDER}) FILTER (user_id IS NOT NULL) AS user_id, "
@@ -444,17 +448,15 @@ CTES: dict[str, str] = {
       FROM flat GROUP BY ALL UNION ALL SELECT 'stg_sessions',
       strftime(session_date, '%Y-%m-%d'), count(*),
       CAST(sum({_bytes(_SESSION_KINDS)}) AS BIGINT) FROM sess GROUP BY ALL""",
-    "big_pstats": """SELECT table_name, partition_id, total_rows,
-      total_logical_bytes * 100000 AS total_logical_bytes FROM pstats""",
     "date_keys": "SELECT date_key FROM d_date",
-    "device_keys": "SELECT device_key FROM d_device",
-    "geo_keys": "SELECT geo_key FROM d_geo",
-    "channel_keys": "SELECT channel_key FROM d_channel",
-    "dq_history": _dq("flat", "sess", "f_sessions",
+    "device_keys": "SELECT device_key FROM c_device",
+    "geo_keys": "SELECT geo_key FROM c_geo",
+    "channel_keys": "SELECT channel_key FROM c_channel",
+    "dq_history": _dq("flat", "sess", "g_sessions",
                       ("event_date_partition", "session_date", "session_date"),
                       ("GROUP BY event_date_partition", "GROUP BY session_date",
                        "GROUP BY session_date")),
-    "dq_day": _dq("flat", "sess", "f_sessions", (RUN, RUN, RUN),
+    "dq_day": _dq("flat", "sess", "g_sessions", (RUN, RUN, RUN),
                   (f"WHERE event_date_partition = {RUN}", f"WHERE session_date = {RUN}",
                    f"WHERE session_date = {RUN}")),
     "vol": "SELECT event_date_partition AS date, count(*) AS events_count FROM flat GROUP BY 1",

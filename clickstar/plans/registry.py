@@ -19,6 +19,7 @@ from clickstar.operators import dims as D
 from clickstar.operators import facts, marts, merge, metrics, monitor, quality, stage, tables
 from clickstar.plans import oracle as O
 from clickstar.plans.warehouse import Warehouse
+from clickstar import schemas
 from clickstar.schemas import TABLES, Table
 from clickstar.sources import calendar, raw
 from clickstar.streaming import jobs
@@ -36,10 +37,19 @@ RATE = "R2<sum(conversions) * 100.0 / count(*)>R2 AS conversion_rate"
 VALUE = "round(sum(total_conversion_value), 4) AS total_conversion_value"
 
 
+def comparable(df: DataFrame) -> DataFrame:
+    """Doubles to 4 places: sums differ in their last bits by the order of their rows.
+
+    Only here; the operators and the written tables keep full values.
+    """
+    doubles = [f.name for f in df.schema.fields if f.dataType.simpleString() == "double"]
+    return df.withColumns({c: F.round(c, 4) for c in doubles}) if doubles else df
+
+
 def add(name: str, query: Query, sql: str | None = None) -> None:
     """Registers a query. ``R2<x>R2`` in its SQL rounds x to 2 places, halves upwards."""
     assert name not in QUERIES, name
-    QUERIES[name] = query
+    QUERIES[name] = lambda w: comparable(query(w))
     if sql is not None:
         sql = sql.replace("R2<", "CAST(round(CAST(")
         SQL[name] = O.with_ctes(sql.replace(">R2", " AS DECIMAL(38, 9)), 2) AS DOUBLE)"))
@@ -70,7 +80,7 @@ def sessions_day(w: Warehouse) -> DataFrame:
 
 
 def fact_day(w: Warehouse) -> DataFrame:
-    return raw.scan_partition(w.fact_sessions(), "session_date", day(w))
+    return raw.scan_partition(w.table("fact_sessions"), "session_date", day(w))
 
 
 # --- sources ---------------------------------------------------------------------------
@@ -104,7 +114,7 @@ add("scan_lookback", lambda w: raw.scan_lookback(
 
 def generated_dates(w: Warehouse) -> DataFrame:
     """Every day between the first and last event, with its volume."""
-    volumes = monitor.daily_volumes(w.flat)
+    volumes = monitor.daily_volumes(flat_table(w))
     span = volumes.agg(F.min("date").alias("a"), F.max("date").alias("b"))
     every = span.select(F.explode(F.sequence("a", "b")).alias("date_value"))
     return every.join(volumes, F.col("date_value") == F.col("date"), "left").select(
@@ -116,7 +126,7 @@ add("generate_dates", generated_dates,
       FROM (SELECT CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS date_value
       FROM (SELECT min(date) AS a, max(date) AS b FROM vol)) LEFT JOIN vol ON date = date_value""")
 add("literal_rows", lambda w: calendar.holidays(w.spark).join(
-    monitor.daily_volumes(w.flat), F.col("holiday_date") == F.col("date"), "left").select(
+    monitor.daily_volumes(flat_table(w)), F.col("holiday_date") == F.col("date"), "left").select(
         "holiday_date", F.coalesce("events_count", F.lit(0)).alias("events_count")),
     f"""SELECT holiday_date, coalesce(events_count, 0) AS events_count
       FROM (SELECT CAST(unnest([{", ".join(f"'{h}'" for h in V.HOLIDAYS)}]) AS DATE)
@@ -240,20 +250,25 @@ add("insert_if_absent", lambda w: D.insert_if_absent(
 
 def appended_runs(w: Warehouse) -> DataFrame:
     """The run log appended in two halves by date."""
-    path = w.scratch("append_run_log")
+    path = w.fresh("append_run_log")
     date, run = F.col("run_date"), F.lit(day(w))
-    tables.write_partitioned(w.run_log.where(date < run), path, "run_date", ("dag_id",))
-    if not tables.partition_days(w.spark, path, "run_date")[-1] >= day(w):
-        tables.append_rows(tables.laid_out(w.run_log.where(date >= run), "run_date",
-                                           ("dag_id",)), path, "run_date")
+    tables.ensure_table(w.spark, path, schemas.ETL_RUN_LOG, "run_date")
+    for half in (w.run_log.where(date < run), w.run_log.where(date >= run)):
+        tables.append_rows(tables.laid_out(half, "run_date", ("dag_id",)), path, "run_date")
+    return tables.read_table(w.spark, path, schemas.ETL_RUN_LOG)
+
+
+def appended_checks(w: Warehouse) -> DataFrame:
+    """The quality log of all days, appended in two halves by date."""
+    path, log = w.fresh("append_dq_log"), w.quality_log()
+    date, run = F.col("check_date"), F.lit(day(w))
+    for half in (log.where(date < run), log.where(date >= run)):
+        tables.append_rows(tables.laid_out(half, "check_date", ("layer",)), path, "check_date")
     return w.spark.read.parquet(path)
 
 
 add("append_run_log", appended_runs, "SELECT * FROM rlog")
-add("append_dq_log", lambda w: quality.stage_results(flat_day(w), sessions_day(w), day(w))
-    .unionByName(quality.olap_results(
-        fact_day(w), {**w.dims(), "dim_date": w.table("dim_date")}, day(w))),
-    "SELECT * FROM dq_day")
+add("append_dq_log", appended_checks, "SELECT * FROM dq_history")
 
 
 def retained(w: Warehouse) -> DataFrame:
@@ -459,7 +474,7 @@ add("fact_conversions_day", lambda w: facts.fact_conversions(
     flat_day(w), w.dims(events=True)),
     f"SELECT * FROM f_conversions WHERE conversion_date = {RUN}")
 add("fact_sessions_conformed", lambda w: facts.fact_sessions(
-    sessions_table(w), w.dims(True), True), "SELECT * FROM g_sessions")
+    w.table("stg_sessions_real"), w.dims(True), True), "SELECT * FROM g_sessions")
 add("fact_events_conformed", lambda w: facts.fact_events(
     flat_table(w), w.dims(True, True), True), "SELECT * FROM g_events")
 add("fact_conversions_conformed", lambda w: facts.fact_conversions(
@@ -476,14 +491,14 @@ CHANGES_SQL = """SELECT 'volume_drop' AS alert_type, a.date AS check_date,
          'FAIL', 'PASS') AS status, a.events_count, b.events_count AS previous_count,
       R2<(a.events_count - b.events_count) / b.events_count * 100>R2 AS pct_change
       FROM vol AS a LEFT JOIN vol AS b ON a.date = b.date + 1"""
-add("self_join_prev_day", lambda w: monitor.volume_changes(w.flat), CHANGES_SQL)
+add("self_join_prev_day", lambda w: monitor.volume_changes(flat_table(w)), CHANGES_SQL)
 for _dim, _column in quality.REFERENCES.items():
     _cte = _dim.replace("dim_", "")
     add(f"orphans_{_cte}", lambda w, d=_dim, c=_column: quality.orphans(
-        w.fact_sessions(), w.table("dim_date") if d == "dim_date" else w.dim(d), c).groupBy(
+        w.table("fact_sessions"), w.table("dim_date") if d == "dim_date" else w.dim(d), c).groupBy(
             "session_date").agg(F.count(F.lit(1)).alias("orphan_sessions")),
-        f"""SELECT session_date, count(*) AS orphan_sessions FROM f_sessions AS f
-          WHERE NOT EXISTS (FROM {_cte}_keys AS d WHERE d.{_column} = f.{_column}) GROUP BY 1""")
+        f"""SELECT session_date, count(*) AS orphan_sessions FROM g_sessions AS f
+          WHERE NOT EXISTS (FROM d_{_cte} AS d WHERE d.{_column} = f.{_column}) GROUP BY 1""")
 add("exists_correlated", lambda w: w.run_log.where(F.col("status") != "failed").select(
     "run_date", "dag_id", "task_id").distinct().join(
         w.run_log.where(F.col("status") == "failed").select("run_date", "dag_id", "task_id")
@@ -497,7 +512,7 @@ add("not_exists", lambda w: w.dim("dim_campaign").select("utm_source", "utm_medi
           ["utm_source", "utm_medium"], "left_anti"),
     """SELECT DISTINCT utm_source, utm_medium FROM d_campaign AS c WHERE NOT EXISTS
       (FROM d_channel AS h WHERE h.source = c.utm_source AND h.medium = c.utm_medium)""")
-add("in_subquery", lambda w: w.flat.groupBy("event_date_partition", F.col("event_date_partition")
+add("in_subquery", lambda w: flat_table(w).groupBy("event_date_partition", F.col("event_date_partition")
     .isin([F.lit(h).cast("date") for h in V.HOLIDAYS]).alias("is_holiday")).agg(
         F.count(F.lit(1)).alias("events")),
     f"""SELECT event_date_partition, strftime(event_date_partition, '%Y-%m-%d')
@@ -529,7 +544,7 @@ add("conversion_number_lifetime", lambda w: facts.numbered_conversions(
 
 # --- sorts and top-k -----------------------------------------------------------------------
 
-add("order_desc", lambda w: monitor.daily_volumes(w.flat).orderBy(F.desc("date")),
+add("order_desc", lambda w: monitor.daily_volumes(flat_table(w)).orderBy(F.desc("date")),
     "SELECT date, events_count FROM vol ORDER BY date DESC")
 add("top_k", lambda w: w.query_log.orderBy(F.desc("total_bytes_billed"), "job_id").limit(20)
     .select("job_id", "total_bytes_billed"),
@@ -537,10 +552,10 @@ add("top_k", lambda w: w.query_log.orderBy(F.desc("total_bytes_billed"), "job_id
       ORDER BY total_bytes_billed DESC, job_id LIMIT 20""")
 add("latest_runs", lambda w: monitor.latest_runs(w.run_log),
     "SELECT * FROM rlog ORDER BY run_timestamp DESC, run_id LIMIT 10")
-add("distinct", lambda w: w.flat.select("country", "region", "city").distinct(),
+add("distinct", lambda w: flat_table(w).select("country", "region", "city").distinct(),
     "SELECT DISTINCT country, region, city FROM flat")
-add("union_all", lambda w: w.flat.select("utm_source").distinct().unionByName(
-    w.flat.select(F.col("traffic_source_source").alias("utm_source")).distinct()),
+add("union_all", lambda w: flat_table(w).select("utm_source").distinct().unionByName(
+    flat_table(w).select(F.col("traffic_source_source").alias("utm_source")).distinct()),
     """SELECT DISTINCT utm_source FROM flat
       UNION ALL SELECT DISTINCT traffic_source_source FROM flat""")
 
@@ -676,22 +691,22 @@ check("stage_events_critical_fields", f"""SELECT 'stage_events_critical_fields'
       {passed("count(event_name) + count(user_pseudo_id) + count(event_timestamp) "
               "= 3 * count(*)")} FROM {DAY_FLAT}""")
 check("olap_fact_sessions_volume", f"""SELECT 'olap_fact_sessions_volume' AS assertion_name,
-      count(*) AS sessions_count, {passed("count(*) > 0")} FROM f_sessions
+      count(*) AS sessions_count, {passed("count(*) > 0")} FROM g_sessions
       WHERE session_date = {RUN}""")
 for _dim, _column in quality.REFERENCES.items():
     _cte = _dim.replace("dim_", "")
     add(f"olap_fact_sessions_{_dim}_integrity",
         lambda w, d=_dim: quality.integrity(
-            fact_day(w), w.table("dim_date") if d == "dim_date" else w.dim(d), d),
+            fact_day(w), w.table("dim_date") if d == "dim_date" else w.dim(d, True), d),
         f"""SELECT 'olap_fact_sessions_{_dim}_integrity' AS assertion_name,
-          count(*) AS orphan_sessions, {passed("count(*) = 0")} FROM f_sessions AS f
+          count(*) AS orphan_sessions, {passed("count(*) = 0")} FROM g_sessions AS f
           WHERE session_date = {RUN} AND NOT EXISTS
           (FROM {_cte}_keys AS d WHERE d.{_column} = f.{_column})""")
 add("olap_fact_sessions_consistency",
     lambda w: quality.consistency(fact_day(w), sessions_day(w)),
     f"""SELECT 'olap_fact_sessions_consistency' AS assertion_name, a AS fact_count,
       b AS stage_count, {passed("abs(a - b) <= 5")}
-      FROM (SELECT count(*) AS a FROM f_sessions WHERE session_date = {RUN}),
+      FROM (SELECT count(*) AS a FROM g_sessions WHERE session_date = {RUN}),
       (SELECT count(*) AS b FROM {DAY_SESS})""")
 add("olap_conformed_consistency", lambda w: quality.consistency(
     w.table("fact_sessions"), sessions_table(w)),
@@ -716,8 +731,14 @@ add("olap_dim_device_unique_keys", lambda w: quality.CHECKS[
       count(DISTINCT device_key) AS unique_keys,
       {passed("count(*) = count(DISTINCT device_key)")} FROM d_device""")
 add("raw_duplicate_param_keys", lambda w: quality.duplicate_param_keys(w.export),
-    """SELECT 'raw_duplicate_param_keys' AS assertion_name,
-      CAST(0 AS BIGINT) AS events_with_duplicate_keys, 'PASS' AS status""")
+    f"""SELECT 'raw_duplicate_param_keys' AS assertion_name,
+      count(*) FILTER (len(k) <> len(list_distinct(k))) AS events_with_duplicate_keys,
+      {passed("count(*) FILTER (len(k) <> len(list_distinct(k))) = 0")}
+      FROM (SELECT list_concat(['session_engaged', 'page_title'], {" || ".join(
+          f"if({c} IS NULL, [], ['{c}'])" for c in (
+              "ga_session_id", "page_location", "page_referrer", "utm_source", "utm_medium",
+              "utm_campaign", "utm_term", "utm_content", "lead_id", "conversion_value"))}) AS k
+      FROM flat)""")
 add("stage_events_conversion_value", lambda w: quality.bad_amounts(flat_table(w)),
     f"""SELECT 'stage_events_conversion_value' AS assertion_name, count(*) AS unreadable_values,
       {passed("count(*) = 0")} FROM flat WHERE conversion_value IS NOT NULL
@@ -737,7 +758,7 @@ add("check_value_tolerance", lambda w: quality.value_checks(
         value_check_sql("check_events_volume", DAY_FLAT, V.EXPECTED_EVENTS),
         value_check_sql("check_sessions_volume", DAY_SESS, V.EXPECTED_SESSIONS),
         value_check_sql("check_fact_sessions_volume",
-                        f"f_sessions WHERE session_date = {RUN}", V.EXPECTED_FACTS)]))
+                        f"g_sessions WHERE session_date = {RUN}", V.EXPECTED_FACTS)]))
 add("check_truthy", lambda w: quality.truthy(flat_day(w), "dq_stage_events").unionByName(
     quality.truthy(sessions_day(w), "dq_stage_sessions")),
     f"""SELECT 'dq_stage_events' AS check_name, count(*) AS value, count(*) > 0 AS passed
@@ -762,11 +783,11 @@ add("vw_daily_summary", lambda w: monitor.runs_by_day(w.run_log, back(w, 30)),
       WHERE run_date >= {O.back(30)} GROUP BY 1, 2""")
 add("daily_summary", lambda w: monitor.daily_summary(
     day(w), flat_day(w), sessions_day(w), fact_day(w),
-    raw.scan_partition(w.fact_conversions(), "conversion_date", day(w))),
+    raw.scan_partition(w.table("fact_conversions"), "conversion_date", day(w))),
     f"""SELECT {RUN} AS report_date, (SELECT count(*) FROM {DAY_FLAT}) AS events_count,
       (SELECT count(*) FROM {DAY_SESS}) AS sessions_count,
-      (SELECT count(*) FROM f_sessions WHERE session_date = {RUN}) AS fact_sessions_count,
-      (SELECT count(*) FROM f_conversions WHERE conversion_date = {RUN})
+      (SELECT count(*) FROM g_sessions WHERE session_date = {RUN}) AS fact_sessions_count,
+      (SELECT count(*) FROM g_conversions WHERE conversion_date = {RUN})
         AS conversions_count""")
 add("alert_missing_daily_data", lambda w: monitor.missing_daily_data(flat_table(w), day(w)),
     f"""SELECT 'missing_daily_data' AS alert_type, {RUN} AS check_date,
@@ -789,19 +810,25 @@ COST_SQL = """SELECT 'high_query_cost' AS alert_type, CAST(creation_time AS DATE
       count(*) AS high_cost_queries, R2<sum(total_bytes_billed) / 1e12>R2 AS total_tb_billed
       FROM qlog WHERE total_bytes_billed > 1e12 AND creation_time >= {}
       GROUP BY 2 HAVING total_tb_billed > 5"""
-add("alert_high_query_cost", lambda w: monitor.high_query_cost(w.query_log, back(w, 30)),
-    COST_SQL.format(O.back(30)))
+add("alert_high_query_cost", lambda w: monitor.high_query_cost(w.query_log, back(w, 1)),
+    COST_SQL.format(O.back(1)))
+add("failure_messages", lambda w: monitor.failure_messages(w.run_log),
+    """SELECT run_date, dag_id, error_message, count(*) AS n FROM rlog WHERE status = 'failed'
+      GROUP BY 1, 2, 3""")
 BIG = "total_logical_bytes / 1e9"
-add("alert_large_partition", lambda w: monitor.large_partitions(w.partition_stats(100000)),
+# Limits that the supplied tables reach; the operators' own defaults are the published ones.
+SMALL_GB, LARGE_GB = 2e-6, 1e-5
+add("alert_large_partition", lambda w: monitor.large_partitions(
+    w.partition_stats(), day(w), SMALL_GB),
     f"""SELECT 'large_partition' AS alert_type, table_name, partition_id,
-      R2<{BIG}>R2 AS size_gb, total_rows, 'WARNING' AS status FROM big_pstats
-      WHERE {BIG} > 2""")
+      R2<{BIG}>R2 AS size_gb, total_rows, 'WARNING' AS status FROM pstats
+      WHERE {BIG} > {SMALL_GB:.9f} AND partition_id = '{O.P.run_date}'""")
 add("runs_by_task", lambda w: monitor.runs_by_task(w.run_log, back(w, 7)),
     f"""SELECT dag_id, task_id, status, count(*) AS execution_count,
       round(avg(duration_seconds), 4) AS avg_duration_seconds,
       CAST(sum(rows_processed) AS BIGINT) AS total_rows, {GBS} FROM rlog
       WHERE run_date >= {O.back(7)} GROUP BY 1, 2, 3""")
-add("volume_trend", lambda w: monitor.volume_trend(w.flat, back(w, 30)),
+add("volume_trend", lambda w: monitor.volume_trend(sessions_table(w), back(w, 30)),
     f"""SELECT event_date_partition AS date, count(*) AS events_count,
       count(DISTINCT session_id) AS unique_sessions,
       count(DISTINCT user_pseudo_id) AS unique_users,
@@ -839,23 +866,28 @@ add("partition_stats_newest", lambda w: monitor.newest_partitions(
     """SELECT * FROM pstats WHERE table_name = 'stg_events_flat'
       ORDER BY partition_id DESC LIMIT 10""")
 add("partition_file_sizes", lambda w: monitor.file_stats(
-    flat_table(w), "stg_events_flat", "event_date_partition"))
+    w.spark, w.path("stg_events_flat"), "stg_events_flat", "event_date_partition").select(
+        "table_name", "partition_id", (F.col("files") > 0).alias("has_files"),
+        (F.col("file_bytes") > 0).alias("has_bytes")),
+    """SELECT DISTINCT 'stg_events_flat' AS table_name,
+      strftime(event_date_partition, '%Y-%m-%d') AS partition_id, true AS has_files,
+      true AS has_bytes FROM flat""")
 add("partition_report", lambda w: monitor.partition_report(
-    w.partition_stats(100000), back(w, 7)),
+    w.partition_stats(), back(w, 7)),
     f"""SELECT table_name, partition_id, total_rows, R2<{BIG}>R2 AS size_gb,
-      R2<total_logical_bytes / 1e12>R2 AS size_tb FROM big_pstats
+      R2<total_logical_bytes / 1e12>R2 AS size_tb FROM pstats
       WHERE partition_id >= '{O.P.days_back(7)}'""")
 add("partition_size_recommendation", lambda w: monitor.size_recommendation(
-    w.partition_stats(100000)),
+    w.partition_stats(), small_gb=SMALL_GB, large_gb=LARGE_GB),
     f"""SELECT table_name, partition_id, R2<{BIG}>R2 AS size_gb, total_rows,
-      CASE WHEN {BIG} < 0.5 THEN '{V.PARTITION_TOO_SMALL}'
-      WHEN {BIG} > 2 THEN '{V.PARTITION_TOO_LARGE}' ELSE '{V.PARTITION_OPTIMAL}' END
-      AS recommendation FROM big_pstats ORDER BY table_name, partition_id DESC LIMIT 20""")
-add("partition_usage", lambda w: monitor.partition_usage(w.partition_stats(100000)),
+      CASE WHEN {BIG} < {SMALL_GB:.9f} THEN '{V.PARTITION_TOO_SMALL}'
+      WHEN {BIG} > {LARGE_GB:.9f} THEN '{V.PARTITION_TOO_LARGE}' ELSE '{V.PARTITION_OPTIMAL}' END
+      AS recommendation FROM pstats ORDER BY table_name, partition_id DESC LIMIT 20""")
+add("partition_usage", lambda w: monitor.partition_usage(w.partition_stats()),
     """SELECT table_name, count(DISTINCT partition_id) AS num_partitions,
       min(partition_id) AS oldest_partition, max(partition_id) AS newest_partition,
       CAST(sum(total_rows) AS BIGINT) AS total_rows,
-      R2<sum(total_logical_bytes) / 1e12>R2 AS total_size_tb FROM big_pstats GROUP BY 1""")
+      R2<sum(total_logical_bytes) / 1e12>R2 AS total_size_tb FROM pstats GROUP BY 1""")
 LARGE_SQL = f"""FROM qlog WHERE creation_time >= {O.back(7)} AND statement_type = 'SELECT'"""
 TOP_READ = "ORDER BY total_bytes_processed DESC, job_id LIMIT 10"
 add("expensive_queries", lambda w: monitor.expensive_queries(w.query_log, back(w, 7)),
@@ -884,10 +916,10 @@ add("partitions_queried", lambda w: monitor.partitions_queried(
 # --- streams ---------------------------------------------------------------------------------
 
 
-def streamed(w: Warehouse, name: str, start: Callable) -> str:
-    """Runs a job over the written export until all of it is read; returns its folder."""
-    path = w.scratch(f"stream_{name}")
-    source = jobs.open_stream(w.spark, w.path("raw_events"))
+def streamed(w: Warehouse, name: str, start: Callable, files_per_batch: int = 5) -> str:
+    """Runs a job over the written export in many batches; returns its folder."""
+    path = w.fresh(f"stream_{name}")
+    source = jobs.open_stream(w.spark, w.path("raw_events"), files_per_batch=files_per_batch)
     start(source, path, f"{path}_checkpoint").awaitTermination()
     return path
 
@@ -897,30 +929,39 @@ def stream_flatten(w: Warehouse) -> DataFrame:
 
 
 def stream_volume(w: Warehouse) -> DataFrame:
-    path = streamed(w, "volume", jobs.stream_volume)
-    return jobs.newest(w.spark, path, ["date"]).drop("approx_sessions")
+    """The sketch's estimate stands for itself as whether it is within 5 % of the true count."""
+    path = streamed(w, "volume", lambda *a: jobs.stream_volume(*a, every=4))
+    exact = flat_table(w).groupBy(F.col("event_date_partition").alias("date")).agg(
+        F.count_distinct("session_id").alias("n"))
+    near = F.abs(F.col("approx_sessions") - F.col("n")) <= 0.05 * F.col("n")
+    return jobs.daily_volume(w.spark, path).join(exact, "date").select(
+        "date", "events_count", "events_with_session", near.alias("sessions_within_bound"))
 
 
 def stream_sessions(w: Warehouse) -> DataFrame:
-    path = streamed(w, "sessions", jobs.stream_sessions)
-    return jobs.newest(w.spark, path, stage.SESSION_GRAIN)
+    return jobs.sessions_so_far(w.spark, streamed(
+        w, "sessions", lambda *a: jobs.stream_sessions(*a, every=4)))
+
+
+def stream_gap_sessions(w: Warehouse) -> DataFrame:
+    return jobs.gap_sessions_so_far(w.spark, streamed(w, "gaps", jobs.stream_gap_sessions))
 
 
 def stream_upsert(w: Warehouse) -> DataFrame:
     table: Table = TABLES["fact_events"]
     path = streamed(w, "upsert", lambda source, out, checkpoint: jobs.stream_upsert_events(
-        source, w.dims(True, True), table, out, f"{out}_staging", checkpoint))
+        source, w.dims(True, True), table, out, f"{out}_staging", checkpoint), 10)
     return tables.read_table(w.spark, path, table.schema).drop("_etl_timestamp")
 
 
 add("stream_flatten", stream_flatten, "SELECT * FROM flat")
 add("stream_volume", stream_volume,
     """SELECT event_date_partition AS date, count(*) AS events_count,
-      count(session_id) AS events_with_session FROM flat GROUP BY 1""")
-_REAL = O._sessions("session_id, user_pseudo_id, user_id, ga_session_id, "
-                    "event_date_partition AS session_date", "GROUP BY ALL",
-                    "make_timestamp(event_timestamp)")
+      count(session_id) AS events_with_session, true AS sessions_within_bound
+      FROM flat GROUP BY 1""")
 add("stream_sessions", stream_sessions,
     f"""SELECT {', '.join(c for c in O.SESSION_COLUMNS if c != 'unique_events_count')}
-      FROM ({_REAL})""")
+      FROM sess_event""")
+add("stream_gap_sessions", stream_gap_sessions)
+SQL["stream_gap_sessions"] = SQL["gap_sessions"]
 add("stream_upsert_events", stream_upsert, "SELECT * FROM g_events")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from clickstar.operators import dims as D
 from clickstar.operators import facts, marts, monitor, quality, stage, tables
 from clickstar.params import RunParams
+from clickstar.schemas import TABLES
 from clickstar.session import prepare, shared_dir, side_by_side
 from clickstar.sources import adapter, raw
 
@@ -30,6 +31,7 @@ class Warehouse:
         app = spark.sparkContext.applicationId
         self.root = root or f"{shared_dir(spark)}/clickstar-{app}/{tag}"
         self._written: set[str] = set()
+        self._fresh = 0
 
     # --- sources ---------------------------------------------------------------------
 
@@ -71,23 +73,26 @@ class Warehouse:
         return path
 
     def scratch(self, name: str) -> str:
-        """A folder for the result of a sink, not yet written."""
+        """A folder for the result of a sink."""
         return f"{self.root}/sinks/{name}"
 
+    def fresh(self, name: str) -> str:
+        """A folder that no call before has written to."""
+        self._fresh += 1
+        return self.scratch(f"{name}-{self._fresh}")
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
     def _write(self, name: str, path: str) -> None:
-        layout = {"raw_events": ("event_date", ()),
-                  "stg_events_flat": ("event_date_partition",
-                                      ("event_name", "user_pseudo_id", "session_id")),
-                  "stg_sessions": ("session_date", ("session_id", "source", "medium")),
-                  "fact_sessions": ("session_date", ("channel_key", "has_conversion")),
-                  "fact_events": ("event_date", ("session_id", "event_name")),
-                  "fact_conversions": ("conversion_date", ("channel_key", "conversion_type"))}
         rows = self._build(name)
-        if name in layout:
-            tables.write_partitioned(rows, path, *layout[name])
+        layout = TABLES.get(name.removesuffix("_real"))
+        if name == "raw_events":
+            tables.write_partitioned(rows, path, "event_date")
+        elif layout is not None and layout.partition:
+            # facts read tables whose files hold one day each already
+            tables.write_partitioned(rows, path, layout.partition, layout.cluster,
+                                     rebalance=not name.startswith("fact_"))
         else:
             tables.write_replace(rows, path)
 
@@ -98,10 +103,12 @@ class Warehouse:
             return self.flat
         if name == "stg_sessions":
             return stage.sessions(self.table("stg_events_flat"))
+        if name == "stg_sessions_real":
+            return stage.sessions(self.table("stg_events_flat"), "event")
         if name == "dim_date":
             return D.dim_date(self.spark)
         if name == "fact_sessions":
-            return facts.fact_sessions(self.table("stg_sessions"), self.dims(True), True)
+            return facts.fact_sessions(self.table("stg_sessions_real"), self.dims(True), True)
         if name == "fact_events":
             return facts.fact_events(self.table("stg_events_flat"), self.dims(True, True), True)
         if name == "fact_conversions":
@@ -153,18 +160,17 @@ class Warehouse:
 
     # --- operational tables --------------------------------------------------------------
 
-    def partition_stats(self, scale: int = 1) -> DataFrame:
-        """Sizes of the two stage tables; ``scale`` multiplies bytes to reach size limits."""
-        both = monitor.partition_stats(
+    def partition_stats(self) -> DataFrame:
+        """Sizes of the two stage tables."""
+        return monitor.partition_stats(
             self.table("stg_events_flat"), "stg_events_flat", "event_date_partition"
         ).unionByName(monitor.partition_stats(
             self.table("stg_sessions"), "stg_sessions", "session_date"))
-        return both.withColumn("total_logical_bytes", both.total_logical_bytes * scale)
 
     def quality_log(self) -> DataFrame:
         return quality.quality_history(
-            self.table("stg_events_flat"), self.table("stg_sessions"), self.fact_sessions(),
-            {**self.dims(), "dim_date": self.table("dim_date")})
+            self.table("stg_events_flat"), self.table("stg_sessions"), self.fact_sessions(True),
+            self.dims(True, date=True))
 
 
 _OPEN: dict[tuple[str, str], Warehouse] = {}

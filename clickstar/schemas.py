@@ -46,7 +46,7 @@ FACT_SESSIONS = struct("""
     session_duration_seconds bigint, events_count bigint, pageviews bigint,
     has_conversion boolean, has_lead boolean, session_engaged bigint,
     total_conversion_value double, total_purchase_revenue double,
-    landing_page string, exit_page string, _etl_timestamp timestamp""")
+    landing_page string, exit_page string, ga_session_id bigint, _etl_timestamp timestamp""")
 
 FACT_EVENTS = struct("""
     event_id string, event_date date, event_timestamp timestamp, session_id string,
@@ -106,7 +106,7 @@ _ALL = [
     Table("fact_sessions", "olap", "session_date",
           ("date_key", "channel_key", "has_conversion"), FACT_SESSIONS,
           "One row per session",
-          ("session_id", "session_date", "user_pseudo_id", "user_id"),
+          ("session_id", "session_date", "user_pseudo_id", "user_id", "ga_session_id"),
           ("session_start_timestamp", "session_end_timestamp", "session_duration_seconds",
            "events_count", "pageviews", "has_conversion", "has_lead", "session_engaged",
            "total_conversion_value", "total_purchase_revenue", "landing_page", "exit_page",

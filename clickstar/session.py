@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
@@ -51,11 +50,12 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
-    # A stream's gap sessions are merged inside each input task before they are shuffled.
-    spark.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     return spark
 
 
+LOCAL_DIR = "clickstar.local.dir"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors see, as named by ``spark.checkpoint.dir``.
 
@@ -66,10 +66,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = os.environ.get("CLICKSTAR_LOCAL_DIR")
+    folder = spark.conf.get(LOCAL_DIR, None)
     if folder is None:
         folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        os.environ["CLICKSTAR_LOCAL_DIR"] = folder
+        spark.conf.set(LOCAL_DIR, folder)
     return folder
 
 

@@ -1,9 +1,11 @@
 """Streaming jobs. Each takes a streaming DataFrame and returns a started query.
 
-The batch functions are reused unchanged. Aggregates are sent out in update mode:
-every micro-batch writes the groups it changed under its batch number, and
-``newest`` reads the last version of each group. A batch that runs again after a
-failure overwrites its own folder, so results stay exact.
+The batch functions are reused unchanged. A job keeps no state and no watermark: every
+micro-batch is aggregated by itself and written under its number as parts that can be
+combined, and a reader combines the parts of all batches. So the result depends neither
+on the size of a batch nor on the order in which files arrive, and no row is ever too
+late. A batch that runs again after a failure overwrites its own folder. From time to
+time finished parts are combined into one table, which bounds what readers read.
 """
 
 from __future__ import annotations
@@ -19,45 +21,85 @@ from clickstar.operators import facts, merge, stage, tables
 from clickstar.schemas import RAW_EVENTS, Table
 from clickstar.sources.raw import with_suffix
 
-WATERMARK = "1 day"
+# Batches between two compactions.
+COMPACT_EVERY = 50
+SESSION_DAY = list(stage.SESSION_GRAIN)
 
 
 def open_stream(spark: SparkSession, root: str, schema: StructType = RAW_EVENTS,
                 files_per_batch: int = 1000) -> DataFrame:
-    """New files under a partitioned export as a stream."""
+    """New files under a partitioned export as a stream; results do not depend on the limit."""
     return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
             .parquet(root))
 
 
-def flat_stream(raw: DataFrame, delay: str = WATERMARK) -> DataFrame:
-    """Flat events with their real time as watermarked ``event_at``."""
+def flat_stream(raw: DataFrame) -> DataFrame:
+    """Flat events with their real time as ``event_at``."""
     flat = stage.flatten(with_suffix(raw))
-    return (flat.withColumn("event_at", F.timestamp_micros("event_timestamp"))
-            .withWatermark("event_at", delay))
+    return flat.withColumn("event_at", F.timestamp_micros("event_timestamp"))
 
 
-def _each_batch(df: DataFrame, mode: str, checkpoint: str,
-                write: Callable[[DataFrame, int], None], continuous: str | None) -> StreamingQuery:
-    writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
+def _each_batch(df: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None],
+                continuous: str | None) -> StreamingQuery:
+    writer = df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
     writer = (writer.trigger(processingTime=continuous) if continuous
               else writer.trigger(availableNow=True))
     return writer.foreachBatch(write).start()
 
 
-def _numbered(path: str) -> Callable[[DataFrame, int], None]:
+# --- parts -------------------------------------------------------------------------------
+
+
+def _numbers(spark: SparkSession, path: str, head: str) -> list[int]:
+    """Numbers of the finished folders ``head=N`` under a path."""
+    return sorted(n for n in tables.numbered_folders(spark, path, head)
+                  if tables.exists(spark, f"{path}/{head}={n}/_SUCCESS"))
+
+
+def open_parts(spark: SparkSession, path: str) -> DataFrame:
+    """All parts that count: the newest combined table and every batch after it."""
+    merged = _numbers(spark, f"{path}/merged", "upto")
+    upto = merged[-1] if merged else -1
+    folders = [f"{path}/merged/upto={upto}"] if merged else []
+    folders += [f"{path}/parts/batch={n}" for n in _numbers(spark, f"{path}/parts", "batch")
+                if n > upto]
+    return spark.read.parquet(*folders)
+
+
+def compact(spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame],
+            upto: int) -> None:
+    """Combines the parts up to a batch into one table, then drops them.
+
+    A crash in between leaves parts that the finished table already covers; readers skip
+    them and the next compaction drops them.
+    """
+    merged = _numbers(spark, f"{path}/merged", "upto")
+    if merged and merged[-1] >= upto:
+        return
+    batches = [n for n in _numbers(spark, f"{path}/parts", "batch")
+               if n <= upto and (not merged or n > merged[-1])]
+    folders = [f"{path}/parts/batch={n}" for n in batches]
+    folders += [f"{path}/merged/upto={merged[-1]}"] if merged else []
+    tables.write_replace(combine(spark.read.parquet(*folders)), f"{path}/merged/upto={upto}")
+    for n in tables.numbered_folders(spark, f"{path}/parts", "batch"):
+        if n <= upto:
+            tables.drop(spark, f"{path}/parts/batch={n}")
+    for n in merged:
+        tables.drop(spark, f"{path}/merged/upto={n}")
+
+
+def _parts(path: str, aggregate: Callable[[DataFrame], DataFrame],
+           combine: Callable[[DataFrame], DataFrame], every: int
+           ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+        aggregate(batch).write.mode("overwrite").parquet(f"{path}/parts/batch={number}")
+        if number % every == every - 1:
+            compact(batch.sparkSession, path, combine, number - 1)
 
     return write
 
 
-def newest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Last version of every group written by an update-mode job."""
-    rows = spark.read.parquet(path)
-    values = [c for c in rows.columns if c not in keys and c != "batch"]
-    last = rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*values), F.col("batch")).alias("v"))
-    return last.select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
+# --- jobs --------------------------------------------------------------------------------
 
 
 def stream_flatten(raw: DataFrame, path: str, checkpoint: str,
@@ -72,58 +114,85 @@ def stream_flatten(raw: DataFrame, path: str, checkpoint: str,
     return writer.start()
 
 
-def daily_volume(flat: DataFrame) -> DataFrame:
-    """Events and about how many sessions per day, as a streaming aggregate."""
-    return (flat.groupBy(F.window("event_at", "1 day").alias("w"))
-            .agg(F.count(F.lit(1)).alias("events_count"),
-                 F.count("session_id").alias("events_with_session"),
-                 F.approx_count_distinct("session_id").alias("approx_sessions"))
-            .select(F.to_date("w.start").alias("date"), "events_count", "events_with_session",
-                    "approx_sessions"))
+def volume_parts(flat: DataFrame) -> DataFrame:
+    """Events per day and a sketch of their distinct sessions."""
+    return flat.groupBy(F.to_date("event_at").alias("date")).agg(
+        F.count(F.lit(1)).alias("events_count"),
+        F.count("session_id").alias("events_with_session"),
+        F.hll_sketch_agg("session_id").alias("sessions"))
 
 
-def stream_volume(raw: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK,
-                  continuous: str | None = None) -> StreamingQuery:
-    return _each_batch(daily_volume(flat_stream(raw, delay)), "update", checkpoint,
-                       _numbered(path), continuous)
+def combined_volume(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("date").agg(
+        F.sum("events_count").alias("events_count"),
+        F.sum("events_with_session").alias("events_with_session"),
+        F.hll_union_agg("sessions").alias("sessions"))
 
 
-def stream_sessions(raw: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK,
-                    continuous: str | None = None) -> StreamingQuery:
-    """Sessions built up event by event; the day in the key bounds the state."""
-    flat = flat_stream(raw, delay)
-    keys = ["session_id", "user_pseudo_id", "user_id", "ga_session_id"]
-    parts = stage.session_parts("event")
-    grouped = (flat.groupBy(*keys, F.window("event_at", "1 day").alias("day"))
-               .agg(*[c.alias(n) for n, c in parts.items()])
-               .withColumn("session_date", F.to_date("day.start")))
-    return _each_batch(grouped.select(*stage.session_columns(stage.SESSION_GRAIN)), "update",
-                       checkpoint, _numbered(path), continuous)
+def stream_volume(raw: DataFrame, path: str, checkpoint: str, continuous: str | None = None,
+                  every: int = COMPACT_EVERY) -> StreamingQuery:
+    return _each_batch(flat_stream(raw), checkpoint,
+                       _parts(path, volume_parts, combined_volume, every), continuous)
 
 
-def stream_gap_sessions(raw: DataFrame, path: str, checkpoint: str, gap: str = "30 minutes",
-                        delay: str = WATERMARK, continuous: str | None = None) -> StreamingQuery:
-    """Gap sessions, each written once the watermark has passed its end."""
-    out = stage.gap_session_windows(flat_stream(raw, delay), gap)
-    return _each_batch(out, "append", checkpoint, _numbered(path), continuous)
+def daily_volume(spark: SparkSession, path: str) -> DataFrame:
+    """Events, events with a session and about how many sessions per day, so far."""
+    return combined_volume(open_parts(spark, path)).select(
+        "date", "events_count", "events_with_session",
+        F.hll_sketch_estimate("sessions").alias("approx_sessions"))
 
 
-def stream_upsert_events(raw: DataFrame, dims: dict[str, DataFrame], table: Table, path: str,
-                         staging: str, checkpoint: str, delay: str = WATERMARK,
-                         continuous: str | None = None) -> StreamingQuery:
-    """Upserts events into the event fact, each event once within the watermark."""
-    flat = flat_stream(raw, delay)
-    keyed = facts.fact_events(
-        flat.dropDuplicatesWithinWatermark(["user_pseudo_id", "event_timestamp", "event_name",
-                                            "src_event_id"]), dims, conformed=True)
-    keyed = keyed.withColumn("_etl_timestamp", F.lit(None).cast("timestamp"))
+def session_parts(flat: DataFrame) -> DataFrame:
+    dated = flat.withColumn("session_date", F.to_date("event_at"))
+    return dated.groupBy(*SESSION_DAY).agg(
+        *[c.alias(n) for n, c in stage.session_parts("event").items()])
+
+
+def combined_sessions(parts: DataFrame) -> DataFrame:
+    return stage.combined_parts(parts, SESSION_DAY)
 
+
+def stream_sessions(raw: DataFrame, path: str, checkpoint: str, continuous: str | None = None,
+                    every: int = COMPACT_EVERY) -> StreamingQuery:
+    """Sessions built up batch by batch, one row per session, user and day in each."""
+    return _each_batch(flat_stream(raw), checkpoint,
+                       _parts(path, session_parts, combined_sessions, every), continuous)
+
+
+def sessions_so_far(spark: SparkSession, path: str) -> DataFrame:
+    return combined_sessions(open_parts(spark, path)).select(
+        *stage.session_columns(SESSION_DAY))
+
+
+def stream_gap_sessions(raw: DataFrame, path: str, checkpoint: str, gap_minutes: int = 30,
+                        continuous: str | None = None, every: int = COMPACT_EVERY
+                        ) -> StreamingQuery:
+    """Gap sessions as chained spans of each batch."""
+    def keep(parts: DataFrame) -> DataFrame:
+        return parts
+
+    return _each_batch(flat_stream(raw), checkpoint, _parts(
+        path, lambda flat: stage.gap_pieces(flat, gap_minutes).drop("slot"), keep, every),
+        continuous)
+
+
+def gap_sessions_so_far(spark: SparkSession, path: str, gap_minutes: int = 30) -> DataFrame:
+    return stage.chained(open_parts(spark, path), gap_minutes)
+
+
+def stream_upsert_events(raw: DataFrame, dims: dict[str, DataFrame], table: Table, path: str,
+                         staging: str, checkpoint: str, continuous: str | None = None
+                         ) -> StreamingQuery:
+    """Upserts events into the event fact; an event that comes again changes nothing."""
     def upsert(batch: DataFrame, number: int) -> None:
         """Stages the batch once, as the merge reads its source several times."""
         folder = f"{staging}/batch={number}"
-        batch.write.mode("overwrite").parquet(folder)
+        once = facts.fact_events(batch, dims, conformed=True).dropDuplicates(
+            list(table.merge_keys))
+        once = once.withColumn("_etl_timestamp", F.lit(None).cast("timestamp"))
+        once.write.mode("overwrite").parquet(folder)
         merge.merge_table(batch.sparkSession, path, batch.sparkSession.read.parquet(folder),
                           table)
         tables.drop(batch.sparkSession, folder)
 
-    return _each_batch(keyed, "append", checkpoint, upsert, continuous)
+    return _each_batch(flat_stream(raw), checkpoint, upsert, continuous)

@@ -58,14 +58,23 @@ def test_large_dimensions_are_not_broadcast(w, spark):
 
 
 def test_sessions_aggregate_before_the_shuffle(w):
-    text = plan(stage.sessions_lite(w.flat))
-    assert text.count("Exchange hashpartitioning") == 1
-    assert text.index("merge_") if "merge_" in text else "partial_" in text
+    for form in (stage.sessions_lite(w.flat), stage.sessions(w.table("stg_events_flat"))):
+        text = plan(form)
+        before = text[text.rindex("Exchange hashpartitioning"):]
+        assert "functions=[partial_" in before
+    assert plan(stage.sessions_lite(w.flat)).count("Exchange hashpartitioning") == 1
 
 
 def test_numbering_shuffles_rows_once_by_slot(w):
     text = plan(facts.numbered_conversions(w.table("stg_events_flat")))
-    assert "_slot" in text and "SinglePartition" not in text
+    moved = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(moved) == 3 and all("_slot" in line or "ENSURE" in line for line in moved)
+    assert sum("_slot" in line for line in moved) == 2 and "SinglePartition" not in text
+
+
+def test_look_back_of_the_trend_prunes_partitions(w):
+    text = plan(QUERIES["volume_trend"](w))
+    assert "PartitionFilters: [isnotnull(session_date" in text
 
 
 def test_dashboard_reads_needed_columns_only(w):

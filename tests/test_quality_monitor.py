@@ -182,7 +182,8 @@ def test_partition_reports(spark):
 
 
 def test_file_stats_add_up(w):
-    per_day = monitor.file_stats(w.table("stg_events_flat"), "f", "event_date_partition")
+    w.path("stg_events_flat")
+    per_day = monitor.file_stats(w.spark, w.path("stg_events_flat"), "f", "event_date_partition")
     assert per_day.count() == 30
     assert per_day.agg(F.min("file_bytes")).first()[0] > 0
 
@@ -196,6 +197,24 @@ def mart(spark, *rows):
     return spark.createDataFrame(list(rows), MART)
 
 
+def test_average_just_below_the_range_fails(spark):
+    """The rule sees the average itself, not a rounded one."""
+    few = spark.range(100_000).select(F.when(F.col("id") == 0, 0).otherwise(1).alias("events_count"))
+    row = quality.CHECKS["stage_sessions_events_distribution"].report(few).first()
+    assert row["status"] == "FAIL" and row["avg_events_per_session"] == 0.99999
+
+
+def test_messages_that_differ_in_ids_are_one_class(spark):
+    log = spark.createDataFrame(
+        [(d(15), "j", "failed", f"could not read row {i} of part {i * 7}") for i in range(50)]
+        + [(d(15), "j", "failed", "E1"), (d(15), "j", "failed", "E2")],
+        "run_date date, dag_id string, status string, error_message string")
+    row = monitor.failed_jobs(log, d(15)).first()
+    assert (row["failed_tasks"], row["error_messages"]) == (
+        52, "E1; E2; could not read row N of part N")
+    assert monitor.failure_messages(log).count() == 52
+
+
 def test_metrics_on_nothing_give_null_rates(spark):
     row = metrics.kpi_overview(mart(spark)).first()
     assert row["sessions"] == 0 and row["conversion_rate"] is None

@@ -1,5 +1,9 @@
-"""Streams against batch, duplicates, restarts and late rows."""
+"""Streams against batch: any batch size and file order, duplicates, restarts, compaction."""
 
+import os
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from clickstar.operators import dims as D
@@ -14,6 +18,68 @@ def write(spark, root, *events):
     rows.write.mode("append").partitionBy("event_date").parquet(root)
 
 
+def rows_of(df, *columns):
+    return sorted(map(repr, df.select(*columns).collect()))
+
+
+def month_of_events():
+    """30 days, some users and sessions that meet in several files, unknown users."""
+    rng = random.Random(4)
+    out = []
+    for day in range(1, 31):
+        for n in range(12):
+            user = rng.choice(["u1", "u2", "u3", None])
+            out.append(event(micros(rng.choice([1, 1.2, 9, 23.9]), day, n), seq=day * 100 + n,
+                             name=rng.choice(["page_view", "scroll", "purchase"]), user=user,
+                             session=rng.choice([1, 2, None]), day=day))
+    return out
+
+
+@pytest.fixture(scope="module")
+def newest_first(spark, tmp_path_factory):
+    """One file a day, the newest day written first by its modification time."""
+    root = str(tmp_path_factory.mktemp("backlog") / "raw")
+    events = month_of_events()
+    raw(spark, *events).drop("table_suffix").coalesce(1).write.partitionBy("event_date").parquet(root)
+    for day in range(1, 31):
+        folder = f"{root}/event_date=202401{day:02d}"
+        for name in os.listdir(folder):
+            os.utime(f"{folder}/{name}", (1.7e9 - day * 1000,) * 2)
+    return root, stage.flatten(raw(spark, *events))
+
+
+@pytest.mark.parametrize("files", [3, 1000])
+def test_volume_and_sessions_do_not_depend_on_batches(spark, newest_first, tmp_path, files):
+    root, flat = newest_first
+    source = lambda: jobs.open_stream(spark, root, files_per_batch=files)
+    v, s, g = (str(tmp_path / n) for n in ("v", "s", "g"))
+    jobs.stream_volume(source(), v, f"{v}-ck", every=4).awaitTermination()
+    got = jobs.daily_volume(spark, v)
+    want = flat.groupBy(F.col("event_date_partition").alias("date")).agg(
+        F.count("*").alias("events_count"), F.count("session_id").alias("events_with_session"),
+        F.count_distinct("session_id").alias("approx_sessions"))
+    assert rows_of(got, *want.columns) == rows_of(want, *want.columns)
+    jobs.stream_sessions(source(), s, f"{s}-ck", every=4).awaitTermination()
+    want = stage.sessions(flat, "event").drop("unique_events_count")
+    assert rows_of(jobs.sessions_so_far(spark, s), *want.columns) == rows_of(want, *want.columns)
+    jobs.stream_gap_sessions(source(), g, f"{g}-ck", every=3).awaitTermination()
+    want = stage.gap_sessions(flat)
+    assert rows_of(jobs.gap_sessions_so_far(spark, g), *want.columns) == rows_of(want, *want.columns)
+
+
+def test_compaction_leaves_few_folders_and_one_result(spark, newest_first, tmp_path):
+    root, _ = newest_first
+    out = str(tmp_path / "v")
+    jobs.stream_volume(jobs.open_stream(spark, root, files_per_batch=2), out, f"{out}-ck",
+                       every=5).awaitTermination()
+    parts = tables.numbered_folders(spark, f"{out}/parts", "batch")
+    assert parts == [14] and tables.numbered_folders(spark, f"{out}/merged", "upto") == [13]
+    # a crash after the combined table was written leaves parts that it covers already
+    before = rows_of(jobs.daily_volume(spark, out), "date", "events_count")
+    spark.read.parquet(f"{out}/merged/upto=13").write.parquet(f"{out}/parts/batch=13")
+    assert rows_of(jobs.daily_volume(spark, out), "date", "events_count") == before
+
+
 def test_flatten_restarts_where_it_stopped(spark, tmp_path):
     source, out, ck = (str(tmp_path / n) for n in ("raw", "out", "ck"))
     write(spark, source, event(micros(1), seq=0))
@@ -31,36 +97,22 @@ def test_sessions_grow_over_batches(spark, tmp_path):
     write(spark, source, event(micros(1.5), seq=2, name="purchase"),
           event(micros(3), seq=3, user="u2"))
     jobs.stream_sessions(jobs.open_stream(spark, source), out, ck).awaitTermination()
-    rows = {r["user_pseudo_id"]: r for r in jobs.newest(
-        spark, out, stage.SESSION_GRAIN).collect()}
+    rows = {r["user_pseudo_id"]: r for r in jobs.sessions_so_far(spark, out).collect()}
     one = rows["u1"]
     assert (one["events_count"], one["pageviews"], one["scrolls"]) == (3, 1, 1)
     assert one["has_conversion"] is True and one["session_duration_seconds"] == 1800
     assert rows["u2"]["events_count"] == 1
 
 
-def test_rows_behind_the_watermark_are_dropped(spark, tmp_path):
+def test_rows_of_a_day_long_past_still_count(spark, tmp_path):
     source, out, ck = (str(tmp_path / n) for n in ("raw", "out", "ck"))
     write(spark, source, event(micros(1, 15), seq=0))
     write(spark, source, event(micros(1, 25), seq=1, day=25))
-    jobs.stream_volume(jobs.open_stream(spark, source), out, ck, "1 hour").awaitTermination()
+    jobs.stream_volume(jobs.open_stream(spark, source), out, ck).awaitTermination()
     write(spark, source, event(micros(2, 15), seq=2))
-    jobs.stream_volume(jobs.open_stream(spark, source), out, ck, "1 hour").awaitTermination()
-    rows = {r["date"].day: r["events_count"] for r in jobs.newest(spark, out, ["date"]).collect()}
-    assert rows == {15: 1, 25: 1}
-
-
-def test_gap_sessions_come_out_after_the_watermark(spark, tmp_path):
-    source, out, ck = (str(tmp_path / n) for n in ("raw", "out", "ck"))
-    events = [event(micros(1), seq=0), event(micros(1.3), seq=1), event(micros(5), seq=2)]
-    write(spark, source, *events, event(micros(1, 20), seq=3, user="flush", day=20))
-    jobs.stream_gap_sessions(jobs.open_stream(spark, source), out, ck,
-                             delay="1 hour").awaitTermination()
-    got = spark.read.parquet(out).where("user_pseudo_id = 'u1'").drop("batch")
-    want = stage.gap_sessions(stage.flatten(raw(spark, *events)))
-    key = ["user_pseudo_id", "first_event_at", "last_event_at", "events_count"]
-    assert sorted(map(tuple, got.select(key).collect())) == sorted(
-        map(tuple, want.select(key).collect()))
+    jobs.stream_volume(jobs.open_stream(spark, source), out, ck).awaitTermination()
+    rows = {r["date"].day: r["events_count"] for r in jobs.daily_volume(spark, out).collect()}
+    assert rows == {15: 2, 25: 1}
 
 
 def test_upsert_takes_each_event_once(spark, tmp_path):
@@ -77,7 +129,7 @@ def test_upsert_takes_each_event_once(spark, tmp_path):
     jobs.stream_upsert_events(jobs.open_stream(spark, source), dims, table, out, staging,
                               ck).awaitTermination()
     write(spark, source, first[1], event(micros(3), seq=2))
-    jobs.stream_upsert_events(jobs.open_stream(spark, source), dims, table, out, staging,
-                              ck).awaitTermination()
+    jobs.stream_upsert_events(jobs.open_stream(spark, source, files_per_batch=1), dims, table,
+                              out, staging, ck).awaitTermination()
     got = tables.read_table(spark, out, table.schema)
     assert got.count() == 3 and got.where(F.col("device_key").isNull()).count() == 0

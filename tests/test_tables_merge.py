@@ -46,9 +46,54 @@ def test_duplicate_source_key_raises(spark, tmp_path):
     with pytest.raises(merge.DuplicateMergeKey):
         merge.merge_table(spark, str(tmp_path / "t"), twice, PLAIN)
     nulls = rows(spark, (None, d(1), "x", "x"), (None, d(1), "y", "y"))
-    merge.require_unique(nulls, ["id"], null_safe=False)
+    assert merge.merge_rows(nulls.limit(0), nulls, ["id"], null_safe=False).count() == 2
     with pytest.raises(merge.DuplicateMergeKey):
-        merge.require_unique(nulls, ["id"])
+        merge.merge_table(spark, str(tmp_path / "n"), nulls, PLAIN)
+
+
+def test_merge_is_one_shuffle(spark):
+    target, source = rows(spark, ("1", d(1), "x", "x")), rows(spark, ("1", d(1), "y", "y"))
+    text = merge.merge_rows(target, source, ["id", "day"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
+
+
+def test_a_merge_stopped_between_stage_and_swap_loses_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    first = rows(spark, ("1", d(1), "x", "x"), ("2", d(1), "x", "x"), ("3", d(2), "x", "x"))
+    merge.merge_table(spark, path, first, PLAIN)
+    change = rows(spark, ("1", d(1), "new", "x"), ("4", d(2), "new", "x"), ("5", d(3), "new", "x"))
+    swap = tables.swap_days
+    calls = []
+
+    def stop_at_second(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        return swap(*args)
+
+    monkeypatch.setattr(tables, "swap_days", stop_at_second)
+    with pytest.raises(KeyboardInterrupt):
+        merge.merge_table(spark, path, change, PLAIN)
+    monkeypatch.setattr(tables, "swap_days", swap)
+    spark.catalog.refreshByPath(path)
+    assert [r[0] for r in got(spark, path)] == ["1", "2", "3"]
+    # the swap of one day stopped after its old folder was set aside
+    day = "day=2024-01-01"
+    (tmp_path / "t.aside").mkdir()
+    (tmp_path / "t" / day).rename(tmp_path / "t.aside" / day)
+    assert merge.merge_table(spark, path, rows(spark), PLAIN) == 0
+    spark.catalog.refreshByPath(path)
+    assert [(r[0], r[2]) for r in got(spark, path)] == [
+        ("1", "new"), ("2", "x"), ("3", "x"), ("4", "new"), ("5", "new")]
+    assert not (tmp_path / "t.staged").exists() and not (tmp_path / "t.aside").exists()
+
+
+def test_an_unfinished_stage_is_dropped(spark, tmp_path):
+    path = str(tmp_path / "t")
+    merge.merge_table(spark, path, rows(spark, ("1", d(1), "x", "x")), PLAIN)
+    (tmp_path / "t.staged" / "day=2024-01-01").mkdir(parents=True)
+    assert tables.swap_days(spark, path) == 0
+    assert len(got(spark, path)) == 1 and not (tmp_path / "t.staged").exists()
 
 
 def test_table_merge_is_idempotent_and_touches_only_its_days(spark, tmp_path):
