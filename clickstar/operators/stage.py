@@ -291,9 +291,15 @@ USER_PICKS = {"device_category": "primary_device_category", "country": "primary_
               "source": "primary_source", "medium": "primary_medium"}
 
 
-def users(session_rows: DataFrame) -> DataFrame:
-    """One row per user over the sessions given (the caller applies the look-back)."""
+def users(session_rows: DataFrame, most_frequent: bool = False) -> DataFrame:
+    """One row per user over the sessions given (the caller applies the look-back).
+
+    Device, country, source and medium come from the first session, or, if
+    ``most_frequent``, each is the value that most sessions have (ties: the smallest).
+    """
     first = F.min(F.struct("session_date", "ga_session_id", "session_id", *USER_PICKS))
+    if most_frequent:
+        first = F.struct(*[F.mode(c, True).alias(c) for c in USER_PICKS])
     grouped = session_rows.groupBy("user_pseudo_id", "user_id").agg(
         F.min("session_date").alias("user_first_seen_date"),
         F.max("session_date").alias("user_last_seen_date"),

@@ -122,3 +122,39 @@ def test_gap_sessions_against_brute_force(spark):
         "user_pseudo_id", F.unix_micros("first_event_at"), F.unix_micros("last_event_at"),
         "events_count").collect()
     assert sorted(tuple(r) for r in got) == brute_gap(events, 30 * minute)
+
+
+def test_users_by_most_frequent_value(spark):
+    rows = [("u", None, f"s{i}", i, dt.date(2024, 1, 1 + i), device, "x") for i, device in
+            enumerate(["mobile", "desktop", "desktop", "tablet"])]
+    names = ("user_pseudo_id string, user_id string, session_id string, ga_session_id bigint, "
+             "session_date date, device_category string, country string")
+    df = spark.createDataFrame(rows, names)
+    for c in ("events_count", "pageviews", "session_duration_seconds", "session_engaged"):
+        df = df.withColumn(c, F.lit(1))
+    for c in ("has_conversion", "has_lead"):
+        df = df.withColumn(c, F.lit(False))
+    df = df.withColumns({"total_conversion_value": F.lit(0.0), "total_purchase_revenue": F.lit(0.0),
+                         "source": F.lit("a"), "medium": F.lit("b")})
+    assert stage.users(df).first()["primary_device_category"] == "mobile"
+    assert stage.users(df, most_frequent=True).first()["primary_device_category"] == "desktop"
+
+
+def test_unknown_users_of_one_slot_are_numbered_like_brute_force(spark):
+    """Nine of ten rows without a user, all in one quarter of an hour."""
+    import random
+
+    from clickstar.operators.numbering import number_rows
+
+    rng = random.Random(6)
+    base = micros(3)
+    rows = [(None if i % 10 else f"u{i % 3}", base + rng.randrange(0, 900) * 1_000_000, i)
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "user_pseudo_id string, event_timestamp bigint, "
+                                     "src_event_id bigint")
+    got = {r["src_event_id"]: r["n"] for r in number_rows(df, ["user_pseudo_id"], "n").collect()}
+    want = {}
+    for user in {r[0] for r in rows}:
+        own = sorted((t, i) for u, t, i in rows if u == user)
+        want |= {i: n for n, (_, i) in enumerate(own, 1)}
+    assert got == want
