@@ -45,10 +45,13 @@ def blanks(text: Column) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(" ")))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def matches(norm: Column, pattern: Column) -> Column:
     """(first, last) word of each match, in order."""
-    found = F.regexp_extract_all(norm, pattern, F.lit(0))
-    between = F.split(norm, pattern, F.lit(-1))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int>>")
                      .alias("spans"))
 
@@ -59,17 +62,24 @@ def matches(norm: Column, pattern: Column) -> Column:
         return F.struct((last + 1).alias("at"), F.concat(state.spans, F.array(F.struct(
             first.alias("first"), last.alias("last")))).alias("spans"))
 
-    pieces = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda b, m: F.struct(
-        b.alias("before"), m.alias("match")))
-    return F.when(F.size(found) == 0, start.spans).otherwise(
-        F.aggregate(pieces, start, step).spans)
+    def placed(found: Column) -> Column:
+        pieces = F.zip_with(F.slice(F.split(norm, pattern, F.lit(-1)), 1, F.size(found)), found,
+                            lambda b, m: F.struct(b.alias("before"), m.alias("match")))
+        return F.when(F.size(found) == 0, start.spans).otherwise(
+            F.aggregate(pieces, start, step).spans)
+
+    return bound(F.regexp_extract_all(norm, pattern, F.lit(0)), placed)
+
+
+def keyword_hits(words: Column) -> Column:
+    """The keywords of all rules that are among the text's words."""
+    return F.array_intersect(words, F.array(*map(F.lit, sorted(
+        {r["keyword"] for r in rule_list()}))))
 
 
-def detections(norm: Column, words: Column) -> Column:
-    """All detections of the rules whose keyword is among the text's words."""
+def detections(norm: Column, hits: Column) -> Column:
+    """All detections of the rules whose keyword is among ``hits``, a plain column."""
     table = F.from_json(F.lit(json.dumps(rule_list())), RULE)
-    keywords = F.array(*map(F.lit, sorted({r["keyword"] for r in rule_list()})))
-    hits = F.array_intersect(keywords, words)
     tried = F.filter(table, lambda r: F.array_contains(hits, r.keyword))
     found = F.flatten(F.transform(tried, lambda r: F.transform(
         matches(norm, r.pattern), lambda s: F.struct(
@@ -111,11 +121,11 @@ def joined(labels: Column) -> Column:
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, base_places, detections): the detections are the surviving ones."""
     norm = docs.select("doc_id", normalised(F.col("text")).alias("norm"))
-    words = F.split(F.trim("norm"), " ")
+    norm = norm.select("doc_id", "norm", keyword_hits(F.split(F.trim("norm"), " ")).alias("hits"))
     seen = norm.select("doc_id", F.greatest(blanks(F.col("norm")) - 1, F.lit(0))
                        .cast("bigint").alias("n_words"),
                        base_places(F.col("norm")).alias("base_places"),
-                       detections(F.col("norm"), words).alias("found"))
+                       detections(F.col("norm"), F.col("hits")).alias("found"))
     return seen.select("doc_id", "n_words", "base_places",
                        F.when(F.size("found") < 2, F.col("found"))
                        .otherwise(surviving(F.col("found"))).alias("detections"))
