@@ -125,8 +125,8 @@ def edited(docs: DataFrame, scratch: Scratch, k: int = K) -> DataFrame:
     smallest (length, text) counts. A null doc_id comes first. One document follows itself.
     """
     links = scratch.keep(next_ids(docs, scratch), "links")
-    text = F.coalesce("text", F.lit(""))
-    own = docs.select("doc_id", text.alias("text"), F.length(text).alias("n"))
+    # the same two columns on both sides, so that one shuffle of the texts serves both joins
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     giver = links.select(F.col("next_id").alias("giver"), F.col("id").alias("taker"), "need",
                          "several")
     meet = own.join(giver, F.col("doc_id").eqNullSafe(F.col("giver")))
@@ -139,9 +139,11 @@ def edited(docs: DataFrame, scratch: Scratch, k: int = K) -> DataFrame:
     given = gifts(meet.where(~F.col("several")))
     if not links.where("several").isEmpty():
         least = meet.where("several").groupBy("giver").agg(
-            F.min(F.struct("n", "text", "taker", "need")).alias("x")).select("x.*")
+            F.min(F.struct(F.length("text").alias("n"), "text", "taker", "need")).alias("x")
+        ).select("x.*")
         given = given.unionByName(gifts(least))
-    both = own.join(given, F.col("doc_id").eqNullSafe(F.col("taker")))
+    both = own.join(given, F.col("doc_id").eqNullSafe(F.col("taker"))).withColumn(
+        "n", F.length("text"))
     cut = F.floor(F.col("n") / 2).cast("int")
     new = F.concat(F.expr("left(text, int(n - floor(n / 2)))"), F.substring("start", F.lit(1), cut))
     return both.select("doc_id", "text", F.col("n").cast("bigint").alias("n_chars"),
