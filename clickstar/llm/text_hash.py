@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 
 MULTIPLIER = 0x9E3779B97F4A7C15 | 5
 _RANDOM = np.random.default_rng(20240229)
@@ -19,7 +20,8 @@ _LOWER[65:91] += 32
 WHITE = np.zeros(256, dtype=bool)
 WHITE[[0x20, *range(0x09, 0x0E)]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-CHUNK = 1 << 20
+# Bytes of text hashed at once; the arrays over them take about 80 times as much.
+CHUNK = 1 << 18
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +67,13 @@ class Words:
         return mix(raw + (ends - self.starts).astype(np.uint64) * _PLACES[63])
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few texts, so that what is made of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def in_chunks(texts: Sequence[str | None], size: int = CHUNK) -> Iterator[list[bytes]]:
     """Runs of texts of about ``size`` bytes; null is empty."""
     run, held = [], 0

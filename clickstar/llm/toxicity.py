@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickstar.llm.text_hash import WHITE, Words, in_chunks
+from clickstar.llm.text_hash import WHITE, Words, in_chunks, small
 
 BITS = 18
 COLUMNS = 1 << BITS
@@ -144,7 +144,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_toxic: int, max_clea
 
 
 def as_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         found = list(features(batch.column(1).to_pylist()))
         yield pa.record_batch(
             [batch.column(0), batch.column(2),
@@ -214,7 +214,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
                         ("severity", pa.float64()), ("grade", pa.int32()), ("rejected", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(1).to_pylist()
             above = model.exceed(model.score(texts)) if texts else np.zeros((0, GRADES))
             above[[not t or not t.strip() for t in texts]] = 0
@@ -232,7 +232,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
 def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that are not rejected, all columns as they were."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             severity = model.exceed(model.score(texts)).sum(axis=1) if texts else np.zeros(0)
             blank = np.array([not t or not t.strip() for t in texts], bool)
