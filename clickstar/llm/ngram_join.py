@@ -13,12 +13,17 @@ tokens of passages that many documents share, which would make long lists of can
 
 Steps: (1) one pass over the texts gives each document its set's class (a 64-bit hash) and
 size, and the counts; equal sets are one node from here on. (2) A second pass emits prefix
-tokens; those of a single class go, the rest are the lists. (3) Each list links its members
-to its smallest one of like size; verified links are joined to components. Groups of near
-copies thus cost one pair per member. (4) Lists that still hold several components emit
-their pairs across components, so no link is lost. (5) Components get their smallest doc_id.
-
-Nothing but the counts (2^18), the bits of a filter (2^26) and totals reaches the driver.
+tokens; those of a single class go, the rest are the lists, and a third pass keeps the two
+other prefixes of the classes in them. Sets are not stored but made again from the texts
+for the classes at hand, which a bit filter of fixed size picks before anything is shuffled.
+(3) Each list pairs its members with the one whose prefix is shared most, the text that others
+were made from; verified links are joined to components, and lists that still hold several
+do so once more. Groups of near copies thus cost one pair per member. (4) Lists that still
+hold several components emit their pairs across components, so no link is lost; a pair must
+be able to reach the threshold from the places of its token. (5) Components get their
+smallest doc_id.
+
+Nothing but the counts (2^18), the bits of filters (2^26 each) and totals reaches the driver.
 
 Defined cases: texts that are null or without words have an empty set, link with nothing
 and are their own component; a shorter text is one shingle of all its words; rows that
@@ -38,12 +43,12 @@ from pyspark.sql import functions as F
 
 from clickstar.llm.graph import components
 from clickstar.llm.tables import Scratch
-from clickstar.llm.text_hash import set_class, shingle_sets
+from clickstar.llm.text_hash import set_class, shingle_sets, small
 
 BUCKETS = 1 << 18
 FILTER_BITS = 1 << 26
 # Classes that a task remembers as done; forgetting one only repeats rows.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -66,7 +71,7 @@ def seen(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
-        for batch in batches:
+        for batch in small(batches):
             classes, sizes, held = [], [], []
             for tokens in shingle_sets(batch.column(1).to_pylist(), width):
                 sizes.append(len(tokens))
@@ -86,12 +91,13 @@ def seen(width: int):
 
 
 def prefixes(width: int, percent: int, counts: np.ndarray):
-    """(text) to (token, class, n): each set's prefix under the order of rare tokens first."""
-    schema = pa.schema([("token", pa.int64()), ("class", pa.int64()), ("n", pa.int32())])
+    """(text) to (token, class, n, pos): each set's prefix under the order of rare tokens first."""
+    schema = pa.schema([("token", pa.int64()), ("class", pa.int64()), ("n", pa.int32()),
+                        ("pos", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
-        for batch in batches:
+        for batch in small(batches):
             tokens, classes, sizes, lengths = [], [], [], []
             for s in shingle_sets(batch.column(0).to_pylist(), width):
                 if not len(s) or not partner_possible(len(s), percent):
@@ -112,47 +118,63 @@ def prefixes(width: int, percent: int, counts: np.ndarray):
                 yield pa.record_batch([
                     pa.array(np.concatenate(tokens).view(np.int64)),
                     pa.array(np.repeat(np.array(classes, np.int64), lengths)),
-                    pa.array(np.repeat(np.array(sizes, np.int32), lengths))], schema=schema)
+                    pa.array(np.repeat(np.array(sizes, np.int32), lengths)),
+                    pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]))],
+                    schema=schema)
 
     return run
 
 
-def whole_sets(width: int, percent: int, wanted: np.ndarray):
-    """(text) to (class, n, low, high, tokens) of the classes that the filter lets through.
+def passes(wanted: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which signed 64-bit values the filter lets through."""
+    at = values.view(np.uint64) & np.uint64(FILTER_BITS - 1)
+    return (wanted[(at >> np.uint64(3)).astype(np.int64)]
+            >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
-    ``low`` and ``high`` are the prefixes under the two hash orders.
-    """
-    longs = pa.list_(pa.int64())
-    schema = pa.schema([("class", pa.int64()), ("n", pa.int32()), ("low", longs),
-                        ("high", longs), ("tokens", longs)])
 
+def only(column: int, wanted: np.ndarray):
+    """The rows whose value in a column the filter lets through."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done: set[int] = set()
         for batch in batches:
-            out = {name: [] for name in schema.names}
+            yield batch.filter(pa.array(passes(wanted, batch.column(column).to_numpy())))
+
+    return run
+
+
+def chosen_sets(width: int, wanted: np.ndarray, columns: dict):
+    """(text) to one row of each class that the filter lets through; ``columns`` make its values."""
+    schema = pa.schema([("class", pa.int64()), ("n", pa.int32()),
+                        *[(name, pa.list_(pa.int64())) for name in columns]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
+        for batch in small(batches):
+            out: list[list] = [[] for _ in schema]
             for s in shingle_sets(batch.column(0).to_pylist(), width):
                 if not len(s):
                     continue
                 c = set_class(s)
-                at = c % FILTER_BITS
-                if c in done or not wanted[at >> 3] >> (at & 7) & 1:
+                if c in done or not passes(wanted, np.array([c], np.int64))[0]:
                     continue
                 if len(done) >= REMEMBERED:
                     done.clear()
                 done.add(c)
-                k = prefix_length(len(s), percent)
                 signed = s.view(np.int64)
-                for name, value in zip(schema.names, (c, len(s), signed[:k], signed[-k:], signed)):
-                    out[name].append(value)
-            yield pa.record_batch([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+                for held, value in zip(out, (c, len(s), *[f(signed) for f in columns.values()])):
+                    held.append(value)
+            yield pa.record_batch([pa.array(v, f.type) for v, f in zip(out, schema)], schema=schema)
 
     return run
 
 
-def filter_bits(classes: DataFrame) -> np.ndarray:
-    """A bit for each class, as bytes: FILTER_BITS / 8 of them, whatever the input."""
-    at = F.pmod("class", F.lit(FILTER_BITS))
-    rows = (classes.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
+def filter_bits(values: DataFrame) -> np.ndarray:
+    """A bit for each value of the only column, as bytes: FILTER_BITS / 8, whatever the input.
+
+    Values that were not put in pass by chance, more of them the more there are; what the
+    filter lets through is joined exactly afterwards.
+    """
+    at = F.pmod(values.columns[0], F.lit(FILTER_BITS))
+    rows = (values.select(at.alias("at")).groupBy(F.shiftright("at", 5).alias("word"))
             .agg(F.expr("bit_or(shiftleft(1L, cast(at % 32 as int)))").alias("bits")))
     words = np.zeros(FILTER_BITS // 32, np.uint32)
     found = rows.toArrow()
@@ -164,6 +186,17 @@ def size_fits(a: Column, b: Column, percent: int) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
 
+def can_reach(n: Column, pos: Column, m: Column, at: Column, percent: int) -> Column:
+    """Whether sets that share a token at these places of the first order can link.
+
+    If it is the first token they share, the overlap is at most 1 plus what comes after it
+    in either set, and it must be percent / (100 + percent) of both sizes together. A pair
+    that links passes at its first shared token at least.
+    """
+    most = F.least(n - pos, m - at)
+    return size_fits(n, m, percent) & (most * (100 + percent) >= (n + m) * percent)
+
+
 class Join:
     """One run of the join over ``docs(doc_id, text)``."""
 
@@ -184,66 +217,119 @@ class Join:
         counts = np.zeros(BUCKETS, np.int64)
         counts[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
         lists = self.lists(counts)
-        self.sets = self.text_pass(["text"], whole_sets(
-            self.width, self.percent, filter_bits(lists.select("class"))),
-            "class bigint, n int, low array<bigint>, high array<bigint>, tokens array<bigint>",
-            "all-sets")
-        self.sets = self.scratch.keep(self.sets.dropDuplicates(["class"]), "sets")
+        percent = self.percent
+        self.ends = self.sets("ends", lists.select("class"), {
+            "low": lambda t: t[:prefix_length(len(t), percent)],
+            "high": lambda t: t[-prefix_length(len(t), percent):]})
         labels = self.labels(lists)
         docs = both.where("bucket IS NULL").select("doc_id", "class", F.col("n").alias("n_shingles"))
         return self.smallest_ids(docs, labels)
 
     def lists(self, counts: np.ndarray) -> DataFrame:
-        """(token, class, n): the prefix tokens that several classes share."""
+        """(token, class, n, pos): the prefix tokens that several classes share."""
         emitted = self.text_pass(["text"], prefixes(self.width, self.percent, counts),
-                                 "token bigint, class bigint, n int", "prefixes")
+                                 "token bigint, class bigint, n int, pos int", "prefixes")
         several = (emitted.groupBy("token").agg(F.min("class").alias("x"), F.max("class").alias("y"))
                    .where("x < y").select("token"))
-        return self.scratch.keep(emitted.join(several, "token").distinct(), "lists")
+        several = self.scratch.keep(several, "several")
+        left = emitted.mapInArrow(only(0, filter_bits(several)), emitted.schema)
+        return self.scratch.keep(left.join(several, "token").distinct(), "lists")
+
+    def sets(self, name: str, classes: DataFrame, columns: dict) -> DataFrame:
+        """(class, n, ...) of at least the given classes, each once."""
+        schema = "class bigint, n int" + "".join(f", {c} array<bigint>" for c in columns)
+        rows = self.docs.select("text").mapInArrow(
+            chosen_sets(self.width, filter_bits(classes), columns), schema)
+        return self.scratch.keep(rows.dropDuplicates(["class"]), name)
 
     def labels(self, lists: DataFrame) -> DataFrame:
         """(node, label) of all classes that have a link."""
-        like = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / self.percent)))
-        banded = lists.withColumn("band", like)
-        least = banded.groupBy("token", "band").agg(F.min("class").alias("a"))
-        stars = banded.join(least, ["token", "band"]).where("a <> class").select(
-            F.least("a", "class").alias("a"), F.greatest("a", "class").alias("b")).distinct()
-        stars = self.scratch.keep(stars, "star-pairs")
-        links = self.verified(stars, "star")
-        first = self.scratch.keep(components(links, self.scratch, "first"), "first-labels")
-
-        marked = lists.join(first.withColumnRenamed("node", "class"), "class", "left").select(
-            "token", "class", "n", F.coalesce("label", "class").alias("label"))
-        marked = self.scratch.keep(marked, "marked")
-        mixed = (marked.groupBy("token").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                 .where("x < y").select("token"))
-        marked = self.scratch.keep(marked.join(mixed, "token"), "mixed")
-        a, b = marked.alias("a"), marked.alias("b")
-        across = a.join(b, (F.col("a.token") == F.col("b.token"))
-                        & (F.col("a.class") < F.col("b.class"))
-                        & (F.col("a.label") != F.col("b.label"))
-                        & size_fits(F.col("a.n"), F.col("b.n"), self.percent))
-        across = across.select(F.col("a.class").alias("a"), F.col("b.class").alias("b")).distinct()
-        across = self.scratch.keep(across.join(stars, ["a", "b"], "left_anti"), "across-pairs")
-        more = self.verified(across, "across")
-        merged = first.where("node <> label").toDF("a", "b").union(more)
-        return self.scratch.keep(components(merged, self.scratch, "last"), "labels")
+        p = self.percent
+        prefix = F.col("n") - F.ceil(F.col("n") * p / 100) + 1
+        weight = lists.groupBy("class").agg((F.count("*") / F.first(prefix)).alias("weight"))
+        rows = self.scratch.keep(lists.join(weight, "class"), "weighted")
+        band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / p)))
+        tried, links, labels = None, None, None
+        for turn, group in (("star", ["token", "band"]), ("again", ["token"])):
+            rows = rows.withColumn("band", band)
+            if labels is None:
+                rows = rows.withColumn("label", F.col("class"))
+            pairs = self.fresh(self.stars(rows, group), tried, f"{turn}-pairs")
+            found = self.verified(pairs, turn)
+            links = found if labels is None else labels.where("node <> label").toDF(
+                "a", "b").union(found)
+            labels = self.scratch.keep(components(links, self.scratch, turn), f"{turn}-labels")
+            tried = pairs if tried is None else tried.union(pairs)
+            rows = self.mixed(rows, labels, turn)
+        pairs = self.fresh(self.across(rows), tried, "across-pairs")
+        links = labels.where("node <> label").toDF("a", "b").union(self.verified(pairs, "across"))
+        return self.scratch.keep(components(links, self.scratch, "last"), "labels")
+
+    def mixed(self, rows: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+        """The lists that hold several components, with each row's ``label``.
+
+        ``most`` is the component with most rows of the list.
+        """
+        marked = rows.drop("label", "band", "most").join(
+            labels.withColumnRenamed("node", "class"), "class", "left")
+        marked = self.scratch.keep(marked.withColumn("label", F.coalesce("label", "class")),
+                                   f"{name}-marked")
+        several = (marked.groupBy("token", "label").agg(F.count("*").alias("x"))
+                   .groupBy("token").agg(F.count("*").alias("labels"),
+                                         F.max(F.struct("x", "label")).alias("m"))
+                   .where("labels > 1").select("token", F.col("m.label").alias("most")))
+        return self.scratch.keep(marked.join(several, "token"), f"{name}-mixed")
+
+    def fresh(self, pairs: DataFrame, tried: DataFrame | None, name: str) -> DataFrame:
+        if tried is not None:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        return self.scratch.keep(pairs, name)
+
+    def stars(self, rows: DataFrame, group: list[str]) -> DataFrame:
+        """Each list's members paired with the member whose prefix is shared most.
+
+        That is the text most others were made from: a changed copy has tokens of its own.
+        """
+        lead = F.max(F.struct("weight", F.col("class").alias("c"), F.col("n").alias("m"),
+                              F.col("pos").alias("at"), F.col("label").alias("of"))).alias("lead")
+        leaders = rows.groupBy(*group).agg(lead).select(*group, "lead.*").drop("weight")
+        return rows.join(leaders, group).where(
+            (F.col("class") != F.col("c")) & (F.col("label") != F.col("of"))
+            & can_reach(F.col("n"), F.col("pos"), F.col("m"), F.col("at"), self.percent)).select(
+            F.least("c", "class").alias("a"), F.greatest("c", "class").alias("b")).distinct()
+
+    def across(self, rows: DataFrame) -> DataFrame:
+        """All pairs of a list's members that are in different components and can still link.
+
+        One of each pair is outside the list's largest component, so a large group of near
+        copies meets the few others only, not itself.
+        """
+        a, b = rows.where("label <> most").alias("a"), rows.alias("b")
+        met = a.join(b, (F.col("a.token") == F.col("b.token"))
+                     & (F.col("a.label") != F.col("b.label"))
+                     & can_reach(F.col("a.n"), F.col("a.pos"), F.col("b.n"), F.col("b.pos"),
+                                 self.percent))
+        return met.select(F.least("a.class", "b.class").alias("a"),
+                          F.greatest("a.class", "b.class").alias("b")).distinct()
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that share prefix tokens in both hash orders and reach the threshold."""
-        def with_sets(pairs: DataFrame, *columns: str) -> DataFrame:
+        def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for side in ("a", "b"):
-                one = self.sets.select(F.col("class").alias(side),
-                                       *[F.col(c).alias(f"{c}_{side}") for c in columns])
-                pairs = pairs.join(one, side)
+                pairs = pairs.join(sets.select(*[F.col(c).alias(side if c == "class" else f"{c}_{side}")
+                                                 for c in sets.columns]), side)
             return pairs
 
-        near = with_sets(pairs, "n", "low", "high").where(
+        near = with_sets(pairs, self.ends).where(
             size_fits(F.col("n_a"), F.col("n_b"), self.percent)
             & F.arrays_overlap("low_a", "low_b") & F.arrays_overlap("high_a", "high_b"))
         near = self.scratch.keep(near.select("a", "b"), f"{name}-candidates")
+        if near.isEmpty():
+            return near
+        sets = self.sets(f"{name}-sets", near.select("a").union(near.select("b")),
+                         {"tokens": lambda t: t})
         common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-        return self.scratch.keep(with_sets(near, "n", "tokens").where(
+        return self.scratch.keep(with_sets(near, sets).where(
             100 * common >= self.percent * (F.col("n_a") + F.col("n_b") - common))
             .select("a", "b"), f"{name}-links")
 
