@@ -65,7 +65,8 @@ SINGLE = (
     (60, "isc", "isc", "isc licen[cs]e"),
     (70, "isc", "permission", "permission to use copy modify and or distribute this software for any purpose"),
     (60, "bsd", "bsd", "bsd licen[cs]e"),
-    (65, "bsd-2", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: licen[cs]e)?"),
+    (65, "bsd-2", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd)(?: licen[cs]e)?"),
+    (65, "bsd-2", "freebsd", "freebsd(?: licen[cs]e)?"),
     (65, "bsd-3", "bsd", "(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)(?: licen[cs]e)?"),
     (65, "bsd-4", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)(?: licen[cs]e)?"),
     (70, "bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
@@ -101,13 +102,14 @@ SINGLE = (
     (60, "ibm", "ibm", "ibm public licen[cs]e"),
     (60, "sun", "sun", "sun (?:industry standards source|public) licen[cs]e"),
     (60, "qpl", "q", "q public licen[cs]e"),
-    (60, "upl", "upl", "universal permissive licen[cs]e|upl licen[cs]e"),
+    (60, "upl", "upl", "upl licen[cs]e"),
+    (60, "upl", "universal", "universal permissive licen[cs]e"),
     (60, "ecl", "educational", "educational community licen[cs]e"),
     (60, "fsl", "functional", "functional source licen[cs]e"),
     (60, "commons-clause", "commons", "commons clause"),
     (60, "polyform", "polyform", "polyform (?:noncommercial|small business|shield|strict|perimeter)"),
     (60, "openrail", "openrail", "openrail(?: m| s)?"),
-    (60, "rail", "rail", "responsible ai licen[cs]e"),
+    (60, "rail", "responsible", "responsible ai licen[cs]e"),
     (60, "llama", "llama", "llama (?:2 |3 )?community licen[cs]e"),
     (60, "gemma", "gemma", "gemma terms of use"),
     (40, "reserved", "rights", "all rights (?:are )?reserved"),
@@ -128,8 +130,9 @@ SINGLE = (
     (35, "copyright", "copyrighted", "copyrighted (?:material|work|by)"),
     (30, "generic", "licensed", "licensed under (?:the )?terms"),
     (30, "generic", "license", "(?:subject to|under|see) the licen[cs]e"),
-    (30, "generic", "license", "terms of (?:the|this) licen[cs]e"),
+    (30, "generic", "license", "terms of (?:the|this) license"),
     (30, "generic", "licence", "(?:subject to|under|see) the licence"),
+    (30, "generic", "licence", "terms of (?:the|this) licence"),
 )
 
 # SPDX tags and license addresses: label, tag words, address words.

@@ -204,6 +204,37 @@ def test_license_suppression_equals_brute_force(llm):
         assert got[i] == left, text
 
 
+def samples(pattern):
+    """All texts that a rule's pattern matches; it has letters, (?:..|..), [..], ? and digits."""
+    part = re.search(r"\(\?:([^()]*)\)(\??)|\[(\w+)\]|([^()])\?", pattern)
+    if not part:
+        return {pattern}
+    choices = [part[4], ""] if part[4] else (part[3] or part[1].split("|"))
+    choices = [*choices, ""] if part[2] else choices
+    return set().union(*(samples(pattern[:part.start()] + c + pattern[part.end():]) for c in choices))
+
+
+def test_license_keywords_are_in_every_match(llm):
+    """Each text that a rule matches has the keyword of a rule for it, and the scan finds it."""
+    wanted, keywords = defaultdict(int), defaultdict(set)
+    for r in license_scan.rule_list():
+        inner = r["pattern"].removeprefix("(?<= )").removesuffix("(?= )").replace("\\d", "7")
+        for text in samples(inner):
+            assert re.fullmatch(r["pattern"][6:-5], text), text
+            wanted[text] = max(wanted[text], r["priority"])
+            keywords[text, r["priority"], r["label"]].add(r["keyword"])
+    assert not [k for k, words in keywords.items() if not words & set(k[0].split())]
+    for text in ("universal permissive licence", "freebsd license", "responsible ai license",
+                 "terms of the licence", "terms of this license"):
+        assert text in wanted
+    df = llm.createDataFrame(list(enumerate(wanted)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in license_scan.scan(df).collect()}
+    for i, text in enumerate(wanted):
+        whole = (0, got[i].n_words - 1)
+        assert any((d.first, d.last) == whole and d.priority >= wanted[text]
+                   for d in got[i].detections), text
+
+
 # --- 4 n-gram join -----------------------------------------------------------------------------
 
 
