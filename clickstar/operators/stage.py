@@ -244,36 +244,44 @@ def gap_sessions(flat: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60)
     Events without a user cannot be told apart by visitor: they count as one span per slot
     and are aggregated in part before they are shuffled.
     """
-    return chained(gap_pieces(flat, gap_minutes, slot_minutes), gap_minutes)
+    return chained(gap_pieces(flat, gap_minutes, slot_minutes), gap_minutes, slot_minutes)
 
 
-def chained(spans: DataFrame, gap_minutes: int = 30) -> DataFrame:
+def chained(spans: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
     """Sessions from spans (user_pseudo_id, first, last, n) that were chained in pieces.
 
     Spans may overlap, as pieces of different batches do. Unknown visitors are no visitor:
-    their spans are not chained any further than they came.
+    their spans are not chained across slots, but those of one slot are one span again.
     """
     spans = spans.select("user_pseudo_id", "first", "last", "n")
     known = _chain(spans.where("user_pseudo_id IS NOT NULL"), ["user_pseudo_id"],
                    gap_minutes * 60_000_000)
-    return known.unionByName(spans.where("user_pseudo_id IS NULL")).select(
+    unknown = _slot_spans(spans.where("user_pseudo_id IS NULL"), slot_minutes).drop("slot")
+    return known.unionByName(unknown).select(
         "user_pseudo_id", F.timestamp_micros("first").alias("first_event_at"),
         F.timestamp_micros("last").alias("last_event_at"), F.col("n").alias("events_count"))
 
 
 def gap_pieces(flat: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
     """Events chained inside one user and time slot, as input of :func:`chained`."""
-    slot = slot_minutes * 60_000_000
     events = flat.where(F.col("event_timestamp").isNotNull()).select(
-        "user_pseudo_id", F.expr(f"event_timestamp div {slot}").alias("slot"),
-        F.col("event_timestamp").alias("first"), F.col("event_timestamp").alias("last"),
-        F.lit(1).cast("bigint").alias("n"))
-    unknown = events.where("user_pseudo_id IS NULL").groupBy("user_pseudo_id", "slot").agg(
-        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
-    known = events.where("user_pseudo_id IS NOT NULL")
+        "user_pseudo_id", F.col("event_timestamp").alias("first"),
+        F.col("event_timestamp").alias("last"), F.lit(1).cast("bigint").alias("n"))
+    unknown = _slot_spans(events.where("user_pseudo_id IS NULL"), slot_minutes)
+    known = events.where("user_pseudo_id IS NOT NULL").withColumn("slot", _slot(slot_minutes))
     return _chain(known, ["user_pseudo_id", "slot"], gap_minutes * 60_000_000).unionByName(unknown)
 
 
+def _slot(slot_minutes: int) -> Column:
+    return F.expr(f"first div {slot_minutes * 60_000_000}")
+
+
+def _slot_spans(spans: DataFrame, slot_minutes: int) -> DataFrame:
+    """One span of each time slot; a span lies in a single slot."""
+    return spans.groupBy("user_pseudo_id", _slot(slot_minutes).alias("slot")).agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
+
+
 def _chain(spans: DataFrame, group: list[str], gap: int) -> DataFrame:
     """Joins spans of a group that start less than ``gap`` after all before have ended."""
     ordered = Window.partitionBy(*group).orderBy("first", "last")

@@ -165,19 +165,21 @@ def sessions_so_far(spark: SparkSession, path: str) -> DataFrame:
 
 
 def stream_gap_sessions(raw: DataFrame, path: str, checkpoint: str, gap_minutes: int = 30,
-                        continuous: str | None = None, every: int = COMPACT_EVERY
-                        ) -> StreamingQuery:
+                        continuous: str | None = None, every: int = COMPACT_EVERY,
+                        slot_minutes: int = 60) -> StreamingQuery:
     """Gap sessions as chained spans of each batch."""
     def keep(parts: DataFrame) -> DataFrame:
         return parts
 
     return _each_batch(flat_stream(raw), checkpoint, _parts(
-        path, lambda flat: stage.gap_pieces(flat, gap_minutes).drop("slot"), keep, every),
-        continuous)
+        path, lambda flat: stage.gap_pieces(flat, gap_minutes, slot_minutes).drop("slot"), keep,
+        every), continuous)
 
 
-def gap_sessions_so_far(spark: SparkSession, path: str, gap_minutes: int = 30) -> DataFrame:
-    return stage.chained(open_parts(spark, path), gap_minutes)
+def gap_sessions_so_far(spark: SparkSession, path: str, gap_minutes: int = 30,
+                        slot_minutes: int = 60) -> DataFrame:
+    """Sessions so far; gap and slot are those the stream was started with."""
+    return stage.chained(open_parts(spark, path), gap_minutes, slot_minutes)
 
 
 def stream_upsert_events(raw: DataFrame, dims: dict[str, DataFrame], table: Table, path: str,

@@ -67,6 +67,23 @@ def test_volume_and_sessions_do_not_depend_on_batches(spark, newest_first, tmp_p
     assert rows_of(jobs.gap_sessions_so_far(spark, g), *want.columns) == rows_of(want, *want.columns)
 
 
+@pytest.mark.parametrize("files, slot", [(1, 60), (2, 60), (1, 15)])
+def test_unknown_users_of_an_hour_spread_over_batches(spark, tmp_path, files, slot):
+    root, out = str(tmp_path / "raw"), str(tmp_path / "g")
+    events = [event(micros(hour), seq=n, user=user) for n, (hour, user) in enumerate([
+        (9.7, None), (9.1, None), (9.2, "u1"), (10.1, None), (9.4, None), (9.5, "u1"),
+        (9.05, None), (10.2, None)])]
+    for e in events:
+        write(spark, root, e)
+    jobs.stream_gap_sessions(jobs.open_stream(spark, root, files_per_batch=files), out, f"{out}-ck",
+                             every=3, slot_minutes=slot).awaitTermination()
+    want = stage.gap_sessions(stage.flatten(raw(spark, *events)), slot_minutes=slot)
+    got = jobs.gap_sessions_so_far(spark, out, slot_minutes=slot)
+    assert rows_of(got, *want.columns) == rows_of(want, *want.columns)
+    if slot == 60:
+        assert sorted(r.events_count for r in got.where("user_pseudo_id IS NULL").collect()) == [2, 4]
+
+
 def test_compaction_leaves_few_folders_and_one_result(spark, newest_first, tmp_path):
     root, _ = newest_first
     out = str(tmp_path / "v")
