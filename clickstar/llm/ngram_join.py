@@ -38,7 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickstar.llm.graph import components
@@ -64,10 +64,13 @@ def bucket(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(46)).astype(np.int64)
 
 
-def seen(width: int):
-    """(doc_id, text) to (doc_id, class, n) and, at a task's end, (bucket, n) counts."""
+def seen(width: int, keyed: bool):
+    """(doc_id, text) to (doc_id, class, n) and, at a task's end, (bucket, n) counts.
+
+    If ``keyed``, a row's third column, its text's key, is passed on at the end.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()),
-                        ("bucket", pa.int32())])
+                        ("bucket", pa.int32()), *[("text_key", pa.int64())] * keyed])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
@@ -81,11 +84,13 @@ def seen(width: int):
                 counts += np.bincount(np.concatenate(held), minlength=BUCKETS)
             yield pa.record_batch([batch.column(0), pa.array(classes, pa.int64()),
                                    pa.array(sizes, pa.int64()),
-                                   pa.nulls(len(sizes), pa.int32())], schema=schema)
+                                   pa.nulls(len(sizes), pa.int32()),
+                                   *batch.columns[2:]], schema=schema)
         used = np.flatnonzero(counts)
         nothing = pa.nulls(len(used), pa.int64())
         yield pa.record_batch([nothing, nothing, pa.array(counts[used]),
-                               pa.array(used.astype(np.int32))], schema=schema)
+                               pa.array(used.astype(np.int32)), *[nothing] * keyed],
+                              schema=schema)
 
     return run
 
@@ -200,18 +205,23 @@ def can_reach(n: Column, pos: Column, m: Column, at: Column, percent: int) -> Co
 class Join:
     """One run of the join over ``docs(doc_id, text)``."""
 
-    def __init__(self, docs: DataFrame, scratch: Scratch, width: int, percent: int) -> None:
+    def __init__(self, docs: DataFrame, scratch: Scratch, width: int, percent: int,
+                 keyed: bool = False) -> None:
         self.docs, self.scratch = docs.select("doc_id", "text"), scratch
-        self.width, self.percent = width, percent
+        self.width, self.percent, self.keyed = width, percent, keyed
+        if keyed:
+            self.docs = self.docs.withColumn("text_key", text_key())
 
     def text_pass(self, columns: list[str], function, schema: str, name: str) -> DataFrame:
         rows = self.docs.select(*columns).mapInArrow(function, schema)
         return self.scratch.keep(rows, name)
 
     def membership(self) -> DataFrame:
-        """(doc_id, n_shingles, component_id) for each document."""
-        both = self.text_pass(["doc_id", "text"], seen(self.width),
-                              "doc_id bigint, class bigint, n bigint, bucket int", "seen")
+        """(doc_id, n_shingles, component_id) for each document, and its keys if ``keyed``."""
+        keys = ["text_key"] * self.keyed
+        both = self.text_pass(["doc_id", "text", *keys], seen(self.width, self.keyed),
+                              "doc_id bigint, class bigint, n bigint, bucket int"
+                              + ", text_key bigint" * self.keyed, "seen")
         counted = (both.where("bucket IS NOT NULL").groupBy("bucket")
                    .agg(F.sum("n").alias("n")).toArrow())
         counts = np.zeros(BUCKETS, np.int64)
@@ -222,7 +232,8 @@ class Join:
             "low": lambda t: t[:prefix_length(len(t), percent)],
             "high": lambda t: t[-prefix_length(len(t), percent):]})
         labels = self.labels(lists)
-        docs = both.where("bucket IS NULL").select("doc_id", "class", F.col("n").alias("n_shingles"))
+        docs = both.where("bucket IS NULL").select("doc_id", "class", F.col("n").alias("n_shingles"),
+                                                   *keys)
         return self.smallest_ids(docs, labels)
 
     def lists(self, counts: np.ndarray) -> DataFrame:
@@ -334,38 +345,62 @@ class Join:
             .select("a", "b"), f"{name}-links")
 
     def smallest_ids(self, docs: DataFrame, labels: DataFrame) -> DataFrame:
+        """Each document with its component's smallest id; rows without one come last.
+
+        If ``keyed``, ``least`` is a row: its id and, among rows that share it, the least text key.
+        """
+        row = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_key")
         per_class = docs.where("class IS NOT NULL").groupBy("class").agg(
-            F.min("doc_id").alias("least"))
+            F.min(row if self.keyed else "doc_id").alias("least"))
         joined = per_class.join(labels.withColumnRenamed("node", "class"), "class", "left")
         joined = joined.select("class", "least", F.coalesce("label", "class").alias("label"))
         joined = self.scratch.keep(joined, "classes")
-        ids = joined.groupBy("label").agg(F.min("least").alias("component_id"))
-        per_class = joined.join(ids, "label").select("class", "component_id")
-        return docs.join(per_class, "class", "left").select(
-            "doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id"))
-            .otherwise(F.col("component_id")).alias("component_id"))
-
-
-def near_duplicates(docs: DataFrame, scratch: Scratch, width: int = 5, percent: int = 80
-                    ) -> DataFrame:
-    """(doc_id, n_shingles, component_id): see the module's text."""
-    return Join(docs, scratch, width, percent).membership()
+        ids = joined.groupBy("label").agg(F.min("least").alias("least"))
+        per_class = joined.drop("least").join(ids, "label").select("class", "least")
+        found = docs.join(per_class, "class", "left")
+        alone = F.col("class").isNull()
+        chosen = F.col("least.doc_id" if self.keyed else "least")
+        columns = ["doc_id", "n_shingles",
+                   F.when(alone, F.col("doc_id")).otherwise(chosen).alias("component_id")]
+        if self.keyed:
+            columns += ["text_key", F.when(alone, F.col("text_key")).otherwise(
+                F.col("least.text_key")).alias("component_key")]
+        return found.select(*columns)
+
+
+def text_key() -> Column:
+    """Tells texts of one id apart; 64 bits, as in a class."""
+    return F.xxhash64("text")
+
+
+def near_duplicates(docs: DataFrame, scratch: Scratch, width: int = 5, percent: int = 80,
+                    keyed: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id): see the module's text.
+
+    If ``keyed``, it also has (text_key, component_key): the text's key, and that of the component's row
+    that :func:`one_per_group` keeps, whose id is ``component_id``.
+    """
+    return Join(docs, scratch, width, percent, keyed).membership()
 
 
 def one_per_group(docs: DataFrame, membership: DataFrame, scratch: Scratch) -> DataFrame:
-    """The rows of ``docs`` whose id names their group, columns unchanged.
+    """One row of ``docs`` for each group of a keyed membership, columns unchanged.
 
-    Of rows that share such an id and have equal texts one stays. Rows without an id cannot
-    be named as another one's copy and stay. Only ids that lose rows are joined.
+    It has the group's smallest id, or none if no row has one. Rows without words are groups
+    of their own; of those that share an id and a text one stays, those without an id all
+    stay. Only rows that a group loses are joined.
     """
-    per_id = membership.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_near_id")).agg(
-        F.count("*").alias("_near_rows"),
-        F.max(F.col("doc_id") == F.col("component_id")).alias("_near_first"))
-    marks = scratch.keep(per_id.where("_near_rows > 1 OR NOT _near_first"), "marks")
-    joined = docs.join(marks, F.col("doc_id") == F.col("_near_id"), "left")
+    first = (F.col("doc_id").eqNullSafe(F.col("component_id"))
+             & (F.col("text_key") == F.col("component_key")))
+    per_row = membership.where("doc_id IS NOT NULL OR n_shingles > 0").groupBy(
+        F.col("doc_id").alias("_near_id"), F.col("text_key").alias("_near_key")).agg(
+        F.count("*").alias("_near_rows"), F.max(first).alias("_near_first"))
+    marks = scratch.keep(per_row.where("_near_rows > 1 OR NOT _near_first"), "marks")
+    joined = docs.withColumn("_near_text", text_key()).join(
+        marks, F.col("doc_id").eqNullSafe(F.col("_near_id"))
+        & (F.col("_near_text") == F.col("_near_key")), "left")
     kept = joined.where("_near_rows IS NULL")
     if not marks.where("_near_rows > 1 AND _near_first").isEmpty():
-        place = F.row_number().over(Window.partitionBy("_near_id", "text").orderBy("_near_rows"))
-        repeated = joined.where("_near_rows > 1 AND _near_first").withColumn("_near_place", place)
-        kept = kept.unionByName(repeated.where("_near_place = 1").drop("_near_place"))
+        repeated = joined.where("_near_rows > 1 AND _near_first")
+        kept = kept.unionByName(repeated.dropDuplicates(["_near_id", "_near_key"]))
     return kept.select(*docs.columns)

@@ -51,7 +51,8 @@ def license_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ngram_join")
 def ngram_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    return ngram_join.near_duplicates(docs, Scratch(spark, "ngrams"), width=3, percent=90)
+    return ngram_join.near_duplicates(docs, Scratch(spark, "ngrams"), width=3, percent=90,
+                                      keyed=False)
 
 
 @query("op5_toxicity")

@@ -278,6 +278,22 @@ def test_one_document_of_each_group_stays(llm, awkward, scratch):
     assert ids.count(None) == 2
 
 
+def test_one_row_of_each_group_stays_whatever_the_ids(llm, scratch):
+    """Near copies under one id, under another row's id and without an id."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, a + " more"), (5, c), (7, b), (7, b + " more"), (3, c + " more"), (9, b),
+            (None, a), (None, "d e f"), (None, "d e f"), (None, "d e f"), (2, "g h"), (2, "g h"),
+            (None, None), (None, None), (4, ""), (4, "")]
+    df = llm.createDataFrame(rows, "doc_id bigint, text string")
+    kept = ngram_join.one_per_group(df, ngram_join.near_duplicates(df, scratch, 5, 80), scratch)
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    fixed = [(3, c + " more"), (None, "d e f"), (2, "g h"), (None, None), (None, None), (4, "")]
+    assert [r for r in got if r[0] not in (5, 7)] == sorted(fixed, key=repr)
+    for i, text in ((5, a), (7, b)):
+        assert len([r for r in got if r[0] == i and r[1] in (text, text + " more")]) == 1
+    assert len(got) == len(fixed) + 2
+
+
 # --- 5 toxicity ------------------------------------------------------------------------------------
 
 
