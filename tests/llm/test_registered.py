@@ -1,7 +1,9 @@
 """Registered queries against their SQL, and the pipeline stage by stage."""
 
 import os
+import zlib
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -51,5 +53,13 @@ def test_stages_on_awkward_rows(llm, awkward, name):
     assert stage(llm, awkward.where("false"), SF_DIR).count() == 0
 
 
+def test_pipeline_gives_the_token_ids(llm, awkward):
+    rows = dict(corpus_pipeline.STAGES)["packing"](llm, awkward, SF_DIR).collect()
+    assert rows
+    for r in rows:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
+    assert "ids" in corpus_pipeline.run(llm, SF_DIR).columns
+
+
 def test_run_gives_the_last_stage(llm):
     assert "sequence_id" in corpus_pipeline.run(llm, SF_DIR).columns
