@@ -15,7 +15,8 @@ through shuffles, and no side is broadcast or collected.
 Defined cases: vectors that are null, empty, all zero, or hold null or non-finite
 components take no part, nor do rows without an id; of rows that share an id the one with
 the smallest bytes counts; vectors of different lengths are not compared; equal scores
-rank by smaller id; below k candidates all are returned; an empty table gives an empty
+rank by smaller id; a score beyond the range of a double is infinite, and lowest if its sum has
+no value; below k candidates all are returned; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -39,12 +40,13 @@ BLOCK = ("tile_query int, tile_candidate int, dim int, ids binary, vectors binar
 
 
 def usable(ids: pa.ChunkedArray, vectors: pa.ChunkedArray) -> dict[int, dict[int, np.ndarray]]:
-    """Usable vectors by length and id."""
+    """Usable vectors by length and id, as float32 if the column is, or else in double precision."""
     found: dict[int, dict[int, np.ndarray]] = {}
     for i, v in zip(ids.to_pylist(), vectors):
         if i is None or not v.is_valid or v.values.null_count or not len(v.values):
             continue
-        x = v.values.to_numpy().astype(np.float32)
+        x = v.values.to_numpy(zero_copy_only=False)
+        x = x if x.dtype == np.float32 else x.astype(np.float64)
         if not np.isfinite(x).all() or not x.any():
             continue
         same = found.setdefault(len(x), {})
@@ -53,6 +55,14 @@ def usable(ids: pa.ChunkedArray, vectors: pa.ChunkedArray) -> dict[int, dict[int
     return found
 
 
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Norms of rows whose squares may leave the range of a double."""
+    most = np.abs(x).max(axis=1)
+    unit = np.where(most > 0, most, 1.0)
+    with np.errstate(over="ignore"):
+        return np.linalg.norm(x / unit[:, None], axis=1) * unit
+
+
 def as_block(key: tuple, table: pa.Table) -> pa.Table:
     """The rows of a block, by vector length: ids, vectors, rounded vectors and bounds."""
     rows = []
@@ -60,12 +70,12 @@ def as_block(key: tuple, table: pa.Table) -> pa.Table:
         ids = np.array(sorted(by_id), np.int64)
         x = np.stack([by_id[i] for i in ids])
         wide = x.astype(np.float64)
-        scale = np.abs(wide).max(axis=1) / 127
+        # the smallest doubles divide by 127 to 0
+        scale = np.maximum(np.abs(wide).max(axis=1) / 127, np.finfo(np.float64).tiny)
         rounded = np.clip(np.rint(wide / scale[:, None]), -127, 127).astype(np.int8)
         back = rounded * scale[:, None]
         rows.append((key[0].as_py(), 0, dim, ids.tobytes(), x.tobytes(), rounded.tobytes(),
-                     scale.tobytes(), np.linalg.norm(wide - back, axis=1).tobytes(),
-                     np.linalg.norm(back, axis=1).tobytes()))
+                     scale.tobytes(), lengths(wide - back).tobytes(), lengths(back).tobytes()))
     names = [part.split()[0] for part in BLOCK.split(", ")]
     kinds = [pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 6]
     return pa.table([pa.array([r[k] for r in rows], kinds[k]) for k in range(len(names))],
@@ -84,7 +94,8 @@ class Block:
         dim = table["dim"][row].as_py()
         read = lambda name, kind: np.frombuffer(table[name][row].as_py(), kind)
         self.ids = read("ids", np.int64)
-        self.vectors = read("vectors", np.float32).reshape(-1, dim)
+        wide = len(table["vectors"][row].as_py()) == 8 * dim * len(self.ids)
+        self.vectors = read("vectors", np.float64 if wide else np.float32).reshape(-1, dim)
         self.rounded = read("rounded", np.int8).reshape(-1, dim).astype(np.float32)
         self.scale, self.rest, self.norm = (read(n, np.float64) for n in ("scale", "rest", "norm"))
         self.dim = dim
@@ -94,16 +105,18 @@ def rounded_products(q: Block, c: Block, rows: slice) -> np.ndarray:
     total = np.zeros((len(q.ids[rows]), len(c.ids)))
     for d in range(0, q.dim, EXACT):
         total += q.rounded[rows, d:d + EXACT] @ c.rounded[:, d:d + EXACT].T
-    return total * q.scale[rows, None] * c.scale[None, :]
+    with np.errstate(over="ignore"):
+        return total * q.scale[rows, None] * c.scale[None, :]
 
 
 def exact_products(q: Block, c: Block, qi: np.ndarray, ci: np.ndarray) -> np.ndarray:
     """In double precision, summed in the order of the components."""
     left, right = q.vectors[qi].astype(np.float64), c.vectors[ci].astype(np.float64)
     total = np.zeros(len(qi))
-    for d in range(q.dim):
-        total += left[:, d] * right[:, d]
-    return total
+    with np.errstate(over="ignore", invalid="ignore"):
+        for d in range(q.dim):
+            total += left[:, d] * right[:, d]
+    return np.where(np.isnan(total), -np.inf, total)
 
 
 def best_of_tile(q: Block, c: Block, k: int, step: int = 64
@@ -112,10 +125,13 @@ def best_of_tile(q: Block, c: Block, k: int, step: int = 64
     for start in range(0, len(q.ids), step):
         rows = slice(start, start + step)
         about = rounded_products(q, c, rows)
-        bound = (q.rest[rows, None] * (c.norm + c.rest)[None, :]
-                 + q.norm[rows, None] * c.rest[None, :])
-        bound = bound * (1 + 1e-9) + 1e-12 * np.abs(about) + 1e-300
-        low, high = about - bound, about + bound
+        with np.errstate(over="ignore", invalid="ignore"):
+            bound = (q.rest[rows, None] * (c.norm + c.rest)[None, :]
+                     + q.norm[rows, None] * c.rest[None, :])
+            bound = bound * (1 + 1e-9) + 1e-12 * np.abs(about) + 1e-300
+            low, high = about - bound, about + bound
+        unsure = ~(np.isfinite(low) & np.isfinite(high))
+        low[unsure], high[unsure] = -np.inf, np.inf
         own = q.ids[rows, None] == c.ids[None, :]
         low[own] = -np.inf
         if len(c.ids) > k:

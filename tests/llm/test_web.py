@@ -158,6 +158,25 @@ def test_nearest_equals_brute_force(llm, query_rows, candidate_rows):
     assert nearest.nearest(df.where("false"), F.col("vec_id") % 20 == 0).collect() == []
 
 
+@pytest.mark.parametrize("size", [1.0, 1e39, 1e-60, 1e-150, 1e150])
+def test_nearest_of_doubles(llm, size):
+    """Scores of double vectors are those of the original values, also beyond float32's range."""
+    x = np.random.default_rng(3).normal(size=(60, 8)) * size
+    df = llm.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                             "vec_id bigint, embedding array<double>")
+    got = nearest.nearest(df, F.col("vec_id") % 20 == 0, 5, 16, 16).collect()
+    expected = []
+    for q in (0, 20, 40):
+        scores = []
+        for c in set(range(60)) - {q}:
+            s = 0.0
+            for a, b in zip(x[q].tolist(), x[c].tolist()):
+                s += a * b
+            scores.append((-s, c))
+        expected += [(q, n, c, -s) for n, (s, c) in enumerate(sorted(scores)[:5], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(expected)
+
+
 TURNS = "conv_id bigint, turn bigint, role string, text string, body string, formatted int"
 
 
