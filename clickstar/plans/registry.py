@@ -872,6 +872,9 @@ add("partition_file_sizes", lambda w: monitor.file_stats(
     """SELECT DISTINCT 'stg_events_flat' AS table_name,
       strftime(event_date_partition, '%Y-%m-%d') AS partition_id, true AS has_files,
       true AS has_bytes FROM flat""")
+# Sizes depend on the writer, so these have no SQL; a test holds them against the folder.
+add("partition_file_bytes", lambda w: monitor.file_stats(
+    w.spark, w.path("stg_events_flat"), "stg_events_flat", "event_date_partition"))
 add("partition_report", lambda w: monitor.partition_report(
     w.partition_stats(), back(w, 7)),
     f"""SELECT table_name, partition_id, total_rows, R2<{BIG}>R2 AS size_gb,

@@ -1,12 +1,14 @@
 """Each check with a passing and a failing case; alerts and reports at their limits."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from clickstar import fixed_values as V
 from clickstar.operators import marts, metrics, monitor, quality
+from clickstar.plans.registry import QUERIES
 from clickstar.schemas import ETL_RUN_LOG
 
 
@@ -188,6 +190,17 @@ def test_file_stats_add_up(w):
     assert per_day.agg(F.min("file_bytes")).first()[0] > 0
 
 
+def test_file_bytes_equal_the_folder_listing(w):
+    root, want = w.path("stg_events_flat").removeprefix("file:"), {}
+    for folder, _, names in os.walk(root):
+        sizes = [os.path.getsize(f"{folder}/{n}") for n in names if n.endswith(".parquet")]
+        if sizes:
+            want[os.path.basename(folder).split("=")[1]] = (len(sizes), sum(sizes))
+    got = {r.partition_id: (r.files, r.file_bytes)
+           for r in QUERIES["partition_file_bytes"](w).collect()}
+    assert want and got == want
+
+
 MART = ("session_date date, channel_group string, country string, device_category string, "
         "landing_page string, utm_campaign string, conversions bigint, leads bigint, "
         "engaged_sessions bigint, total_conversion_value double, session_duration_seconds bigint")
