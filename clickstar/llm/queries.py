@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickstar.llm import (bottom_k, chat_format, license_scan, mixing, nearest, ngram_join, packing,
-                           toxicity, url_filter, warc)
+                           prefix_trie, toxicity, url_filter, warc)
 from clickstar.llm.tables import Scratch, read, ship
 from clickstar.session import prepare
 
@@ -253,3 +253,44 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x) AS sco
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
     AS INTEGER) AS rank, vec_id, score FROM s
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20"""
+
+
+@query("op13_prefix_trie")
+def trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    return prefix_trie.trie(prefix_trie.rebuilt(turns), Scratch(spark, "trie"))
+
+
+# crc32 of a short text, bit by bit.
+CRC_SQL = """xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+        lambda s: CAST(ascii(s) AS BIGINT)), lambda state, byte: list_reduce(
+            [xor(state, byte), 0, 0, 0, 0, 0, 0, 0, 0], lambda crc, bit: xor(crc >> 1,
+                CAST(3988292384 AS BIGINT) * (crc & 1))), CAST(4294967295 AS BIGINT)),
+        CAST(4294967295 AS BIGINT))"""
+SQL["op13_prefix_trie"] = f"""
+WITH t AS (SELECT conv_id, length(coalesce(text, '')) AS chars, md5(length(coalesce(role, ''))
+        || ':' || coalesce(role, '') || coalesce(text, '')) AS id, turn, coalesce(role, '') AS role
+    FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST, role, id) AS ids,
+    list(chars ORDER BY turn NULLS FIRST, role, id) AS chars FROM t GROUP BY conv_id),
+h AS (SELECT *, {CRC_SQL} % 6 AS h FROM o),
+c AS (SELECT h.conv_id, coalesce(b.ids[:h.h], []) || h.ids[h.h + 1:] AS ids,
+    coalesce(b.chars[:h.h], []) || h.chars[h.h + 1:] AS chars
+    FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS MATERIALIZED (SELECT conv_id, len(ids) AS full_depth, unnest(range(len(ids) + 1)) AS depth,
+    array_to_string(ids[:depth], '') AS node, array_to_string(ids[:depth - 1], '') AS up,
+    coalesce(chars[depth], 0) AS chars FROM c),
+n AS MATERIALIZED (SELECT depth, node, CASE WHEN depth > 0 THEN any_value(up) END AS up,
+    min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+        FILTER (depth = full_depth), '')) AS ends_sha256 FROM p GROUP BY depth, node),
+k AS (SELECT depth - 1 AS depth, up AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL),
+s AS (SELECT p.depth, p.node, count(*) FILTER (k.n_children IS NULL) AS n_leaves,
+    sum((n.n_convs - 1) * n.chars) AS saved_tokens
+    FROM n JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+    LEFT JOIN k ON k.depth = n.depth AND k.node = n.node GROUP BY ALL)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs,
+    coalesce(k.n_children, 0) AS n_children, s.n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens,
+    n.ends_sha256
+FROM n JOIN s USING (depth, node) LEFT JOIN k USING (depth, node)
+    LEFT JOIN n u ON u.depth = n.depth - 1 AND u.node = n.up"""

@@ -52,6 +52,11 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self, name: str) -> None:
+        """Frees a table that nothing reads any more: all that was made of it is written."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def lower_ascii(text: Column) -> Column:
     """A-Z only; for short strings, as ``translate`` works letter by letter."""
