@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import (bottom_k, chat_format, license_scan, mixing, nearest, ngram_join, packing,
-                           prefix_trie, toxicity, url_filter, warc)
+from clickstar.llm import (bottom_k, centroids, chat_format, license_scan, mixing, nearest, ngram_join,
+                           packing, prefix_trie, toxicity, url_filter, warc)
 from clickstar.llm.tables import Scratch, read, ship
 from clickstar.session import prepare
 
@@ -294,3 +294,45 @@ SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs,
     n.ends_sha256
 FROM n JOIN s USING (depth, node) LEFT JOIN k USING (depth, node)
     LEFT JOIN n u ON u.depth = n.depth - 1 AND u.node = n.up"""
+
+
+@query("op11_centroids")
+def centroid_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = centroids.whole_vectors(read(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    state, final = centroids.cluster(vectors, Scratch(spark, "centroids"))
+    return centroids.report(state, final).drop("evaluated")
+
+
+def clustering_sql(rounds: int) -> str:
+    """Full search in every round, in whole numbers."""
+    steps = ["""
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len([v FOR v IN embedding IF v IS NULL OR NOT isfinite(v)]) = 0),
+v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [CAST(floor(64 * c) AS BIGINT) FOR c IN x] AS x,
+    FROM e),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), 'null')), x) - 1
+    AS cluster, x FROM v QUALIFY cluster < 16)"""]
+    for n in range(rounds + 1):
+        steps.append(f"""
+a{n} AS MATERIALIZED (SELECT r, any_value(v.vec_id) AS vec_id, any_value(v.x) AS x,
+    min({{'d': CAST(list_inner_product(CAST(v.x AS DOUBLE[]), CAST(v.x AS DOUBLE[]))
+        - 2 * list_inner_product(CAST(v.x AS DOUBLE[]), CAST(c.x AS DOUBLE[]))
+        + list_inner_product(CAST(c.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT),
+        'c': c.cluster}}) AS near FROM v CROSS JOIN c{n} c GROUP BY r)""")
+        if n < rounds:
+            steps.append(f"""
+m{n} AS (SELECT near.c AS cluster, i, sum(x[i]) AS s, count(*) AS n
+    FROM a{n}, range(1, 65) t(i) GROUP BY ALL),
+n{n} AS (SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS x
+    FROM m{n} GROUP BY cluster),
+c{n + 1} AS MATERIALIZED (SELECT cluster, coalesce(n.x, c.x) AS x
+    FROM c{n} c LEFT JOIN n{n} n USING (cluster))""")
+    return ",".join(steps) + f"""
+SELECT vec_id, CAST(near.c AS INTEGER) AS cluster, near.d AS distance,
+    CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia,
+    CAST(sum(near.d) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.near.c"""
+
+
+SQL["op11_centroids"] = clustering_sql(3)
