@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickstar.llm import (bottom_k, centroids, chat_format, license_scan, mixing, nearest, ngram_join,
-                           packing, prefix_trie, toxicity, url_filter, warc)
+from clickstar.llm import (bottom_k, centroids, chat_format, language_id, license_scan, mixing,
+                           nearest, ngram_join, packing, prefix_trie, toxicity, url_filter, warc)
 from clickstar.llm.tables import Scratch, read, ship
 from clickstar.session import prepare
 
@@ -255,6 +255,12 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20"""
 
 
+@query("op12_language_id")
+def language_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return language_id.predict(docs, language_id.fit(docs.where(~language_id.is_held_out())))
+
+
 @query("op13_prefix_trie")
 def trie_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
