@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickstar.operators import tables
@@ -34,12 +34,12 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
     so a second run of the same load changes nothing; otherwise a row with a NULL
     key matches nothing.
 
-    Both sides are stacked and grouped by key, so rows are shuffled once. Two source
-    rows of one key stop the job; the target holds a key once.
+    Both sides are stacked and sorted by key with the source row first, so rows are shuffled
+    once, and every target row stays, also where several share a key: the window hands them
+    the source row and buffers no group. Two source rows of one key stop the job.
     """
     columns = target.columns
-    update = set(columns if update_columns is None else update_columns)
-    rest = [c for c in columns if c not in keys]
+    update = set(columns if update_columns is None else update_columns) - set(keys)
     both = target.withColumn("_new", F.lit(False)).unionByName(
         source.select(*columns).withColumn("_new", F.lit(True)))
     group = list(keys)
@@ -47,26 +47,24 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
         no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
         both = both.withColumn("_alone", F.when(no_key, F.monotonically_increasing_id()))
         group.append("_alone")
-    packed = F.struct(*rest) if rest else F.struct(F.lit(True).alias("_"))
-    grouped = both.groupBy(*group).agg(
-        F.count_if("_new").alias("_n"), F.count_if(~F.col("_new")).alias("_m"),
-        F.first(F.when(F.col("_new"), packed), ignorenulls=True).alias("_s"),
-        F.first(F.when(~F.col("_new"), packed), ignorenulls=True).alias("_t"))
+    by_key = Window.partitionBy(*group).orderBy(F.desc("_new"))
+    packed = F.struct(F.lit(True).alias("_"), *[c for c in columns if c in update])
+    seen = both.withColumns({
+        "_s": F.first(F.when(F.col("_new"), packed)).over(
+            by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_next_new": F.lead("_new").over(by_key)})
     twice = F.concat(F.lit(f"{TWICE} {', '.join(keys)}: "),
                      F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
-    grouped = grouped.withColumn("_s", F.when(
-        F.col("_n") > 1, F.raise_error(twice).cast(grouped.schema["_s"].dataType))
-        .otherwise(F.col("_s")))
+    # a source row stays where no target row follows it
+    stays = F.when(~F.col("_new") | F.col("_next_new").isNull(), True).when(
+        F.col("_next_new"), F.raise_error(twice).cast("boolean")).otherwise(False)
 
     def value(c: str) -> Column:
-        if c in keys:
+        if c not in update:
             return F.col(c)
-        new, old = F.col(f"_s.{c}"), F.col(f"_t.{c}")
-        if c in update:
-            return F.when(F.col("_n") > 0, new).otherwise(old)
-        return F.when(F.col("_m") > 0, old).otherwise(new)
+        return F.when(~F.col("_new") & F.col("_s").isNotNull(), F.col(f"_s.{c}")).otherwise(F.col(c))
 
-    return grouped.select(*[value(c).alias(c) for c in columns])
+    return seen.where(stays).select(*[value(c).alias(c) for c in columns])
 
 
 def incremental_merge(target: DataFrame, source: DataFrame, key: str) -> DataFrame:

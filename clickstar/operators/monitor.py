@@ -136,16 +136,12 @@ def failure_messages(log: DataFrame, day: dt.date | None = None) -> DataFrame:
 
 
 def failed_jobs(log: DataFrame, day: dt.date | None = None) -> DataFrame:
-    """Failed tasks and the classes of their messages per day and job, as one text.
+    """Failed tasks and their distinct messages per day and job, as one text.
 
-    A message's class leaves out its digits, and with them ids and dates, unless that is
-    all that tells messages apart: texts of up to 20 characters stay as they are.
+    Tasks that failed alike are one row before the messages of a job meet; jobs whose messages
+    carry ids or times have :func:`failure_messages`, one row per message.
     """
-    whole = F.col("error_message")
-    kind = F.when(F.length(whole) <= 20, whole).otherwise(F.regexp_replace(whole, r"\d+", "N"))
-    per_message = failure_messages(log, day).withColumn("error_message", kind)
-    per_message = per_message.groupBy("run_date", "dag_id", "error_message").agg(
-        F.sum("n").alias("n"))
+    per_message = failure_messages(log, day)
     return per_message.groupBy("run_date", "dag_id").agg(
         F.sum("n").alias("failed_tasks"),
         F.array_join(F.array_sort(F.collect_list("error_message")), "; ")

@@ -238,61 +238,61 @@ def session_bounds(flat: DataFrame, time_col: str = "day") -> DataFrame:
 def gap_sessions(flat: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
     """Sessions by inactivity gap: events of a user less than the gap apart belong together.
 
-    Events are first chained inside one user and time slot, so a user with very many
-    events is spread over many tasks. The pieces, a few per slot at most, are then
-    chained across slots; a session that runs through a slot border is joined again.
-    Events without a user cannot be told apart by visitor: they count as one span per slot
-    and are aggregated in part before they are shuffled.
+    Events of a user in one time slot as long as the gap always belong together, so each user
+    and slot is first aggregated to one span, in part before the shuffle; a user with very many
+    events is spread over many tasks and leaves one row a slot. The spans are then chained.
+    Events without a user cannot be told apart by visitor: they count as one span per slot of
+    ``slot_minutes``. The input is read once.
     """
     return chained(gap_pieces(flat, gap_minutes, slot_minutes), gap_minutes, slot_minutes)
 
 
+def gap_pieces(flat: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
+    """One span (user_pseudo_id, first, last, n) per user and slot, as input of :func:`chained`."""
+    events = flat.where(F.col("event_timestamp").isNotNull()).select(
+        "user_pseudo_id", F.col("event_timestamp").alias("first"),
+        F.col("event_timestamp").alias("last"), F.lit(1).cast("bigint").alias("n"))
+    slot = F.when(F.col("user_pseudo_id").isNull(), _slot(slot_minutes)).otherwise(_slot(gap_minutes))
+    return _spans(events, ["user_pseudo_id", slot.alias("slot")]).drop("slot")
+
+
 def chained(spans: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
     """Sessions from spans (user_pseudo_id, first, last, n) that were chained in pieces.
 
     Spans may overlap, as pieces of different batches do. Unknown visitors are no visitor:
     their spans are not chained across slots, but those of one slot are one span again.
     """
-    spans = spans.select("user_pseudo_id", "first", "last", "n")
-    known = _chain(spans.where("user_pseudo_id IS NOT NULL"), ["user_pseudo_id"],
-                   gap_minutes * 60_000_000)
-    unknown = _slot_spans(spans.where("user_pseudo_id IS NULL"), slot_minutes).drop("slot")
-    return known.unionByName(unknown).select(
+    return combined_spans(spans, gap_minutes, slot_minutes).select(
         "user_pseudo_id", F.timestamp_micros("first").alias("first_event_at"),
         F.timestamp_micros("last").alias("last_event_at"), F.col("n").alias("events_count"))
 
 
-def gap_pieces(flat: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
-    """Events chained inside one user and time slot, as input of :func:`chained`."""
-    events = flat.where(F.col("event_timestamp").isNotNull()).select(
-        "user_pseudo_id", F.col("event_timestamp").alias("first"),
-        F.col("event_timestamp").alias("last"), F.lit(1).cast("bigint").alias("n"))
-    unknown = _slot_spans(events.where("user_pseudo_id IS NULL"), slot_minutes)
-    known = events.where("user_pseudo_id IS NOT NULL").withColumn("slot", _slot(slot_minutes))
-    return _chain(known, ["user_pseudo_id", "slot"], gap_minutes * 60_000_000).unionByName(unknown)
-
+def combined_spans(spans: DataFrame, gap_minutes: int = 30, slot_minutes: int = 60) -> DataFrame:
+    """Spans joined where they start less than the gap after all before have ended.
 
-def _slot(slot_minutes: int) -> Column:
-    return F.expr(f"first div {slot_minutes * 60_000_000}")
+    Combining may happen in any order and any number of times: joined spans are spans again.
+    """
+    ordered = Window.partitionBy("user_pseudo_id").orderBy("first", "last")
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.when(F.col("user_pseudo_id").isNull(), _slot(slot_minutes) != F.lag(
+        _slot(slot_minutes)).over(ordered)).otherwise(
+        F.col("first") - F.max("last").over(so_far) >= gap_minutes * 60_000_000)
+    marked = spans.select("user_pseudo_id", "first", "last", "n").withColumn(
+        "new", F.when(apart, 1).otherwise(0))
+    numbered = marked.withColumn("session", F.sum("new").over(
+        ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return _spans(numbered, ["user_pseudo_id", "session"]).drop("session")
 
 
-def _slot_spans(spans: DataFrame, slot_minutes: int) -> DataFrame:
-    """One span of each time slot; a span lies in a single slot."""
-    return spans.groupBy("user_pseudo_id", _slot(slot_minutes).alias("slot")).agg(
-        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
+def _slot(minutes: int) -> Column:
+    """Number of the time slot a span starts in, also before 1970."""
+    micros = minutes * 60_000_000
+    return F.expr(f"(first - pmod(first, {micros}L)) div {micros}L")
 
 
-def _chain(spans: DataFrame, group: list[str], gap: int) -> DataFrame:
-    """Joins spans of a group that start less than ``gap`` after all before have ended."""
-    ordered = Window.partitionBy(*group).orderBy("first", "last")
-    before = F.max("last").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    apart = F.col("first") - before >= gap
-    marked = spans.withColumn("new", F.when(apart, 1).otherwise(0))
-    numbered = marked.withColumn("session", F.sum("new").over(
-        ordered.rowsBetween(Window.unboundedPreceding, 0)))
-    return numbered.groupBy(*group, "session").agg(
-        F.min("first").alias("first"), F.max("last").alias("last"),
-        F.sum("n").alias("n")).drop("session")
+def _spans(rows: DataFrame, group: list) -> DataFrame:
+    return rows.groupBy(*group).agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"))
 
 
 USER_PICKS = {"device_category": "primary_device_category", "country": "primary_country",

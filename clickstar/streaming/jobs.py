@@ -167,13 +167,10 @@ def sessions_so_far(spark: SparkSession, path: str) -> DataFrame:
 def stream_gap_sessions(raw: DataFrame, path: str, checkpoint: str, gap_minutes: int = 30,
                         continuous: str | None = None, every: int = COMPACT_EVERY,
                         slot_minutes: int = 60) -> StreamingQuery:
-    """Gap sessions as chained spans of each batch."""
-    def keep(parts: DataFrame) -> DataFrame:
-        return parts
-
+    """Gap sessions as spans of each batch, chained again whenever parts are combined."""
     return _each_batch(flat_stream(raw), checkpoint, _parts(
-        path, lambda flat: stage.gap_pieces(flat, gap_minutes, slot_minutes).drop("slot"), keep,
-        every), continuous)
+        path, lambda flat: stage.gap_pieces(flat, gap_minutes, slot_minutes),
+        lambda parts: stage.combined_spans(parts, gap_minutes, slot_minutes), every), continuous)
 
 
 def gap_sessions_so_far(spark: SparkSession, path: str, gap_minutes: int = 30,

@@ -124,6 +124,28 @@ def test_gap_sessions_against_brute_force(spark):
     assert sorted(tuple(r) for r in got) == brute_gap(events, 30 * minute)
 
 
+def test_gap_sessions_read_their_input_once(spark, tmp_path):
+    path = str(tmp_path / "events")
+    spark.createDataFrame([("a", 1), (None, 2)], "user_pseudo_id string, event_timestamp bigint"
+                          ).write.parquet(path)
+    got = stage.gap_sessions(spark.read.parquet(path))
+    assert got._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert got.count() == 2
+
+
+def test_gap_sessions_around_the_epoch_and_without_users(spark):
+    """Slots do not stretch over 0, and spans of unknown visitors end with their hour."""
+    minute = 60_000_000
+    events = [("a", t * minute) for t in (-40, -11, 0, 18, 48, 200)]
+    events += [(None, t * minute) for t in (-61, -59, -1, 0, 59, 60, 200)] + [("b", None)]
+    df = spark.createDataFrame(events, "user_pseudo_id string, event_timestamp bigint")
+    got = {(r[0], r[1] // minute, r[2] // minute, r[3]) for r in stage.gap_sessions(df).select(
+        "user_pseudo_id", F.unix_micros("first_event_at"), F.unix_micros("last_event_at"),
+        "events_count").collect()}
+    assert got == {("a", -40, 18, 4), ("a", 48, 48, 1), ("a", 200, 200, 1), (None, -61, -61, 1),
+                   (None, -59, -1, 2), (None, 0, 59, 2), (None, 60, 60, 1), (None, 200, 200, 1)}
+
+
 def test_users_by_most_frequent_value(spark):
     rows = [("u", None, f"s{i}", i, dt.date(2024, 1, 1 + i), device, "x") for i, device in
             enumerate(["mobile", "desktop", "desktop", "tablet"])]

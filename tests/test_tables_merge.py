@@ -34,6 +34,33 @@ def test_update_subset_insert_keep(spark):
     assert out == {"1": ("x", "x"), "2": ("new", "x"), "3": ("new", "new")}
 
 
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_target_rows_that_share_a_key_all_stay(spark, null_safe):
+    target = rows(spark, ("1", d(1), "x", "x"), ("1", d(2), "y", "y"), ("1", d(2), "y", "y"),
+                  ("2", d(1), "x", "x"), ("2", d(1), "z", "z"), (None, d(1), "n", "n"),
+                  (None, d(1), "m", "m"))
+    source = rows(spark, ("2", d(1), "new", "new"), ("3", d(1), "in", "in"), (None, d(3), "s", "s"))
+    out = sorted((tuple(r) for r in merge.merge_rows(
+        target, source, ["id"], ["a"], null_safe).collect()), key=repr)
+    nulls = ([(None, d(1), "s", "m"), (None, d(1), "s", "n")] if null_safe else
+             [(None, d(1), "m", "m"), (None, d(1), "n", "n"), (None, d(3), "s", "s")])
+    assert out == sorted([("1", d(1), "x", "x"), ("1", d(2), "y", "y"), ("1", d(2), "y", "y"),
+                          ("2", d(1), "new", "x"), ("2", d(1), "new", "z"), ("3", d(1), "in", "in"),
+                          *nulls], key=repr)
+
+
+def test_repeated_target_rows_survive_a_table_merge(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_partitioned(rows(spark, ("1", d(1), "x", "x"), ("1", d(1), "y", "y"),
+                                  ("2", d(1), "x", "x")), path, "day")
+    for _ in range(2):
+        merge.merge_table(spark, path, rows(spark, ("3", d(1), "new", "new")), PLAIN)
+        assert len(got(spark, path)) == 4
+    with pytest.raises(merge.DuplicateMergeKey):
+        merge.merge_table(spark, path, rows(spark, ("1", d(1), "a", "a"), ("1", d(1), "b", "b")), PLAIN)
+    assert len(got(spark, path)) == 4
+
+
 def test_null_keys_match_only_when_null_safe(spark):
     target = rows(spark, (None, d(1), "x", "x"))
     source = rows(spark, (None, d(1), "new", "new"))
