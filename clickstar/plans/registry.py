@@ -16,7 +16,8 @@ from clickstar import fixed_values as V
 from clickstar.functions import event_params as ep
 from clickstar.functions import keys, rules
 from clickstar.operators import dims as D
-from clickstar.operators import facts, marts, merge, metrics, monitor, quality, stage, tables
+from clickstar.operators import (facts, journeys, marts, merge, metrics, monitor, quality, stage,
+                                 tables)
 from clickstar.plans import oracle as O
 from clickstar.plans.warehouse import Warehouse
 from clickstar import schemas
@@ -542,6 +543,69 @@ add("conversion_number_lifetime", lambda w: facts.numbered_conversions(
     f"""SELECT {ID}, user_pseudo_id, event_name, lifetime_number AS conversion_number,
       lifetime_number = 1 AS is_first_conversion FROM conv""")
 
+# --- journeys --------------------------------------------------------------------------------
+
+
+def funnel_sql(steps: journeys.Steps, minutes: int) -> str:
+    """From each event of step 1 the earliest event of every next step, inside the window."""
+    number = " ".join(f"WHEN event_name IN {O._in(list(names))} THEN {j}"
+                      for j, (_, names) in enumerate(steps, 1))
+    chains = ["c1 AS (SELECT u, t AS start, id AS start_id, {'t': t, 'id': id} AS at FROM s WHERE step = 1)"]
+    for j in range(2, len(steps) + 1):
+        chains.append(f"""c{j} AS (SELECT c.u, start, start_id, min({{'t': s.t, 'id': s.id}}) AS at
+          FROM c{j - 1} c JOIN s ON s.u = c.u AND s.step = {j} AND (s.t, s.id) > (c.at.t, c.at.id)
+          AND s.t - start <= {minutes * journeys.MINUTE} GROUP BY ALL)""")
+    reached = " UNION ALL ".join(
+        f"SELECT {j} AS step, '{name}' AS step_name, u FROM c{j}" for j, (name, _) in enumerate(steps, 1))
+    names = " UNION ALL ".join(
+        f"SELECT {j} AS step, '{name}' AS step_name" for j, (name, _) in enumerate(steps, 1))
+    return f"""SELECT channel_group, CAST(step AS BIGINT) AS step, step_name, users,
+      R2<users * 100.0 / nullif(coalesce(lag(users) OVER w, users), 0)>R2 AS step_rate,
+      R2<users * 100.0 / nullif(first(users) OVER w, 0)>R2 AS entry_rate FROM (
+      WITH s AS (SELECT user_pseudo_id AS u, event_timestamp AS t, src_event_id AS id,
+        CASE {number} END AS step, {O._channel_case()} AS channel_group FROM (SELECT * EXCLUDE (
+        step), {O._u("utm_source", "traffic_source_source")} AS source,
+        {O._u("utm_medium", "traffic_source_medium")} AS medium FROM (SELECT *, 0 AS step FROM flat))),
+      {", ".join(chains)},
+      entry AS (SELECT u, first(channel_group ORDER BY t, id) AS channel_group FROM s
+        WHERE step = 1 GROUP BY u)
+      SELECT channel_group, n.step, n.step_name, count(DISTINCT r.u) AS users
+      FROM entry CROSS JOIN ({names}) n LEFT JOIN ({reached}) r
+        ON r.u = entry.u AND r.step = n.step GROUP BY ALL)
+      WINDOW w AS (PARTITION BY channel_group ORDER BY step)"""
+
+
+SHORT_FUNNEL = (("view", (V.PAGE_VIEW_EVENT,)), ("lead", tuple(V.LEAD_EVENTS)), ("purchase", ("purchase",)))
+add("event_funnel", lambda w: journeys.event_funnel(flat_table(w)),
+    funnel_sql(journeys.FUNNEL, 24 * 60))
+add("event_funnel_month", lambda w: journeys.event_funnel(flat_table(w), SHORT_FUNNEL, 30 * 24 * 60),
+    funnel_sql(SHORT_FUNNEL, 30 * 24 * 60))
+
+
+def grams_sql(n: int) -> str:
+    order = "OVER (PARTITION BY session_id ORDER BY event_timestamp, src_event_id)"
+    leads = ", ".join(f"lead(page_location, {i}) {order} AS p{i}" for i in range(1, n))
+    return f"""(SELECT page_location AS p0, {leads} FROM flat
+      WHERE session_id IS NOT NULL AND page_location IS NOT NULL)"""
+
+
+add("page_transitions", lambda w: journeys.page_transitions(flat_table(w)),
+    f"""SELECT from_page, to_page, transitions,
+      R2<transitions * 100.0 / sum(transitions) OVER (PARTITION BY from_page)>R2 AS share_of_from
+      FROM (SELECT p0 AS from_page, p1 AS to_page, count(*) AS transitions FROM {grams_sql(2)}
+      WHERE p1 IS NOT NULL GROUP BY ALL)""")
+add("top_paths", lambda w: journeys.top_paths(flat_table(w)),
+    f"""SELECT p0 || ' > ' || p1 || ' > ' || p2 AS path, count(*) AS occurrences FROM {grams_sql(3)}
+      WHERE p2 IS NOT NULL GROUP BY p0, p1, p2 ORDER BY occurrences DESC, p0, p1, p2 LIMIT 20""")
+add("cohort_retention", lambda w: journeys.cohort_retention(journeys.user_weeks(sessions_table(w))),
+    """SELECT CAST(first AS DATE) AS cohort_week, date_diff('day', first, week) // 7 AS weeks_since,
+      count(*) AS active_users, max(count(*)) FILTER (first = week) OVER (PARTITION BY first)
+      AS cohort_users, R2<count(*) * 100.0 / max(count(*)) FILTER (first = week) OVER (
+      PARTITION BY first)>R2 AS retention
+      FROM (SELECT DISTINCT user_pseudo_id, date_trunc('week', session_date) AS week,
+        date_trunc('week', min(session_date) OVER (PARTITION BY user_pseudo_id)) AS first FROM sess)
+      GROUP BY first, week""")
+
 # --- sorts and top-k -----------------------------------------------------------------------
 
 add("order_desc", lambda w: monitor.daily_volumes(flat_table(w)).orderBy(F.desc("date")),
