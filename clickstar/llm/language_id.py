@@ -29,7 +29,6 @@ one; an empty table gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,10 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Word characters that are neither letters nor decimal digits.
-NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1))
-                   if c.isalnum() and not c.isalpha() and not c.isdecimal())
-LETTERS = re.compile(rf"[^\W\d_{NUMERALS}]+")
+LETTERS = re.compile(r"[^\W\d_]+")
 START = "▁"
 LONG = 40
 CACHED = 300_000
@@ -59,7 +55,12 @@ def default_vocabulary() -> str:
 
 
 def words_of(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    """Runs of letters; the expression also lets numerals such as fractions pass, which part words."""
+    found = LETTERS.findall(text.lower())
+    if not found or "".join(found).isalpha():
+        return found
+    return [w for run in found for w in (
+        [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
 
 
 class Pieces:
