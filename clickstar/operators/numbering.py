@@ -12,7 +12,8 @@ QUARTER_HOUR = 15 * 60 * SECOND
 
 
 def number_rows(rows: DataFrame, group: list[str], name: str, clock: str = "event_timestamp",
-                tie: str = "src_event_id", slot_micros: int = QUARTER_HOUR) -> DataFrame:
+                tie: str = "src_event_id", slot_micros: int = QUARTER_HOUR,
+                before: DataFrame | None = None) -> DataFrame:
     """Consecutive numbers from 1 per group, ordered by (clock, tie).
 
     A plain window would sort one whole group in one task. Here a group is cut
@@ -21,21 +22,23 @@ def number_rows(rows: DataFrame, group: list[str], name: str, clock: str = "even
     together. NULL group values form a group of their own and a NULL clock sorts
     first. Group columns are made non-NULL so that join and window share one
     shuffle. A group with a NULL in it gathers all rows of unknown users, so it is
-    cut into slots of a second; numbers do not depend on the slots' length.
+    cut into slots of a second; numbers do not depend on the slots' length. Numbers go on
+    from ``before`` (group columns, rows) where it is given: it counts as one slot before all.
     """
     unknown = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in group])
     fine = F.expr(f"{clock} div {SECOND}")
     coarse = F.expr(f"{clock} div {slot_micros}")
     slot = F.coalesce(F.when(unknown, fine).otherwise(coarse), F.lit(-(2 ** 62)))
-    spread: list[str] = []
-    sized = rows
+    spread, filled = [], {}
     for i, column in enumerate(group):
-        text = F.col(column).cast("string")
-        sized = sized.withColumns({f"_g{i}": F.coalesce(text, F.lit("")),
-                                   f"_n{i}": F.col(column).isNull()})
+        filled |= {f"_g{i}": F.coalesce(F.col(column).cast("string"), F.lit("")),
+                   f"_n{i}": F.col(column).isNull()}
         spread += [f"_g{i}", f"_n{i}"]
-    sized = sized.withColumn("_slot", slot)
+    sized = rows.withColumns(filled).withColumn("_slot", slot)
     counts = sized.groupBy(*spread, "_slot").agg(F.count(F.lit(1)).alias("_rows"))
+    if before is not None:
+        counts = counts.unionByName(before.withColumns(filled).select(
+            *spread, F.lit(-(2 ** 62) - 1).alias("_slot"), F.col("rows").alias("_rows")))
     earlier = (Window.partitionBy(*spread).orderBy("_slot")
                .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*spread, "_slot",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from clickstar import fixed_values as V
 from clickstar import schemas
 from clickstar.operators import dims as D
-from clickstar.operators import facts, merge, monitor, quality, stage, tables
+from clickstar.operators import facts, lifetime, merge, monitor, quality, rolling, stage, tables
 from clickstar.params import RunParams
 from clickstar.session import side_by_side
 from clickstar.sources import raw
@@ -79,12 +79,21 @@ class DailyLoad:
         tables.write_partitioned(self.stamp(rows), self.path(table.name), table.partition,
                                  table.cluster)
 
-    def stg_users(self, lookback: int = 90) -> None:
-        """Rebuilt from the look-back; the first-seen day of a user can move."""
-        recent = raw.scan_lookback(self.read("stg_sessions"), "session_date",
-                                   self.params.days_back(lookback))
-        rows = tables.laid_out(self.stamp(stage.users(recent)), "user_first_seen_date",
-                               schemas.TABLES["stg_users"].cluster)
+    def stg_users(self, lookback: int = 90, days: int = 1) -> None:
+        """Put together from stored parts: only the days loaded are read from the sessions.
+
+        The first run makes the parts of the whole look-back.
+        """
+        last, first = self.params.run_date, self.params.days_back(lookback)
+        parts, table = f"{self.path('stg_users')}_parts", schemas.TABLES["stg_users"]
+        new = [last - dt.timedelta(days=back) for back in range(days)]
+        held = tables.partition_days(self.spark, self.path("stg_sessions"), "session_date")
+        if not rolling.stored(self.spark, parts, 1):
+            new = sorted({*new, *(d for d in held if d >= first)})
+        rolling.build(self.spark, parts, self.read("stg_sessions"), new)
+        rolling.forget(self.spark, parts, first)
+        rolled = rolling.users_rolled(self.spark, parts, first, max([*held, last]))
+        rows = tables.laid_out(self.stamp(rolled), "user_first_seen_date", table.cluster)
         tables.replace_safely(rows, self.path("stg_users"), "user_first_seen_date")
 
     def dimension(self, name: str) -> None:
@@ -124,6 +133,15 @@ class DailyLoad:
         merge.merge_table(self.spark, self.path(name), self.spark.read.parquet(staged),
                           schemas.TABLES[name])
         tables.drop(self.spark, staged)
+        if name == "fact_conversions":
+            self.lifetime_numbers()
+
+    def lifetime_numbers(self) -> None:
+        """Numbers the day's conversions over all history, from the counters of the day before."""
+        counters, flat = f"{self.path('fact_conversions')}_counters", self.read("stg_events_flat")
+        load = lifetime.load_day if lifetime.through(self.spark, counters) else lifetime.backfill
+        load(self.spark, counters, f"{self.path('fact_conversions')}_lifetime", flat,
+             self.params.run_date)
 
     def checks(self) -> DataFrame:
         """The day's quality results; they replace those of an earlier run of the day."""
@@ -222,7 +240,8 @@ def run_daily(spark: SparkSession, export: str, root: str, params: RunParams,
         if back and day.read_day("stg_events_flat").isEmpty():
             continue
         steps = {name: lambda name=name, day=day: day.dimension(name) for name in D.DIMENSIONS}
-        day.logged_together(steps if back else {"stg_users": load.stg_users, **steps})
+        day.logged_together(steps if back else {
+            "stg_users": lambda: load.stg_users(days=reprocess_days), **steps})
         for name in ("fact_sessions", "fact_events", "fact_conversions"):
             merge_job(day, name)
         day.logged("quality_gate", day.gate)

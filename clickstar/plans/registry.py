@@ -16,8 +16,8 @@ from clickstar import fixed_values as V
 from clickstar.functions import event_params as ep
 from clickstar.functions import keys, rules
 from clickstar.operators import dims as D
-from clickstar.operators import (facts, journeys, marts, merge, metrics, monitor, quality, stage,
-                                 tables)
+from clickstar.operators import (facts, journeys, lifetime, marts, merge, metrics, monitor, quality,
+                                 rolling, stage, tables)
 from clickstar.plans import oracle as O
 from clickstar.plans.warehouse import Warehouse
 from clickstar import schemas
@@ -406,6 +406,22 @@ add("stg_users_lite", lambda w: stage.users_lite(
     raw.scan_lookback(sessions_table(w), "session_date", back(w, 90))),
     """SELECT * EXCLUDE (total_user_conversion_value, total_user_purchase_revenue,
       total_engaged_sessions, primary_source, primary_medium) FROM usr""")
+
+
+def days_of(w: Warehouse, name: str, column: str) -> list[dt.date]:
+    return tables.partition_days(w.spark, w.path(name), column)
+
+
+def users_rolled(w: Warehouse) -> DataFrame:
+    """Parts of all days but two at once, then two daily loads."""
+    path, days = w.fresh("user_parts"), days_of(w, "stg_sessions", "session_date")
+    for load in (days[:-2], days[-2:-1], days[-1:]):
+        if load:
+            rolling.build(w.spark, path, sessions_table(w), load)
+    return rolling.users_rolled(w.spark, path, back(w, 90), days[-1])
+
+
+add("stg_users_rolled", users_rolled, "SELECT * FROM usr")
 add("sessions_conformed", lambda w: stage.sessions_conformed(w.flat),
     f"SELECT {', '.join(O.SESSION_COLUMNS)} FROM sess_real")
 add("gap_sessions", lambda w: stage.gap_sessions(w.flat),
@@ -543,6 +559,23 @@ add("conversion_number_lifetime", lambda w: facts.numbered_conversions(
     f"""SELECT {ID}, user_pseudo_id, event_name, lifetime_number AS conversion_number,
       lifetime_number = 1 AS is_first_conversion FROM conv""")
 
+
+
+def numbers_carried(w: Warehouse) -> DataFrame:
+    """History at once, then the last two days from the counters, one of them twice."""
+    root, days = w.fresh("lifetime"), days_of(w, "stg_events_flat", "event_date_partition")
+    paths = f"{root}/counters", f"{root}/numbers"
+    if days[:-2]:
+        lifetime.backfill(w.spark, *paths, flat_table(w), days[:-2][-1])
+    for at in [*days[-2:], *days[-1:]]:
+        lifetime.load_day(w.spark, *paths, flat_table(w), at)
+    return w.spark.read.parquet(paths[1]).select(ID, "user_pseudo_id", "event_name",
+                                                 "conversion_number", "is_first_conversion")
+
+
+add("conversion_number_carried", numbers_carried)
+SQL["conversion_number_carried"] = SQL["conversion_number_lifetime"]
+
 # --- journeys --------------------------------------------------------------------------------
 
 
