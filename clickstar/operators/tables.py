@@ -62,6 +62,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty folder."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType,
                  partition: str | None = None) -> bool:
     """Creates an empty table of the declared schema unless one is there."""

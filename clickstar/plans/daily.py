@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from clickstar import fixed_values as V
 from clickstar import schemas
 from clickstar.operators import dims as D
-from clickstar.operators import facts, lifetime, merge, monitor, quality, rolling, stage, tables
+from clickstar.operators import (facts, lifetime, marts, merge, monitor, quality, rolling, rollup,
+                                 stage, tables)
 from clickstar.params import RunParams
 from clickstar.session import side_by_side
 from clickstar.sources import raw
@@ -135,6 +136,15 @@ class DailyLoad:
         tables.drop(self.spark, staged)
         if name == "fact_conversions":
             self.lifetime_numbers()
+        if name == "fact_sessions":
+            self.mart_rollup()
+
+    def mart_rollup(self) -> None:
+        """The day's rollup rows for the dashboards."""
+        dims = {**self.dims(), "dim_date": self.read("dim_date")}
+        table = schemas.TABLES["mart_rollup"]
+        rows = rollup.daily_rollup(marts.mart_sessions(self.read_day("fact_sessions"), dims))
+        tables.write_partitioned(rows, self.path(table.name), table.partition, table.cluster)
 
     def lifetime_numbers(self) -> None:
         """Numbers the day's conversions over all history, from the counters of the day before."""

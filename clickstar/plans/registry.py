@@ -17,7 +17,7 @@ from clickstar.functions import event_params as ep
 from clickstar.functions import keys, rules
 from clickstar.operators import dims as D
 from clickstar.operators import (facts, journeys, lifetime, marts, merge, metrics, monitor, quality,
-                                 rolling, stage, tables)
+                                 rolling, rollup, stage, tables)
 from clickstar.plans import oracle as O
 from clickstar.plans.warehouse import Warehouse
 from clickstar import schemas
@@ -738,6 +738,74 @@ add("detail_table", lambda w: metrics.detail_table(w.mart_sessions()),
     f"SELECT channel_group, utm_campaign, country, {N}, {CONV} FROM mart GROUP BY 1, 2, 3")
 add("channel_type_table", lambda w: metrics.channel_type_table(w.mart_sessions()),
     f"SELECT channel_group, channel_type, {N}, {CONV}, {RATE} FROM mart GROUP BY 1, 2")
+
+
+# --- the same tiles from the daily rollup ---
+
+
+def rolled(name: str, tile_set: str, dimensions: list[str], *measures: str,
+           report: Callable[[DataFrame], DataFrame] = lambda df: df) -> None:
+    """Registers a tile over the written rollup with the SQL of its form over the mart."""
+    add(f"{name}_rolled", lambda w: report(rollup.tile(
+        w.table("mart_rollup"), tile_set, dimensions, *measures)))
+    SQL[f"{name}_rolled"] = SQL[name]
+
+
+_SETS_SQL = ", ".join(f"({', '.join(['session_date', *dims])})" for dims in rollup.SETS.values())
+_SET_SQL = " ".join(
+    f"WHEN {sum(1 << (len(rollup.DIMENSIONS) - 1 - i) for i, c in enumerate(rollup.DIMENSIONS) if c not in dims)}"
+    f" THEN '{name}'" for name, dims in rollup.SETS.items())
+add("mart_rollup", lambda w: w.table("mart_rollup").drop("users", "lengths"),
+    f"""SELECT session_date, CASE grouping_id({', '.join(rollup.DIMENSIONS)}) {_SET_SQL} END
+      AS tile_set, {', '.join(rollup.DIMENSIONS)}, {N}, {CONV}, {LEADS}, {ENGAGED}, {VALUE},
+      CAST(sum(session_duration_seconds) AS BIGINT) AS seconds,
+      count(session_duration_seconds) AS timed FROM mart GROUP BY GROUPING SETS ({_SETS_SQL})""")
+rolled("kpi_overview", "total", [], "sessions", "conversions", "conversion_rate", "avg_duration_min",
+       "leads", "engaged_sessions")
+rolled("channel_rates", "channel", ["channel_group"], "conversion_rate", "lead_rate", "engaged_rate",
+       "revenue_per_session", "bounce_rate", "avg_duration_min")
+rolled("sessions_by_device", "device", ["device_category"], "sessions", "conversions", "conversion_rate")
+rolled("conversion_rate_by_os", "device", ["operating_system"], "conversion_rate")
+rolled("top_countries", "place", ["country"], "sessions", "conversions", "conversion_rate",
+       report=lambda df: metrics.top(df, 10, "sessions", "country"))
+rolled("sessions_by_region", "place", ["country", "region"], "sessions", "conversions")
+rolled("top_cities", "place", ["city"], "sessions", "conversions",
+       report=lambda df: metrics.top(df, 20, "sessions", "city"))
+rolled("channel_date_heatmap", "channel", ["channel_group", "session_date"], "sessions", "conversions")
+rolled("campaign_performance", "campaign", metrics.CAMPAIGN, "sessions", "conversions",
+       "conversion_rate", "total_conversion_value")
+rolled("top_landing_pages", "page", ["landing_page"], "sessions", "conversions",
+       report=lambda df: metrics.top(df, 20, "sessions", "landing_page"))
+add("sessions_by_date_rolled", lambda w: rollup.tile(
+    metrics.since(w.table("mart_rollup"), back(w, 30)), "total", ["session_date"], "sessions",
+    "conversions"))
+SQL["sessions_by_date_rolled"] = SQL["sessions_by_date"]
+
+
+def estimates(w: Warehouse) -> DataFrame:
+    """Distinct users and length percentiles per channel: whether the sketches are within bounds."""
+    exact = w.mart_sessions().groupBy("channel_group").agg(
+        F.count_distinct("user_pseudo_id").alias("n"), F.count("session_duration_seconds").alias("timed"),
+        F.sort_array(F.collect_list("session_duration_seconds")).alias("sorted"))
+    users = rollup.tile(w.table("mart_rollup"), "channel", ["channel_group"], "approx_users")
+    lengths = rollup.length_percentiles(w.table("mart_rollup"), "channel", ["channel_group"])
+
+    def near(column: str, share: float) -> F.Column:
+        """The estimate lies between the values a little below and above its rank."""
+        def at(r: float) -> F.Column:
+            return F.element_at("sorted", F.greatest(F.lit(1), F.least(
+                F.col("timed"), F.ceil(F.col("timed") * r))).cast("int"))
+        return F.col(column).between(at(share - 2 * rollup.RANK_ERROR), at(share + 2 * rollup.RANK_ERROR))
+
+    return exact.join(users, "channel_group").join(lengths, "channel_group").select(
+        "channel_group", (F.abs(F.col("approx_users") - F.col("n")) <= F.ceil(
+            4 * rollup.USERS_ERROR * F.col("n"))).alias("users_within_bound"),
+        (near("p50_seconds", 0.5) & near("p90_seconds", 0.9)).alias("lengths_within_bound"))
+
+
+add("rollup_estimates", estimates,
+    """SELECT channel_group, true AS users_within_bound, true AS lengths_within_bound FROM mart
+      GROUP BY 1""")
 add("mart_rows_last_7", lambda w: metrics.mart_rows(
     metrics.since(w.mart_sessions(), back(w, 7))),
     f"SELECT count(*) AS total_sessions FROM mart WHERE session_date >= {O.back(7)}")
@@ -1054,6 +1122,25 @@ def stream_upsert(w: Warehouse) -> DataFrame:
     return tables.read_table(w.spark, path, table.schema).drop("_etl_timestamp")
 
 
+def heartbeat_alerts(w: Warehouse) -> DataFrame:
+    """The volume stream, then a heartbeat two days after the last event."""
+    volumes = streamed(w, "heartbeat", lambda *a: jobs.stream_volume(*a, every=4), 40)
+    beats, out = w.fresh("beats"), w.fresh("alerts")
+    (flat_table(w).agg(F.max("event_date_partition").alias("d")).select(
+        F.date_add("d", 3).cast("timestamp").alias("timestamp")).write.parquet(beats))
+    source = w.spark.readStream.schema("timestamp timestamp").parquet(beats)
+    jobs.stream_alerts(source, volumes, out, f"{out}_checkpoint", 400).awaitTermination()
+    return jobs.open_alerts(w.spark, out).drop("as_of")
+
+
+EVERY_DAY = """(SELECT date, coalesce(events_count, 0) AS n, lag(coalesce(events_count, 0)) OVER (
+      ORDER BY date) AS p FROM (SELECT CAST(unnest(generate_series(min(date), max(date) + 2,
+      INTERVAL 1 DAY)) AS DATE) AS date FROM vol) LEFT JOIN vol USING (date))"""
+add("stream_heartbeat_alerts", heartbeat_alerts,
+    f"""SELECT 'missing_daily_data' AS alert_type, date AS check_date, if(n > 0, 'PASS', 'FAIL') AS status,
+      n AS events_count, NULL::BIGINT AS previous_count, NULL::DOUBLE AS pct_change FROM {EVERY_DAY}
+      UNION ALL SELECT 'volume_drop', date, if((n - p) * 100.0 / nullif(p, 0) < -20, 'FAIL', 'PASS'),
+      n, p, R2<(n - p) * 100.0 / nullif(p, 0)>R2 FROM {EVERY_DAY}""")
 add("stream_flatten", stream_flatten, "SELECT * FROM flat")
 add("stream_volume", stream_volume,
     """SELECT event_date_partition AS date, count(*) AS events_count,

@@ -14,7 +14,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from clickstar.operators import dims as D
-from clickstar.operators import facts, marts, monitor, quality, stage, tables
+from clickstar.operators import facts, marts, monitor, quality, rollup, stage, tables
 from clickstar.params import RunParams
 from clickstar.schemas import TABLES
 from clickstar.session import prepare, shared_dir, side_by_side
@@ -107,6 +107,8 @@ class Warehouse:
             return stage.sessions(self.table("stg_events_flat"), "event")
         if name == "dim_date":
             return D.dim_date(self.spark)
+        if name == "mart_rollup":
+            return rollup.daily_rollup(self.mart_sessions())
         if name == "fact_sessions":
             return facts.fact_sessions(self.table("stg_sessions_real"), self.dims(True), True)
         if name == "fact_events":

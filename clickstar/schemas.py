@@ -123,6 +123,8 @@ _ALL = [
           ("conversion_id", "conversion_date"),
           ("conversion_timestamp", "conversion_type", "lead_id", "conversion_value",
            "purchase_revenue", "is_first_conversion", "conversion_number", "_etl_timestamp")),
+    Table("mart_rollup", "olap", "session_date", ("tile_set",),
+          description="Sums and sketches per day and dashboard tile set"),
     Table("etl_run_log", "monitoring", "run_date", ("dag_id", "status", "run_timestamp"),
           ETL_RUN_LOG, "Audit trail of load steps"),
     Table("data_quality_log", "monitoring", "check_date", ("layer", "assertion_name"),

@@ -10,6 +10,7 @@ time finished parts are combined into one table, which bounds what readers read.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +18,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from clickstar import fixed_values as V
+from clickstar.functions.rates import percent
 from clickstar.operators import facts, merge, stage, tables
 from clickstar.schemas import RAW_EVENTS, Table
 from clickstar.sources.raw import with_suffix
 
-# Batches between two compactions.
-COMPACT_EVERY = 50
+# Parts of a tier that make one of the next.
+COMPACT_EVERY = 16
 SESSION_DAY = list(stage.SESSION_GRAIN)
 
 
@@ -50,51 +53,72 @@ def _each_batch(df: DataFrame, checkpoint: str, write: Callable[[DataFrame, int]
 # --- parts -------------------------------------------------------------------------------
 
 
-def _numbers(spark: SparkSession, path: str, head: str) -> list[int]:
-    """Numbers of the finished folders ``head=N`` under a path."""
-    return sorted(n for n in tables.numbered_folders(spark, path, head)
-                  if tables.exists(spark, f"{path}/{head}={n}/_SUCCESS"))
+def _starts(spark: SparkSession, path: str, tier: int) -> list[int]:
+    """First batches of the finished folders of a tier."""
+    head = f"{path}/tier={tier}"
+    return [n for n in tables.numbered_folders(spark, head, "start")
+            if tables.exists(spark, f"{head}/start={n}/_SUCCESS")]
+
+
+def _tiers(spark: SparkSession, path: str) -> list[int]:
+    return tables.numbered_folders(spark, path, "tier")
+
+
+def part_folders(spark: SparkSession, path: str, fan: int) -> list[str]:
+    """The folders that count: of those that cover a batch, the one of the highest tier."""
+    out, taken = [], []
+    for tier in reversed(_tiers(spark, path)):
+        for start in _starts(spark, path, tier):
+            if not any(a <= start < b for a, b in taken):
+                taken.append((start, start + fan ** tier))
+                out.append(f"{path}/tier={tier}/start={start}")
+    return out
 
 
 def open_parts(spark: SparkSession, path: str) -> DataFrame:
-    """All parts that count: the newest combined table and every batch after it."""
-    merged = _numbers(spark, f"{path}/merged", "upto")
-    upto = merged[-1] if merged else -1
-    folders = [f"{path}/merged/upto={upto}"] if merged else []
-    folders += [f"{path}/parts/batch={n}" for n in _numbers(spark, f"{path}/parts", "batch")
-                if n > upto]
-    return spark.read.parquet(*folders)
+    """All parts of a stream, each batch once."""
+    return spark.read.parquet(*part_folders(spark, path, _fan(spark, path)))
 
 
-def compact(spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame],
+def _fan(spark: SparkSession, path: str) -> int:
+    """How many parts make one of the next tier; the folder keeps what its stream began with."""
+    return tables.numbered_folders(spark, path, "fan")[0]
+
+
+def compact(spark: SparkSession, path: str, combine: Callable[[DataFrame], DataFrame], fan: int,
             upto: int) -> None:
-    """Combines the parts up to a batch into one table, then drops them.
+    """Combines every full run of ``fan`` parts of a tier, before batch ``upto``, into one of the next.
 
-    A crash in between leaves parts that the finished table already covers; readers skip
-    them and the next compaction drops them.
+    A row is written once per tier, so the work grows with the logarithm of the number of batches,
+    and readers find fewer than ``fan`` folders a tier. A crash in between leaves parts that a
+    finished folder already covers: readers skip them and the next compaction drops them.
     """
-    merged = _numbers(spark, f"{path}/merged", "upto")
-    if merged and merged[-1] >= upto:
-        return
-    batches = [n for n in _numbers(spark, f"{path}/parts", "batch")
-               if n <= upto and (not merged or n > merged[-1])]
-    folders = [f"{path}/parts/batch={n}" for n in batches]
-    folders += [f"{path}/merged/upto={merged[-1]}"] if merged else []
-    tables.write_replace(combine(spark.read.parquet(*folders)), f"{path}/merged/upto={upto}")
-    for n in tables.numbered_folders(spark, f"{path}/parts", "batch"):
-        if n <= upto:
-            tables.drop(spark, f"{path}/parts/batch={n}")
-    for n in merged:
-        tables.drop(spark, f"{path}/merged/upto={n}")
+    tier, width = 0, 1
+    while width * fan <= upto:
+        start = upto - upto % (width * fan) - width * fan
+        of_next = f"{path}/tier={tier + 1}/start={start}"
+        if not tables.exists(spark, f"{of_next}/_SUCCESS"):
+            inside = [n for n in _starts(spark, path, tier) if start <= n < start + width * fan]
+            if inside:
+                folders = [f"{path}/tier={tier}/start={n}" for n in inside]
+                tables.write_replace(combine(spark.read.parquet(*folders)), of_next)
+        for n in tables.numbered_folders(spark, f"{path}/tier={tier}", "start"):
+            if start <= n < start + width * fan:
+                tables.drop(spark, f"{path}/tier={tier}/start={n}")
+        tier, width = tier + 1, width * fan
 
 
 def _parts(path: str, aggregate: Callable[[DataFrame], DataFrame],
            combine: Callable[[DataFrame], DataFrame], every: int
            ) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, number: int) -> None:
-        aggregate(batch).write.mode("overwrite").parquet(f"{path}/parts/batch={number}")
-        if number % every == every - 1:
-            compact(batch.sparkSession, path, combine, number - 1)
+        """The batch at hand may run again, so only those before it are combined."""
+        spark = batch.sparkSession
+        if number == 0:
+            tables.mark(spark, f"{path}/fan={every}")
+        aggregate(batch).write.mode("overwrite").parquet(f"{path}/tier=0/start={number}")
+        if number and number % every == 0:
+            compact(spark, path, combine, every, number)
 
     return write
 
@@ -142,6 +166,59 @@ def daily_volume(spark: SparkSession, path: str) -> DataFrame:
         F.hll_sketch_estimate("sessions").alias("approx_sessions"))
 
 
+def open_heartbeat(spark: SparkSession) -> DataFrame:
+    """One row a second with the time, for :func:`stream_alerts`: it comes without any data."""
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+
+def day_alerts(volumes: DataFrame, as_of: dt.date, lookback: int = 7) -> DataFrame:
+    """Missing data and volume drop of every finished day of the look-back, silent days included.
+
+    Days before the first event do not count. A silent day is missing and, unless the day before
+    was silent too, also a drop.
+    """
+    last = F.lit(as_of - dt.timedelta(days=1))
+    days = volumes.agg(F.greatest(F.min("date"), F.date_sub(last, lookback)).alias("first")).select(
+        F.explode(F.sequence("first", last)).alias("date"))
+    known = days.join(volumes.select("date", "events_count"), "date", "left").select(
+        "date", F.coalesce("events_count", F.lit(0)).alias("events_count"))
+    before = known.select(F.date_add("date", 1).alias("date"),
+                          F.col("events_count").alias("previous_count"))
+    both = known.join(before, "date", "left").withColumn("change", percent(
+        F.col("events_count") - F.col("previous_count"), F.col("previous_count")))
+    missing = both.select(
+        F.lit("missing_daily_data").alias("alert_type"), F.col("date").alias("check_date"),
+        F.when(F.col("events_count") > 0, "PASS").otherwise("FAIL").alias("status"), "events_count",
+        F.lit(None).cast("bigint").alias("previous_count"), F.lit(None).cast("double").alias("pct_change"))
+    return missing.unionByName(both.select(
+        F.lit("volume_drop").alias("alert_type"), F.col("date").alias("check_date"),
+        F.when(F.col("change") < V.VOLUME_DROP * 100, "FAIL").otherwise("PASS").alias("status"),
+        "events_count", "previous_count", F.round("change", 2).alias("pct_change")))
+
+
+def stream_alerts(heartbeat: DataFrame, volumes: str, path: str, checkpoint: str, lookback: int = 7,
+                  continuous: str | None = None) -> StreamingQuery:
+    """Checks the volumes of a running :func:`stream_volume` whenever the heartbeat brings a new day.
+
+    The beat, not the data, drives it, so a day without a single event raises its alert. The alerts of
+    one day are one folder, written again if a batch runs again.
+    """
+    def check(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        newest = batch.agg(F.max(F.to_date("timestamp"))).first()[0]
+        if newest is None or tables.exists(spark, f"{path}/as_of={newest}/_SUCCESS"):
+            return
+        alerts = day_alerts(daily_volume(spark, volumes), newest, lookback)
+        alerts.coalesce(1).write.mode("overwrite").parquet(f"{path}/as_of={newest}")
+
+    return _each_batch(heartbeat.select("timestamp"), checkpoint, check, continuous)
+
+
+def open_alerts(spark: SparkSession, path: str) -> DataFrame:
+    """All alerts so far, with the day they were made on as ``as_of``."""
+    return spark.read.parquet(path)
+
+
 def session_parts(flat: DataFrame) -> DataFrame:
     dated = flat.withColumn("session_date", F.to_date("event_at"))
     return dated.groupBy(*SESSION_DAY).agg(

@@ -1,5 +1,6 @@
 """Streams against batch: any batch size and file order, duplicates, restarts, compaction."""
 
+import datetime as dt
 import os
 import random
 
@@ -88,13 +89,65 @@ def test_compaction_leaves_few_folders_and_one_result(spark, newest_first, tmp_p
     root, _ = newest_first
     out = str(tmp_path / "v")
     jobs.stream_volume(jobs.open_stream(spark, root, files_per_batch=2), out, f"{out}-ck",
-                       every=5).awaitTermination()
-    parts = tables.numbered_folders(spark, f"{out}/parts", "batch")
-    assert parts == [14] and tables.numbered_folders(spark, f"{out}/merged", "upto") == [13]
-    # a crash after the combined table was written leaves parts that it covers already
+                       every=3).awaitTermination()
+    found = {t: tables.numbered_folders(spark, f"{out}/tier={t}", "start") for t in range(3)}
+    assert found == {0: [12, 13, 14], 1: [9], 2: [0]}
+    # a crash after a combined table was written leaves parts that it covers already
     before = rows_of(jobs.daily_volume(spark, out), "date", "events_count")
-    spark.read.parquet(f"{out}/merged/upto=13").write.parquet(f"{out}/parts/batch=13")
+    spark.read.parquet(f"{out}/tier=1/start=9").write.parquet(f"{out}/tier=0/start=10")
     assert rows_of(jobs.daily_volume(spark, out), "date", "events_count") == before
+    jobs.compact(spark, out, jobs.combined_volume, 3, 12)
+    assert 10 not in tables.numbered_folders(spark, f"{out}/tier=0", "start")
+    assert rows_of(jobs.daily_volume(spark, out), "date", "events_count") == before
+
+
+def test_a_row_is_written_once_per_tier(spark, tmp_path, monkeypatch):
+    """27 batches of one row by threes: no row is written more than 1 + 3 times."""
+    out, written = str(tmp_path / "p"), []
+    replace = tables.write_replace
+    monkeypatch.setattr(tables, "write_replace", lambda df, path: (written.append(df.count()), replace(df, path)))
+    write = jobs._parts(out, lambda df: df, lambda df: df, 3)
+    for n in range(28):
+        write(spark.createDataFrame([(n,)], "n int").coalesce(1), n)
+    assert sorted(written) == [3] * 9 + [9] * 3 + [27]
+    assert len(jobs.part_folders(spark, out, 3)) == 2
+    assert sorted(r.n for r in jobs.open_parts(spark, out).collect()) == list(range(28))
+
+
+def test_spans_are_chained_when_parts_are_combined(spark, newest_first, tmp_path):
+    root, flat = newest_first
+    out = str(tmp_path / "g")
+    jobs.stream_gap_sessions(jobs.open_stream(spark, root, files_per_batch=1), out, f"{out}-ck",
+                             every=3).awaitTermination()
+    (top,) = tables.numbered_folders(spark, f"{out}/tier=3", "start")
+    rows = spark.read.parquet(f"{out}/tier=3/start={top}")
+    assert rows.count() == stage.combined_spans(rows).count()
+
+
+BEATS = "timestamp timestamp"
+
+
+def test_a_silent_day_alerts(spark, tmp_path):
+    """Nothing arrives on the 17th and after; the heartbeat still comes."""
+    root, v, beats, out = (str(tmp_path / n) for n in ("raw", "v", "b", "a"))
+    for day, n in ((14, 10), (15, 10), (16, 7)):
+        write(spark, root, *[event(micros(1, day), seq=i, day=day) for i in range(n)])
+    jobs.stream_volume(jobs.open_stream(spark, root), v, f"{v}-ck").awaitTermination()
+
+    def beat(*times):
+        spark.createDataFrame([(t,) for t in times], BEATS).write.mode("append").parquet(beats)
+        jobs.stream_alerts(spark.readStream.schema(BEATS).parquet(beats), v, out, f"{out}-ck"
+                           ).awaitTermination()
+        return {(r.as_of, r.alert_type, r.check_date.day) for r in jobs.open_alerts(spark, out)
+                .where("status = 'FAIL'").collect()}
+
+    at = lambda day, hour: dt.datetime(2024, 1, day, hour)
+    drop = (dt.date(2024, 1, 17), "volume_drop", 16)
+    assert beat(at(17, 1), at(17, 2)) == {drop}
+    assert beat(at(17, 9)) == {drop}
+    fails = beat(at(19, 1))
+    assert {(k, d) for as_of, k, d in fails if as_of == dt.date(2024, 1, 19)} == {
+        ("volume_drop", 16), ("missing_daily_data", 17), ("missing_daily_data", 18), ("volume_drop", 17)}
 
 
 def test_flatten_restarts_where_it_stopped(spark, tmp_path):
