@@ -21,6 +21,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     turn, before = 0, None
     while True:
         state = held.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if turn:
+            scratch.drop(f"{name}-{turn}-large", f"{name}-{turn - 1}")
         if state == before or state[0] == 0:
             return held.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label")).union(
                 held.select("b", "b").distinct())

@@ -13,9 +13,11 @@ tokens of passages that many documents share, which would make long lists of can
 
 Steps: (1) one pass over the texts gives each document its set's class (a 64-bit hash) and
 size, and the counts; equal sets are one node from here on. (2) A second pass emits prefix
-tokens; those of a single class go, the rest are the lists, and a third pass keeps the two
-other prefixes of the classes in them. Sets are not stored but made again from the texts
-for the classes at hand, which a bit filter of fixed size picks before anything is shuffled.
+tokens; those of a single class go, the rest are the lists. A candidate pair first compares the
+shapes of its sets, 128 counts each, which bound their difference from below; whole sets are
+made again from the texts for the classes that are left, which a bit filter of fixed size picks
+before anything is shuffled, and meet for the prefixes of the other two orders and, if those
+share a token each, for the overlap itself.
 (3) Each list pairs its members with the one whose prefix is shared most, the text that others
 were made from; verified links are joined to components, and lists that still hold several
 do so once more. Groups of near copies thus cost one pair per member. (4) Lists that still
@@ -46,6 +48,7 @@ from clickstar.llm.tables import Scratch
 from clickstar.llm.text_hash import set_class, shingle_sets, small
 
 BUCKETS = 1 << 18
+SHAPE_PARTS = 128
 FILTER_BITS = 1 << 26
 # Classes that a task remembers as done; forgetting one only repeats rows.
 REMEMBERED = 200_000
@@ -64,33 +67,65 @@ def bucket(tokens: np.ndarray) -> np.ndarray:
     return (tokens >> np.uint64(46)).astype(np.int64)
 
 
+def shape(tokens: np.ndarray) -> bytes:
+    """How many tokens of a set lie in each of SHAPE_PARTS parts of the hashes, up to 255."""
+    counts = np.bincount((tokens & np.uint64(SHAPE_PARTS - 1)).astype(np.int64), minlength=SHAPE_PARTS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def alike(percent: int):
+    """The pairs (a, b, n_a, shape_a, n_b, shape_b) whose shapes leave a link possible, as (a, b).
+
+    Each token that only one of two sets has changes one count by 1, so the counts differ by at most
+    the size of the symmetric difference, and a link bounds that by its share of both sizes.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def counts(column: pa.Array) -> np.ndarray:
+        joined = b"".join(column.to_pylist())
+        return np.frombuffer(joined, np.uint8).reshape(-1, SHAPE_PARTS).astype(np.int16)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            both = batch["n_a"].to_numpy().astype(np.int64) + batch["n_b"].to_numpy()
+            apart = np.abs(counts(batch["shape_a"]) - counts(batch["shape_b"])).sum(axis=1)
+            keep = pa.array(apart * (100 + percent) <= both * (100 - percent))
+            yield pa.record_batch([batch["a"].filter(keep), batch["b"].filter(keep)], schema=schema)
+
+    return run
+
+
 def seen(width: int, keyed: bool):
-    """(doc_id, text) to (doc_id, class, n) and, at a task's end, (bucket, n) counts.
+    """(doc_id, text) to (doc_id, class, n, shape) and, at a task's end, (bucket, n) counts.
 
     If ``keyed``, a row's third column, its text's key, is passed on at the end.
     """
     schema = pa.schema([("doc_id", pa.int64()), ("class", pa.int64()), ("n", pa.int64()),
-                        ("bucket", pa.int32()), *[("text_key", pa.int64())] * keyed])
+                        ("bucket", pa.int32()), ("shape", pa.binary()),
+                        *[("text_key", pa.int64())] * keyed])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, np.int64)
         for batch in small(batches):
-            classes, sizes, held = [], [], []
+            classes, sizes, held, shapes = [], [], [], []
             for tokens in shingle_sets(batch.column(1).to_pylist(), width):
                 sizes.append(len(tokens))
+                shapes.append(shape(tokens))
                 classes.append(set_class(tokens) if len(tokens) else None)
                 held.append(bucket(tokens))
             if held:
                 counts += np.bincount(np.concatenate(held), minlength=BUCKETS)
             yield pa.record_batch([batch.column(0), pa.array(classes, pa.int64()),
                                    pa.array(sizes, pa.int64()),
-                                   pa.nulls(len(sizes), pa.int32()),
+                                   pa.nulls(len(sizes), pa.int32()), pa.array(shapes, pa.binary()),
                                    *batch.columns[2:]], schema=schema)
         used = np.flatnonzero(counts)
         nothing = pa.nulls(len(used), pa.int64())
         yield pa.record_batch([nothing, nothing, pa.array(counts[used]),
-                               pa.array(used.astype(np.int32)), *[nothing] * keyed],
-                              schema=schema)
+                               pa.array(used.astype(np.int32)), pa.nulls(len(used), pa.binary()),
+                               *[nothing] * keyed], schema=schema)
 
     return run
 
@@ -146,10 +181,9 @@ def only(column: int, wanted: np.ndarray):
     return run
 
 
-def chosen_sets(width: int, wanted: np.ndarray, columns: dict):
-    """(text) to one row of each class that the filter lets through; ``columns`` make its values."""
-    schema = pa.schema([("class", pa.int64()), ("n", pa.int32()),
-                        *[(name, pa.list_(pa.int64())) for name in columns]])
+def chosen_sets(width: int, wanted: np.ndarray):
+    """(text) to one row (class, n, tokens) of each class that the filter lets through."""
+    schema = pa.schema([("class", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: set[int] = set()
@@ -164,8 +198,7 @@ def chosen_sets(width: int, wanted: np.ndarray, columns: dict):
                 if len(done) >= REMEMBERED:
                     done.clear()
                 done.add(c)
-                signed = s.view(np.int64)
-                for held, value in zip(out, (c, len(s), *[f(signed) for f in columns.values()])):
+                for held, value in zip(out, (c, len(s), s.view(np.int64))):
                     held.append(value)
             yield pa.record_batch([pa.array(v, f.type) for v, f in zip(out, schema)], schema=schema)
 
@@ -220,17 +253,17 @@ class Join:
         """(doc_id, n_shingles, component_id) for each document, and its keys if ``keyed``."""
         keys = ["text_key"] * self.keyed
         both = self.text_pass(["doc_id", "text", *keys], seen(self.width, self.keyed),
-                              "doc_id bigint, class bigint, n bigint, bucket int"
+                              "doc_id bigint, class bigint, n bigint, bucket int, shape binary"
                               + ", text_key bigint" * self.keyed, "seen")
         counted = (both.where("bucket IS NOT NULL").groupBy("bucket")
                    .agg(F.sum("n").alias("n")).toArrow())
         counts = np.zeros(BUCKETS, np.int64)
         counts[counted["bucket"].to_numpy()] = counted["n"].to_numpy()
         lists = self.lists(counts)
-        percent = self.percent
-        self.ends = self.sets("ends", lists.select("class"), {
-            "low": lambda t: t[:prefix_length(len(t), percent)],
-            "high": lambda t: t[-prefix_length(len(t), percent):]})
+        listed = both.where("class IS NOT NULL").mapInArrow(
+            only(1, filter_bits(lists.select("class"))), both.schema)
+        self.shapes = self.scratch.keep(listed.dropDuplicates(["class"]).select(
+            "class", "n", "shape"), "shapes")
         labels = self.labels(lists)
         docs = both.where("bucket IS NULL").select("doc_id", "class", F.col("n").alias("n_shingles"),
                                                    *keys)
@@ -244,14 +277,18 @@ class Join:
                    .where("x < y").select("token"))
         several = self.scratch.keep(several, "several")
         left = emitted.mapInArrow(only(0, filter_bits(several)), emitted.schema)
-        return self.scratch.keep(left.join(several, "token").distinct(), "lists")
+        lists = self.scratch.keep(left.join(several, "token").distinct(), "lists")
+        self.scratch.drop("prefixes", "several")
+        return lists
 
-    def sets(self, name: str, classes: DataFrame, columns: dict) -> DataFrame:
-        """(class, n, ...) of at least the given classes, each once."""
-        schema = "class bigint, n int" + "".join(f", {c} array<bigint>" for c in columns)
+    def sets(self, classes: DataFrame) -> DataFrame:
+        """(class, n, tokens) of at least the given classes, each once, in the order of the hashes.
+
+        Not written: both sides of a verification read the one shuffle that deals them by class.
+        """
         rows = self.docs.select("text").mapInArrow(
-            chosen_sets(self.width, filter_bits(classes), columns), schema)
-        return self.scratch.keep(rows.dropDuplicates(["class"]), name)
+            chosen_sets(self.width, filter_bits(classes)), "class bigint, n int, tokens array<bigint>")
+        return rows.dropDuplicates(["class"])
 
     def labels(self, lists: DataFrame) -> DataFrame:
         """(node, label) of all classes that have a link."""
@@ -324,23 +361,35 @@ class Join:
                           F.greatest("a.class", "b.class").alias("b")).distinct()
 
     def verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        """The pairs that share prefix tokens in both hash orders and reach the threshold."""
-        def with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """The pairs that share prefix tokens in both hash orders and reach the threshold.
+
+        The sets' shapes, a fixed number of bytes each, tell most pairs that met by chance apart, so
+        that whole sets are made and moved only for texts that resemble one another.
+        """
+        def with_sides(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for side in ("a", "b"):
                 pairs = pairs.join(sets.select(*[F.col(c).alias(side if c == "class" else f"{c}_{side}")
                                                  for c in sets.columns]), side)
             return pairs
 
-        near = with_sets(pairs, self.ends).where(
-            size_fits(F.col("n_a"), F.col("n_b"), self.percent)
-            & F.arrays_overlap("low_a", "low_b") & F.arrays_overlap("high_a", "high_b"))
-        near = self.scratch.keep(near.select("a", "b"), f"{name}-candidates")
+        near = with_sides(pairs, self.shapes).where(
+            size_fits(F.col("n_a"), F.col("n_b"), self.percent)).select(
+            "a", "b", "n_a", "shape_a", "n_b", "shape_b").mapInArrow(
+            alike(self.percent), "a bigint, b bigint")
+        near = self.scratch.keep(near, f"{name}-candidates")
         if near.isEmpty():
             return near
-        sets = self.sets(f"{name}-sets", near.select("a").union(near.select("b")),
-                         {"tokens": lambda t: t})
+        sets = self.sets(near.select("a").union(near.select("b")))
+
+        def prefix(side: str, last: bool) -> Column:
+            n = F.col(f"n_{side}")
+            k = (n - F.ceil(n * self.percent / F.lit(100)) + 1).cast("int")
+            return F.slice(f"tokens_{side}", n - k + 1 if last else F.lit(1), k)
+
         common = F.size(F.array_intersect("tokens_a", "tokens_b"))
-        return self.scratch.keep(with_sets(near, sets).where(
+        shared = (F.arrays_overlap(prefix("a", False), prefix("b", False))
+                  & F.arrays_overlap(prefix("a", True), prefix("b", True)))
+        return self.scratch.keep(with_sides(near, sets).where(shared).where(
             100 * common >= self.percent * (F.col("n_a") + F.col("n_b") - common))
             .select("a", "b"), f"{name}-links")
 

@@ -52,10 +52,16 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        """Frees a table that nothing reads any more: all that was made of it is written."""
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        """Frees tables that nothing reads any more: all that was made of them is written."""
+        for name in names:
+            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+                f"{self.root}/{name}" if name else self.root)
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+    def clear(self) -> None:
+        """Frees all of its tables."""
+        self.drop("")
 
 
 def lower_ascii(text: Column) -> Column:

@@ -3,10 +3,12 @@
 import hashlib
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from clickstar.llm import bottom_k, license_scan, mixing, ngram_join, packing, toxicity
 from clickstar.llm.license_rules import BASE
@@ -149,6 +151,32 @@ def test_mix_is_applied_to_rows(llm, awkward, scratch):
     assert out.count() == sum(r.copies for r in mixed.collect())
 
 
+def test_rows_are_mixed_in_place_as_the_mix_takes_them(llm, awkward, scratch):
+    """Also where rows agree in id, source and size, in the edge cell and away from it."""
+    many = awkward.unionByName(awkward.where("doc_id % 3 = 0")).unionByName(
+        llm.range(40).select(F.lit(900).alias("doc_id"), F.concat(F.lit("x y "), "id").alias("text"),
+                             *[F.lit(None).cast(f.dataType).alias(f.name) for f in awkward.schema
+                               if f.name not in ("doc_id", "text")]).select(awkward.columns))
+    for n, docs in enumerate((awkward, many)):
+        taken = Counter()
+        for r in mixing.mix(docs, Scratch(llm, f"mix-{n}")).collect():
+            taken[r.doc_id, r.source, r.size] += r.copies
+        out = mixing.mix_rows(docs, Scratch(llm, f"rows-{n}"))
+        assert out.columns == docs.columns and out.exceptAll(docs.unionAll(docs)).count() == 0
+        got = Counter((r.doc_id, r.source, len(brute.words(r.text))) for r in out.collect())
+        assert got == +taken
+    assert mixing.mix_rows(empty(awkward), Scratch(llm, "none")).collect() == []
+
+
+def test_mixed_texts_are_not_shuffled(llm, tmp_path):
+    path = str(tmp_path / "docs")
+    llm.range(200).select(F.col("id").alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"),
+                          F.repeat(F.lit("word "), F.col("id").cast("int") + 1).alias("text")).write.parquet(path)
+    out = mixing.mix_rows(llm.read.parquet(path), Scratch(llm, "plan"))
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "SortMergeJoin" not in text
+
+
 # --- 3 licenses ------------------------------------------------------------------------------
 
 LICENSED = [
@@ -246,6 +274,25 @@ def test_ngram_join(llm, awkward, scratch, width, percent):
         brute.components(pairs(awkward), width, percent)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_shapes_never_part_a_link(percent):
+    """Random sets around the threshold: a pair that links passes; far ones mostly do not."""
+    rng = np.random.default_rng(percent)
+    pairs, links = [], []
+    for k in range(400):
+        both = rng.integers(0, 2 ** 63, rng.integers(1, 600), np.uint64)
+        a, b = (rng.integers(0, 2 ** 63, rng.integers(0, 1 + len(both) // 4), np.uint64) for _ in "ab")
+        x, y = (np.unique(np.concatenate([both[:len(both) if k % 2 else 0], own, both[:1]])) for own in (a, b))
+        common = len(np.intersect1d(x, y))
+        links.append(100 * common >= percent * (len(x) + len(y) - common))
+        pairs.append((k, -k, len(x), ngram_join.shape(x), len(y), ngram_join.shape(y)))
+    batch = pa.RecordBatch.from_pydict(dict(zip(("a", "b", "n_a", "shape_a", "n_b", "shape_b"), zip(*pairs))))
+    (kept,) = ngram_join.alike(percent)(iter([batch]))
+    kept = set(kept["a"].to_pylist())
+    assert {k for k, link in enumerate(links) if link} <= kept and sum(links) > 50
+    assert len(kept - {k for k, link in enumerate(links) if link}) < 250
+
+
 def test_ngram_join_follows_chains_and_hot_passages(llm, scratch):
     """A chain whose ends do not link, in any id order, beside a passage that all texts hold."""
     base = [f"c{i}" for i in range(200)]
