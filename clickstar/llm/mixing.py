@@ -21,11 +21,13 @@ Defined cases: a text that is null or without words has size 0 and takes 0 words
 source is a source of its own and comes last; a source of size 0 has target 0; rows that
 repeat a doc_id share u and tie, equal rows are then interchangeable; a null doc_id is drawn
 by its size; an empty table gives an empty result. Other columns are kept by
-:func:`apply_mix` and not read by :func:`mix`.
+:func:`mix_rows` and not read by :func:`mix`.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -99,14 +101,62 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
-def mix(docs: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS,
-        share: float = TOTAL_SHARE, copies: int = MAX_COPIES, seed: str = "mix") -> DataFrame:
-    """(doc_id, source, size, u, source_size, target, copies) for each row of ``docs``."""
+@dataclass(frozen=True)
+class Decision:
+    """What decides the copies of a row: tables of one row per source, or class of it, and the edge."""
+
+    sources: DataFrame
+    classes: DataFrame
+    cuts: DataFrame
+    edge: DataFrame
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """``rows`` (source, size, u, class, ...) with ``whole`` copies and the ``side`` of their rank.
+
+        A row before its source's edge cell (-1) gets one copy more, one behind it (1) does
+        not, and one inside (0) is decided by the order of the ranks.
+        """
+        return beside(self.cuts, drawn(self.classes, rows))
+
+
+def sized(docs: DataFrame, *others: str, seed: str = "mix") -> DataFrame:
+    """(doc_id, source, size, u, class) of each row, and other columns."""
     size = n_words(F.col("text"))
-    slim = docs.select("doc_id", "source", size.alias("size"))
-    slim = slim.withColumn("u", uniform(F.col("doc_id"), F.col("size"), seed))
-    slim = scratch.keep(slim.withColumn("class", length_class(F.col("size"))), "sizes")
+    rows = docs.select("doc_id", "source", *others, size.alias("size"))
+    return rows.withColumn("u", uniform(F.col("doc_id"), F.col("size"), seed)).withColumn(
+        "class", length_class(F.col("size")))
+
+
+def drawn(classes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Adds ``whole`` copies, ``rank`` and ``r``, the rank's place from 0 to 1."""
+    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
+    met = rows.join(classes, same(F.col("source"), F.col("s"))
+                    & (F.col("class") == F.col("c")), "left")
+    rank = F.when(F.col("p") > 0, odds)
+    return met.select(*rows.columns, F.coalesce("whole", F.lit(0)).alias("whole"),
+                      rank.alias("rank"), (rank / (1 + rank)).alias("r"))
+
+
+def cell_of(r: Column) -> tuple[Column, Column]:
+    """The outer cell of a rank's place, and the inner one in it."""
+    cell = F.least(F.lit(CELLS - 1), F.floor(r * CELLS)).cast("int")
+    return cell, F.least(F.lit(CELLS - 1), F.floor((r * CELLS - cell) * CELLS)).cast("int")
+
+
+def beside(cuts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Adds the ``side`` of the source's edge cell and the words ``left`` for it."""
+    cell, inner = cell_of(F.col("r"))
+    where, edge = F.struct(cell, inner), F.struct("cut_cell", "cut_inner")
+    side = F.when(F.col("r").isNull() | F.col("cut_cell").isNull(), 1).when(
+        where < edge, -1).when(where > edge, 1).otherwise(0)
+    return rows.join(cuts.withColumnRenamed("s", "cut_source"), same(
+        F.col("source"), F.col("cut_source")), "left").withColumn("side", side).select(
+        *rows.columns, "side", "left")
 
+
+def decide(slim: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS,
+           share: float = TOTAL_SHARE, copies: int = MAX_COPIES) -> Decision:
+    """The decision over all rows of ``slim``, see :func:`sized`."""
     by_class = slim.groupBy("source", "class").agg(F.sum("size").alias("class_size"))
     sources = by_class.groupBy("source").agg(F.sum("class_size").alias("source_size"))
     sources = scratch.keep(targets(sources, weights, share, copies), "targets")
@@ -125,29 +175,38 @@ def mix(docs: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS,
     classes = scratch.keep(classes.select(
         F.col("source").alias("s"), F.col("class").alias("c"), whole.alias("whole"),
         F.when(p > 1e-9, p).otherwise(0.0).alias("p"), "class_size"), "classes")
-
-    drawn = slim.join(classes, same(F.col("source"), F.col("s"))
-                      & (F.col("class") == F.col("c")), "left")
-    odds = (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))
-    rank = F.when(F.col("p") > 0, odds)
-    drawn = scratch.keep(drawn.select(
-        "doc_id", "source", "size", "u", F.coalesce("whole", F.lit(0)).alias("whole"),
-        rank.alias("rank"), (rank / (1 + rank)).alias("r")), "drawn")
+    ranked = scratch.keep(drawn(classes, slim), "drawn")
     wanted = classes.groupBy("s").agg(F.sum(F.col("p") * F.col("class_size")).alias("words"))
-    chosen = lowest(drawn, wanted, scratch)
-    return (chosen.join(sources.withColumnRenamed("source", "s"),
+    cuts = edge_cells(ranked, wanted, scratch)
+    in_order = Window.partitionBy("source").orderBy("rank", "doc_id", "size")
+    upto = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
+    nearer = upto - F.col("size") / 2 <= F.col("left")
+    inside = beside(cuts, ranked).where("side = 0").select(
+        "doc_id", "source", "size", "u", "whole", nearer.cast("int").alias("extra"))
+    return Decision(sources, classes, cuts, scratch.keep(inside, "edge"))
+
+
+def mix(docs: DataFrame, scratch: Scratch, weights: tuple[float, ...] = WEIGHTS,
+        share: float = TOTAL_SHARE, copies: int = MAX_COPIES, seed: str = "mix") -> DataFrame:
+    """(doc_id, source, size, u, source_size, target, copies) for each row of ``docs``."""
+    slim = scratch.keep(sized(docs, seed=seed), "sizes")
+    made = decide(slim, scratch, weights, share, copies)
+    columns = ["doc_id", "source", "size", "u", "whole"]
+    clear = made.placed(slim).where("side <> 0").select(
+        *columns, (F.col("side") < 0).cast("int").alias("extra"))
+    chosen = clear.unionByName(made.edge)
+    return (chosen.join(made.sources.withColumnRenamed("source", "s"),
                         same(F.col("source"), F.col("s")))
             .select("doc_id", "source", "size", "u", "source_size", "target",
                     (F.col("whole") + F.col("extra")).alias("copies")))
 
 
-def lowest(drawn: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
-    """Adds ``extra``: 1 for the lowest ranks of each source up to its ``words``, else 0."""
-    cell = F.least(F.lit(CELLS - 1), F.floor(F.col("r") * CELLS)).cast("int")
-    inner = F.least(F.lit(CELLS - 1), F.floor((F.col("r") * CELLS - cell) * CELLS)).cast("int")
-    ranked = drawn.where("r IS NOT NULL").select("source", "size", cell.alias("cell"),
-                                                 inner.alias("inner"))
-    cells = scratch.keep(ranked.groupBy("source", "cell", "inner")
+def edge_cells(ranked: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
+    """(s, cut_cell, cut_inner, left): where the lowest ranks of each source reach its ``words``."""
+    cell, inner = cell_of(F.col("r"))
+    some = ranked.where("r IS NOT NULL").select("source", "size", cell.alias("cell"),
+                                                inner.alias("inner"))
+    cells = scratch.keep(some.groupBy("source", "cell", "inner")
                          .agg(F.sum("size").alias("words")), "cells")
     left = wanted.withColumnRenamed("words", "left")
     outer = crossing(cells.groupBy("source", "cell").agg(F.sum("words").alias("words")),
@@ -158,26 +217,11 @@ def lowest(drawn: DataFrame, wanted: DataFrame, scratch: Scratch) -> DataFrame:
     final = crossing(within.select("source", "inner", "words"),
                      within.groupBy(F.col("source").alias("s")).agg(F.first("left").alias("left")),
                      "inner")
-    cut = scratch.keep(
+    return scratch.keep(
         outer.select("s", F.col("at").alias("cut_cell")).join(
             final.select(F.col("s").alias("s2"), F.col("at").alias("cut_inner"), "left"),
             same(F.col("s"), F.col("s2")), "left").drop("s2"), "cuts")
 
-    placed = drawn.join(cut, same(F.col("source"), F.col("s")), "left")
-    where = F.struct(cell, inner)
-    edge = F.struct("cut_cell", "cut_inner")
-    placed = placed.withColumn("side", F.when(
-        F.col("r").isNull() | F.col("cut_cell").isNull(), 1).when(where < edge, -1)
-        .when(where > edge, 1).otherwise(0))
-    columns = ["doc_id", "source", "size", "u", "whole"]
-    clear = placed.where("side <> 0").select(
-        *columns, (F.col("side") < 0).cast("int").alias("extra"))
-    in_order = Window.partitionBy("source").orderBy("rank", "doc_id", "size")
-    upto = F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
-    nearer = upto - F.col("size") / 2 <= F.col("left")
-    edge_rows = placed.where("side = 0").select(*columns, nearer.cast("int").alias("extra"))
-    return clear.unionByName(edge_rows)
-
 
 def crossing(cells: DataFrame, wanted: DataFrame, at: str) -> DataFrame:
     """For each source the cell in which the running sum of words reaches ``left``.
@@ -219,3 +263,36 @@ def apply_mix(docs: DataFrame, mixed: DataFrame) -> DataFrame:
             joined.where("_mix_rows > 1").withColumn("_mix_times", spread))
     return repeated.where("_mix_times > 0").withColumn("_mix_copy", F.explode(F.sequence(
         F.lit(1), F.col("_mix_times").cast("int")))).select(*docs.columns)
+
+
+def mix_rows(docs: DataFrame, scratch: Scratch, **how) -> DataFrame:
+    """The rows of ``docs`` repeated as often as :func:`mix` takes them, columns unchanged.
+
+    A row's copies follow from its own size and number and from its source's few decision rows, so
+    texts are read in place; only rows of an edge cell are looked up by (doc_id, source, size).
+    Those that agree in all three share their copies: the first ones in the order of their
+    texts get one more.
+    """
+    made = decide(scratch.keep(sized(docs), "sizes"), scratch, **how)
+    key = ["doc_id", "source", "size"]
+    edge = scratch.keep(made.edge.groupBy(*[F.col(k).alias(f"_mix_{k}") for k in key]).agg(
+        F.sum("extra").alias("_mix_extra"), F.count("*").alias("_mix_rows")), "edge-keys")
+    whole_row = F.struct(*[F.col(c) for c in docs.columns]).alias("_mix_row")
+    rows = made.placed(sized(docs.select("doc_id", "source", "text", whole_row), "_mix_row"))
+    found = rows.join(edge, (F.col("side") == 0) & same(F.col("doc_id"), F.col("_mix_doc_id"))
+                      & same(F.col("source"), F.col("_mix_source"))
+                      & (F.col("size") == F.col("_mix_size")), "left")
+    extra = F.when(F.col("side") == 0, F.col("_mix_extra")).otherwise(
+        (F.col("side") < 0).cast("int"))
+    several = F.coalesce(F.col("_mix_rows") > 1, F.lit(False))
+    taken = found.where(~several).select("_mix_row", (F.col("whole") + extra).alias("_mix_times"))
+    if not edge.where("_mix_rows > 1").isEmpty():
+        place = F.row_number().over(Window.partitionBy(
+            "_mix_doc_id", "_mix_source", "_mix_size").orderBy("_mix_row.text"))
+        spread = F.floor(F.col("_mix_extra") / F.col("_mix_rows")) + (
+            place <= F.col("_mix_extra") % F.col("_mix_rows")).cast("int")
+        taken = taken.unionByName(found.where(several).select(
+            "_mix_row", (F.col("whole") + spread).alias("_mix_times")))
+    return taken.where("_mix_times > 0").select("_mix_row", F.explode(F.sequence(
+        F.lit(1), F.col("_mix_times").cast("int"))).alias("_mix_copy")).select(
+        *[F.col("_mix_row").getField(c).alias(c) for c in docs.columns])
