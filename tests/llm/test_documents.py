@@ -281,7 +281,8 @@ def test_shapes_never_part_a_link(percent):
     pairs, links = [], []
     for k in range(400):
         both = rng.integers(0, 2 ** 63, rng.integers(1, 600), np.uint64)
-        a, b = (rng.integers(0, 2 ** 63, rng.integers(0, 1 + len(both) // 4), np.uint64) for _ in "ab")
+        own = 1 + len(both) // (4 if k % 3 else 40)
+        a, b = (rng.integers(0, 2 ** 63, rng.integers(0, own), np.uint64) for _ in "ab")
         x, y = (np.unique(np.concatenate([both[:len(both) if k % 2 else 0], own, both[:1]])) for own in (a, b))
         common = len(np.intersect1d(x, y))
         links.append(100 * common >= percent * (len(x) + len(y) - common))
