@@ -10,7 +10,9 @@ Base phrases are rules with a fixed label; every place where their words stand o
 another counts, also inside other detections, and their labels are always reported.
 
 Defined cases: a null or empty text has no words, no labels and score 0; rows are
-independent, so repeated rows repeat their result; other columns are not read.
+independent, so repeated rows repeat their result; a very long text is read whole, in time close
+to linear in its matches; equal spans of one priority go to the earlier rule; an empty table gives an
+empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from clickstar.llm.license_rules import BASE, rules
 SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RULE = "array<struct<rule:int,priority:int,label:string,keyword:string,pattern:string>>"
 DETECTIONS = "array<struct<first:int,last:int,priority:int,rule:int,label:string>>"
+# Long arrays are folded in runs of so many items: a fold that appends copies its array each time.
+RUN = 256
 # A detection's part of the score: the priority of the best one, as a share of this.
 FULL_SCORE = 100.0
 
@@ -50,23 +54,48 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def runs(items: Column) -> Column:
+    """An array's items in runs of RUN; an empty array has none."""
+    last = F.floor((F.size(items) - 1) / F.lit(RUN)).cast("int")
+    return F.when(F.size(items) == 0, F.array()).otherwise(F.transform(
+        F.sequence(F.lit(0), last), lambda i: F.slice(items, i * RUN + 1, F.lit(RUN))))
+
+
+def folded(items: Column, carry: Column, kept_type: str, step) -> Column:
+    """The array that a fold over ``items`` keeps; ``step(carry, item)`` gives (carry, array to add).
+
+    Runs are folded one by one and their arrays joined at the end, so that the work stays close to
+    linear in the number of items.
+    """
+    nothing = F.array().cast(f"array<{kept_type}>")
+
+    def one(state: Column, item: Column) -> Column:
+        carried, added = step(state.carry, item)
+        return F.struct(carried.alias("carry"), F.concat(state.kept, added).alias("kept"))
+
+    def run(state: Column, part: Column) -> Column:
+        return bound(F.aggregate(part, F.struct(state.carry.alias("carry"), nothing.alias("kept")), one),
+                     lambda r: F.struct(r.carry.alias("carry"),
+                                        F.concat(state.runs, F.array(r.kept)).alias("runs")))
+
+    start = F.struct(carry.alias("carry"), F.array().cast(f"array<array<{kept_type}>>").alias("runs"))
+    return F.flatten(F.aggregate(runs(items), start, run).runs)
+
+
 def matches(norm: Column, pattern: Column) -> Column:
     """(first, last) word of each match, in order."""
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int>>")
-                     .alias("spans"))
-
-    def step(state: Column, piece: Column) -> Column:
+    def step(at: Column, piece: Column) -> tuple[Column, Column]:
         # the text before a match ends with the blank before its first word
-        first = state.at + blanks(piece.before) - 1
+        first = at + blanks(piece.before) - 1
         last = first + blanks(piece.match)
-        return F.struct((last + 1).alias("at"), F.concat(state.spans, F.array(F.struct(
-            first.alias("first"), last.alias("last")))).alias("spans"))
+        return last + 1, F.array(F.struct(first.alias("first"), last.alias("last")))
 
     def placed(found: Column) -> Column:
         pieces = F.zip_with(F.slice(F.split(norm, pattern, F.lit(-1)), 1, F.size(found)), found,
                             lambda b, m: F.struct(b.alias("before"), m.alias("match")))
-        return F.when(F.size(found) == 0, start.spans).otherwise(
-            F.aggregate(pieces, start, step).spans)
+        return F.when(F.size(found) == 0, F.array().cast("array<struct<first:int,last:int>>")
+                      ).otherwise(bound(pieces, lambda all_pieces: folded(
+                          all_pieces, F.lit(0), "struct<first:int,last:int>", step)))
 
     return bound(F.regexp_extract_all(norm, pattern, F.lit(0)), placed)
 
@@ -89,19 +118,27 @@ def detections(norm: Column, hits: Column) -> Column:
 
 
 def surviving(found: Column) -> Column:
-    """The detections that no other one suppresses.
+    """The detections that no other one suppresses, sorted by start.
 
-    Sorted by start and, from the same start, the longest first, a span lies inside another
-    only if an earlier one reaches at least as far, or an equal one ranks before it.
+    From the same start the longest comes first, then the highest priority, then the earliest rule. So
+    a span lies inside another one that outranks it only if, among those before it with at least
+    its priority, the farthest end reaches its own: one pass that carries an end for each priority.
     """
-    def inside(a: Column, b: Column) -> Column:
-        covers = (b.first <= a.first) & (b["last"] >= a["last"])
-        longer = (b["last"] - b.first) > (a["last"] - a.first)
-        as_long = (b["last"] - b.first) == (a["last"] - a.first)
-        return covers & ((b.priority > a.priority) | ((b.priority == a.priority) & (
-            longer | (as_long & (b.rule < a.rule)))))
-
-    return F.filter(found, lambda a: ~F.exists(found, lambda b: inside(a, b)))
+    levels = sorted({r["priority"] for r in rule_list()})
+    ordered = F.array_sort(F.transform(found, lambda d: F.struct(
+        d.first.alias("first"), (-d["last"]).alias("ends"), (-d.priority).alias("ranks"),
+        d.rule.alias("rule"), d.label.alias("label"))))
+
+    def step(far: Column, d: Column) -> tuple[Column, Column]:
+        level = F.array_position(F.array(*map(F.lit, levels)), -d.ranks).cast("int")
+        shown = F.struct(d.first.alias("first"), (-d.ends).alias("last"), (-d.ranks).alias("priority"),
+                         d.rule.alias("rule"), d.label.alias("label"))
+        stays = F.element_at(far, level) < -d.ends
+        reach = F.transform(far, lambda end, i: F.when(i < level, F.greatest(end, -d.ends)).otherwise(end))
+        return reach, F.when(stays, F.array(shown)).otherwise(F.array().cast(DETECTIONS))
+
+    nowhere = F.array(*[F.lit(-1)] * len(levels))
+    return bound(ordered, lambda d: folded(d, nowhere, DETECTIONS[6:-1], step))
 
 
 def base_places(norm: Column) -> Column:
