@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -67,6 +68,19 @@ def test_packing_documents(llm, awkward):
     assert packing.pack_documents(empty(awkward)).collect() == []
 
 
+def test_tiny_documents_leave_little_padding(llm):
+    """20,000 documents of three tokens, far more than a sequence has places for in large pieces."""
+    df = llm.createDataFrame([(i, "w x" if i % 2 else "") for i in range(20_000)],
+                             "doc_id bigint, text string").repartition(4)
+    pieces = packing.pack_documents(df, with_ids=False).collect()
+    filled = Counter()
+    for p in pieces:
+        filled[p.sequence_id] += p.length
+    places = sum(n if n & (n - 1) == 0 else 4096 for n in filled.values())
+    assert sum(filled.values()) == 10_000 * 4 and places <= 1.02 * sum(filled.values())
+    assert len({p.doc_id for p in pieces}) == 20_000
+
+
 @pytest.mark.parametrize("limits", [packing.Limits(64, 4, 64), packing.Limits(64, 64, 20),
                                     packing.Limits(128, 8, 70)])
 def test_packing_keeps_all_limits(llm, limits):
@@ -232,6 +246,22 @@ def test_license_suppression_equals_brute_force(llm):
         assert got[i] == left, text
 
 
+def test_license_scan_of_very_many_mentions(llm):
+    """100,000 mentions in one text: every place counts, and what suppresses does so, in seconds."""
+    n = 20_000
+    unit = "cc by mit license gpl all rights reserved apache license 2 0 general public license x"
+    words, start = len(unit.split()), time.monotonic()
+    df = llm.createDataFrame([(1, f"{unit} " * n), (2, unit)], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in license_scan.scan(df).collect()}
+    report = {r.doc_id: r for r in license_scan.report(license_scan.scan(df)).collect()}
+    assert time.monotonic() - start < 120
+    one = [(d.first, d.last, d.rule) for d in got[2].detections]
+    want = [(f + k * words, e + k * words, r) for k in range(n) for f, e, r in one]
+    assert [(d.first, d.last, d.rule) for d in got[1].detections] == want and len(one) >= 4
+    assert (report[1].n_base, report[2].n_base) == (3 * n, 3) and report[1].labels == report[2].labels
+    assert report[1].last_word == report[2].last_word + (n - 1) * words
+
+
 def samples(pattern):
     """All texts that a rule's pattern matches; it has letters, (?:..|..), [..], ? and digits."""
     part = re.search(r"\(\?:([^()]*)\)(\??)|\[(\w+)\]|([^()])\?", pattern)
