@@ -62,6 +62,34 @@ class DailyLoad:
         if not raw.has_rows(export, self.params.run_date):
             raise RawDataMissing(self.params.run_date.isoformat())
 
+    # --- arrival ---
+
+    def fingerprints(self, lookback: int) -> DataFrame:
+        """Of the shards of the look-back, written so that they are those of one moment."""
+        last = self.params.run_date
+        shards = raw.scan_raw(raw.open_export(self.spark, self.export),
+                              last - dt.timedelta(days=lookback - 1), last)
+        staged = f"{self.ledger}.{self.run_id}"
+        tables.write_replace(raw.shard_fingerprints(shards), staged)
+        return self.spark.read.schema(raw.FINGERPRINT).parquet(staged)
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/stage/raw_fingerprints"
+
+    def changed_days(self, now: DataFrame) -> list[dt.date]:
+        """Days whose shards are new or not what was loaded; a handful of names."""
+        known = self.spark.createDataFrame([], raw.FINGERPRINT)
+        if tables.exists(self.spark, self.ledger):
+            known = self.spark.read.schema(raw.FINGERPRINT).parquet(self.ledger)
+        return sorted(dt.datetime.strptime(r["event_date"], "%Y%m%d").date()
+                      for r in raw.changed_shards(now, known).collect())
+
+    def remember(self, now: DataFrame) -> None:
+        """Notes what was loaded, from before the load: a later change is seen by the next run."""
+        tables.write_partitioned(now, self.ledger, "event_date", rebalance=False)
+        tables.drop(self.spark, f"{self.ledger}.{self.run_id}")
+
     def stg_events_flat(self, days: int = 1) -> None:
         """Input files hold one day each, so the rows are written without a shuffle."""
         last = self.params.run_date
@@ -232,14 +260,19 @@ def merge_job(load: DailyLoad, name: str) -> None:
 
 
 def run_daily(spark: SparkSession, export: str, root: str, params: RunParams,
-              reprocess_days: int = 1) -> DailyLoad:
+              reprocess_days: int | None = 1, lookback: int = 30) -> DailyLoad:
     """Export → stage → dimensions → facts → checks → summary, each step logged.
 
     With ``reprocess_days`` the days before the run date are loaded again up to the
-    facts and their checks, oldest first, so late rows reach every table.
+    facts and their checks, oldest first, so late rows reach every table. With None they go back
+    to the oldest shard of the look-back that is new or has changed since it was loaded.
     """
-    load = DailyLoad(spark, export, root, params)
+    load, prints = DailyLoad(spark, export, root, params), None
     load.logged("check_raw_data", load.check_raw)
+    if reprocess_days is None:
+        prints = load.fingerprints(lookback)
+        oldest = min([*load.changed_days(prints), params.run_date])
+        reprocess_days = (params.run_date - oldest).days + 1
     load.logged("stg_events_flat", lambda: load.stg_events_flat(reprocess_days),
                 "stg_events_flat")
     load.logged("stg_sessions", lambda: load.stg_sessions(reprocess_days), "stg_sessions")
@@ -257,6 +290,8 @@ def run_daily(spark: SparkSession, export: str, root: str, params: RunParams,
         day.logged("quality_gate", day.gate)
         day.logged("quality_checks", day.checks)
     load.logged("daily_summary", load.summary)
+    if prints is not None:
+        load.remember(prints)
     return load
 
 

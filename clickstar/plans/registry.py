@@ -135,6 +135,20 @@ add("literal_rows", lambda w: calendar.holidays(w.spark).join(
 add("raw_arrived", lambda w: raw.raw_arrived(w.export, day(w)),
     f"""SELECT {RUN} AS run_date, count(*) AS raw_rows, count(*) > 0 AS arrived FROM flat
       WHERE event_date_partition = {RUN}""")
+
+
+def changed_shards(w: Warehouse) -> DataFrame:
+    """Against an export that lacked one event in 97 of the week before the run date, and all later days."""
+    lacked = w.export.where((F.col("event_date") <= w.params.shard) & ~(
+        (F.col("src_event_id") % 97 == 0)
+        & (F.col("event_date") > (day(w) - dt.timedelta(days=7)).strftime("%Y%m%d"))))
+    return raw.changed_shards(raw.shard_fingerprints(w.export), raw.shard_fingerprints(lacked))
+
+
+add("changed_shards", changed_shards,
+    f"""SELECT event_date, event_date_partition > {RUN} AS is_new FROM flat
+      WHERE event_date_partition > {RUN} OR (event_date_partition > {RUN} - 7
+      AND src_event_id % 97 = 0) GROUP BY 1, 2""")
 add("inspect_shards", lambda w: raw.list_shards(w.export),
     """SELECT table_suffix, count(*) AS raw_rows FROM flat GROUP BY 1
       ORDER BY 1 DESC LIMIT 10""")

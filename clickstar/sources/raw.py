@@ -62,3 +62,27 @@ def list_shards(raw: DataFrame, newest: int = 10) -> DataFrame:
 def sample_shard(raw: DataFrame, day: dt.date, rows: int = 10) -> DataFrame:
     """The first rows of a shard by time, to look at."""
     return (scan_raw_day(raw, day).orderBy("event_timestamp", "src_event_id").limit(rows))
+
+
+def shard_fingerprints(raw: DataFrame) -> DataFrame:
+    """One row per shard that tells its content: it does not depend on files or the order of rows.
+
+    The exclusive or of row hashes alone would miss rows that come twice, their sum alone a few swaps.
+    """
+    row = F.xxhash64(F.struct(*[c for c in RAW_EVENTS.names if c != "event_date"]))
+    return raw.groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("raw_rows"), F.bit_xor(row).alias("hash_xor"),
+        F.sum(F.pmod(row, F.lit(1 << 31))).alias("hash_sum"))
+
+
+FINGERPRINT = "event_date string, raw_rows bigint, hash_xor bigint, hash_sum bigint"
+
+
+def changed_shards(now: DataFrame, known: DataFrame) -> DataFrame:
+    """(event_date, is_new) of the shards whose fingerprint is not the known one."""
+    before = known.select(F.col("event_date").alias("_day"), *[
+        F.col(c).alias(f"_{c}") for c in ("raw_rows", "hash_xor", "hash_sum")])
+    same = ((F.col("raw_rows") == F.col("_raw_rows")) & (F.col("hash_xor") == F.col("_hash_xor"))
+            & (F.col("hash_sum") == F.col("_hash_sum")))
+    return now.join(before, F.col("event_date") == F.col("_day"), "left").where(
+        F.col("_day").isNull() | ~same).select("event_date", F.col("_day").isNull().alias("is_new"))
