@@ -9,9 +9,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from clickstar.llm import bottom_k, license_scan, mixing, ngram_join, packing, toxicity
+from clickstar.llm import (bottom_k, license_scan, mixing, ngram_join, packing, queries,
+                           toxicity)
 from clickstar.llm.license_rules import BASE
 from clickstar.llm.tables import Scratch
 from tests.llm import brute
@@ -474,10 +476,54 @@ def test_sketch_estimates(llm):
 
 
 def test_edited_digest_is_utf8(llm, scratch):
-    from clickstar.llm.queries import QUERIES
-
-    assert "op8_bottom_k" in QUERIES
     df = llm.createDataFrame([(1, "aéb"), (2, "日本語文")], "doc_id bigint, text string")
-    got = {r.doc_id: r.edited for r in bottom_k.edited(df, scratch).collect()}
-    assert got == {1: "aé日", 2: "日本aé"}
-    assert hashlib.sha256("aé日".encode()).hexdigest()
+    got = {r.doc_id: (r.edited, r.d) for r in bottom_k.edited(df, scratch).withColumn(
+        "d", F.sha2("edited", 256)).collect()}
+    assert got == {i: (t, hashlib.sha256(t.encode()).hexdigest()) for i, t in ((1, "aé日"), (2, "日本aé"))}
+
+
+def long_hash(data, seed=42):
+    """The 64-bit hash of bytes, as the engine's function seeds and signs it."""
+    v = xxhash.xxh64_intdigest(data, seed % 2 ** 64)
+    return v - 2 ** 64 if v >= 2 ** 63 else v
+
+
+def brute_sketch(text):
+    words = [w for w in re.split("[ \t\n\x0b\f\r]+", text.lower()) if w]
+    h = [long_hash(w.encode()) for w in words]
+
+    def chained(values):
+        seed = 42
+        for v in values:
+            seed = long_hash(v.to_bytes(8, "little", signed=True), seed)
+        return seed
+
+    spans = [h[i:i + 5] for i in range(len(h) - 4)] if len(h) >= 5 else [h] if h else []
+    return sorted({chained(s) for s in spans})[:bottom_k.K]
+
+
+def brute_resemblance(left, right):
+    union = sorted({*left, *right})[:bottom_k.K]
+    return len([x for x in union if x in left and x in right]) / len(union) if union else 1.0
+
+
+def test_sketch_query_against_brute_force(llm, awkward, tmp_path):
+    """Every column of the registered query, hashes made again in Python."""
+    rows = sorted({r.doc_id: r.text or "" for r in awkward.collect() if r.doc_id is not None}.items())
+    llm.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.QUERIES["op8_bottom_k"](llm, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+
+    def shown(sketch):
+        return "".join(f"{x % 2 ** 64:016X}" for x in sketch)
+
+    for (doc_id, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        cut = len(text) // 2
+        edited = text[:len(text) - cut] + after[:cut]
+        own, changed, other = map(brute_sketch, (text, edited, after))
+        assert got[doc_id].asDict() == {
+            "doc_id": doc_id, "n_chars": len(text), "fingerprint": shown(own),
+            "edited_sha256": hashlib.sha256(edited.encode()).hexdigest(),
+            "edited_fingerprint": shown(changed),
+            "near_edited": pytest.approx(brute_resemblance(own, changed)),
+            "near_next": pytest.approx(brute_resemblance(own, other))}
