@@ -35,15 +35,26 @@ def laid_out(df: DataFrame, partition: str, cluster: tuple[str, ...] = (),
     return df.sortWithinPartitions(partition, *[c for c in cluster if c != partition])
 
 
+def lookup_options(columns: tuple[str, ...]) -> dict[str, str]:
+    """Writer options for Parquet bloom filters, sized by each row group's distinct values.
+
+    A lookup of one value then skips the row groups that do not hold it, also where the
+    value lies between their least and greatest one.
+    """
+    options = {f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}
+    return {**options, "parquet.bloom.filter.adaptive.enabled": "true"} if columns else {}
+
+
 def write_partitioned(df: DataFrame, path: str, partition: str, cluster: tuple[str, ...] = (),
-                      rebalance: bool = True) -> None:
+                      rebalance: bool = True, lookups: tuple[str, ...] = ()) -> None:
     """Replaces exactly the days present in ``df`` and leaves the others alone.
 
     New files are staged and moved in at commit, so tasks that run again after an
-    executor is lost still find their input.
+    executor is lost still find their input. ``lookups`` names columns of single-value lookups.
     """
     (laid_out(df, partition, cluster, rebalance).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path))
+     .options(**lookup_options(lookups)).option("partitionOverwriteMode", "dynamic")
+     .partitionBy(partition).parquet(path))
 
 
 def append_rows(df: DataFrame, path: str, partition: str | None = None) -> None:

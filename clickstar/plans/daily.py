@@ -97,7 +97,8 @@ class DailyLoad:
                               last - dt.timedelta(days=days - 1), last)
         table = schemas.TABLES["stg_events_flat"]
         tables.write_partitioned(self.stamp(stage.flatten(shards)), self.path(table.name),
-                                 table.partition, table.cluster, rebalance=False)
+                                 table.partition, table.cluster, rebalance=False,
+                                 lookups=table.lookups)
 
     def stg_sessions(self, days: int = 1) -> None:
         first = self.params.run_date - dt.timedelta(days=days - 1)
@@ -106,7 +107,7 @@ class DailyLoad:
         table = schemas.TABLES["stg_sessions"]
         rows = stage.sessions(flat, "event", self.params.lenient)
         tables.write_partitioned(self.stamp(rows), self.path(table.name), table.partition,
-                                 table.cluster)
+                                 table.cluster, lookups=table.lookups)
 
     def stg_users(self, lookback: int = 90, days: int = 1) -> None:
         """Put together from stored parts: only the days loaded are read from the sessions.

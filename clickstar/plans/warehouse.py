@@ -92,7 +92,8 @@ class Warehouse:
         elif layout is not None and layout.partition:
             # facts read tables whose files hold one day each already
             tables.write_partitioned(rows, path, layout.partition, layout.cluster,
-                                     rebalance=not name.startswith("fact_"))
+                                     rebalance=not name.startswith("fact_"),
+                                     lookups=layout.lookups)
         else:
             tables.write_replace(rows, path)
 

@@ -75,7 +75,7 @@ DATA_QUALITY_LOG = struct("""
 
 @dataclass(frozen=True)
 class Table:
-    """Layer, partition column, sort order inside files and description of a table."""
+    """Layer, partition column, sort order inside files, lookup columns and description of a table."""
 
     name: str
     layer: str
@@ -85,15 +85,17 @@ class Table:
     description: str = ""
     merge_keys: tuple[str, ...] = ()
     update_columns: tuple[str, ...] = ()
+    lookups: tuple[str, ...] = ()
 
 
 _ALL = [
     Table("stg_events_flat", "stage", "event_date_partition",
           ("event_name", "user_pseudo_id", "session_id"),
-          description="One row per event, parameters and nested fields as columns"),
+          description="One row per event, parameters and nested fields as columns",
+          lookups=("user_pseudo_id", "session_id")),
     Table("stg_sessions", "stage", "session_date",
           ("session_id", "source", "medium", "has_conversion"),
-          description="One row per session, day and user"),
+          description="One row per session, day and user", lookups=("user_pseudo_id", "session_id")),
     Table("stg_users", "stage", "user_first_seen_date",
           ("user_pseudo_id", "primary_country", "primary_device_category"),
           description="One row per user over the look-back"),

@@ -215,3 +215,28 @@ def test_swap_keeps_the_version_before_and_recovers(spark, tmp_path):
     assert spark.read.parquet(path).count() == 2
     tables.drop(spark, path)
     assert not tables.exists(spark, path)
+
+
+def rows_read(df):
+    """Rows that the plan's scan handed on."""
+    df.collect()
+    node = df._jdf.queryExecution().executedPlan()
+    while node.children().size():
+        node = node.children().head()
+    return node.metrics().apply("numOutputRows").value()
+
+
+def test_a_lookup_of_an_absent_id_reads_no_row(spark, tmp_path):
+    """Ids lie between the least and greatest of every file, and are too many for dictionaries."""
+    df = spark.range(60_000).select(F.concat(F.lit("u"), F.xxhash64("id")).alias("user"),
+                                    F.lit(d(1)).alias("day"), F.col("id").alias("b"))
+    for name, lookups in (("plain", ()), ("bloom", ("user",))):
+        tables.write_partitioned(df, str(tmp_path / name), "day", ("b",), lookups=lookups)
+    absent, there = F.col("user") == "u-1234567", F.col("user") == df.first()["user"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        read = {n: spark.read.parquet(str(tmp_path / n)) for n in ("plain", "bloom")}
+        assert rows_read(read["plain"].where(absent)) > 0 and rows_read(read["bloom"].where(absent)) == 0
+        assert read["bloom"].where(there).count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
