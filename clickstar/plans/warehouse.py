@@ -17,14 +17,14 @@ from clickstar.operators import dims as D
 from clickstar.operators import facts, marts, monitor, quality, rollup, stage, tables
 from clickstar.params import RunParams
 from clickstar.schemas import TABLES
-from clickstar.session import prepare, shared_dir, side_by_side
+from clickstar.session import prepare_wide, shared_dir, side_by_side
 from clickstar.sources import adapter, raw
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams | None = None,
                  root: str | None = None) -> None:
-        self.spark = prepare(spark)
+        self.spark = prepare_wide(spark)
         self.sf_dir = sf_dir
         self.params = params or RunParams()
         tag = hashlib.sha256(sf_dir.encode()).hexdigest()[:10]

@@ -53,6 +53,21 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def prepare_wide(spark: SparkSession) -> SparkSession:
+    """Also keeps the rows of one scanning task few, for plans that sort or buffer wide rows.
+
+    A flat event takes about 25 bytes in a file and 500 to 1,000 in a sort, so the default split
+    of 128 MB would make a task hold millions of rows and spill them: the spilled bytes
+    then grow faster than the input. With small splits tables that grow make more tasks instead.
+
+    Aggregates with sketches or sets hold 128 groups and sort all rows that follow; a day has
+    some hundred tile rows, of a few kilobytes each, so they are let to hold 4,096.
+    """
+    prepare(spark).conf.set("spark.sql.files.maxPartitionBytes", "8m")
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", "4096")
+    return spark
+
+
 LOCAL_DIR = "clickstar.local.dir"
 
 

@@ -94,3 +94,22 @@ def test_no_query_uses_python_workers_or_a_cross_join(w):
                  "conversion_number_lifetime", "volume_trend", "dim_channel"):
         text = plan(QUERIES[name](w))
         assert "EvalPython" not in text and "CartesianProduct" not in text, name
+
+
+def test_wide_session_rows_are_shuffled_once(w):
+    for form in (stage.sessions(w.table("stg_events_flat")),
+                 stage.sessions_conformed(w.table("stg_events_flat"))):
+        text = plan(form)
+        assert text.count("Exchange hashpartitioning") == 1 and "functions=[partial_" in text
+
+
+def test_scanning_tasks_of_the_warehouse_read_little(w, spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(4_000_000).selectExpr("xxhash64(id) AS x").coalesce(1).write.parquet(path)
+    assert spark.read.parquet(path).rdd.getNumPartitions() >= 4
+    assert w.spark.conf.get("spark.sql.objectHashAggregate.sortBased.fallbackThreshold") == "4096"
+
+
+def test_estimates_are_checked_without_collecting_lengths(w):
+    text = plan(QUERIES["rollup_estimates"](w))
+    assert "collect_list" not in text and "sort_array" not in text

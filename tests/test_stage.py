@@ -180,3 +180,12 @@ def test_unknown_users_of_one_slot_are_numbered_like_brute_force(spark):
         own = sorted((t, i) for u, t, i in rows if u == user)
         want |= {i: n for n, (_, i) in enumerate(own, 1)}
     assert got == want
+
+
+def test_different_names_of_a_session_are_counted(spark):
+    names = ["page_view", "scroll", "page_view", None, "click"]
+    flat = stage.flatten(raw(spark, *[event(micros(1 + i), n, seq=i) for i, n in enumerate(names)],
+                             event(micros(9), None, seq=9, session=2)))
+    for form in (stage.sessions(flat), stage.sessions_conformed(flat)):
+        got = {r.ga_session_id: r.unique_events_count for r in form.collect()}
+        assert got == {1: 3, 2: 0} and dict(form.dtypes)["unique_events_count"] == "bigint"
