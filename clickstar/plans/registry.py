@@ -798,23 +798,28 @@ SQL["sessions_by_date_rolled"] = SQL["sessions_by_date"]
 
 def estimates(w: Warehouse) -> DataFrame:
     """Distinct users and length percentiles per channel: whether the sketches are within bounds."""
-    exact = w.mart_sessions().groupBy("channel_group").agg(
-        F.count_distinct("user_pseudo_id").alias("n"), F.count("session_duration_seconds").alias("timed"),
-        F.sort_array(F.collect_list("session_duration_seconds")).alias("sorted"))
     users = rollup.tile(w.table("mart_rollup"), "channel", ["channel_group"], "approx_users")
     lengths = rollup.length_percentiles(w.table("mart_rollup"), "channel", ["channel_group"])
-
-    def near(column: str, share: float) -> F.Column:
-        """The estimate lies between the values a little below and above its rank."""
-        def at(r: float) -> F.Column:
-            return F.element_at("sorted", F.greatest(F.lit(1), F.least(
-                F.col("timed"), F.ceil(F.col("timed") * r))).cast("int"))
-        return F.col(column).between(at(share - 2 * rollup.RANK_ERROR), at(share + 2 * rollup.RANK_ERROR))
-
-    return exact.join(users, "channel_group").join(lengths, "channel_group").select(
+    seconds = F.col("session_duration_seconds")
+    shares = {"p50_seconds": 0.5, "p90_seconds": 0.9}
+    exact = w.mart_sessions().join(F.broadcast(lengths), "channel_group").groupBy(
+        "channel_group").agg(
+        F.count_distinct("user_pseudo_id").alias("n"), F.count(seconds).alias("timed"),
+        *[F.count_if(seconds < F.col(c)).alias(f"{c}_below") for c in shares],
+        *[F.count_if(seconds <= F.col(c)).alias(f"{c}_up_to") for c in shares])
+
+    def near(column: str) -> F.Column:
+        """The estimate lies between the values a little below and above its rank: lengths are
+        counted on either side of it, none is collected or sorted."""
+        def rank(r: float) -> F.Column:
+            return F.greatest(F.lit(1), F.least(F.col("timed"), F.ceil(F.col("timed") * r)))
+        low, high = (rank(shares[column] + d * rollup.RANK_ERROR) for d in (-2, 2))
+        return (F.col(f"{column}_up_to") >= low) & (F.col(f"{column}_below") < high)
+
+    return exact.join(users, "channel_group").select(
         "channel_group", (F.abs(F.col("approx_users") - F.col("n")) <= F.ceil(
             4 * rollup.USERS_ERROR * F.col("n"))).alias("users_within_bound"),
-        (near("p50_seconds", 0.5) & near("p90_seconds", 0.9)).alias("lengths_within_bound"))
+        (near("p50_seconds") & near("p90_seconds")).alias("lengths_within_bound"))
 
 
 add("rollup_estimates", estimates,
