@@ -23,30 +23,39 @@ from clickstar.operators.stage import USER_PICKS
 
 SIZES = (1, 8, 64)
 USER = ["user_pseudo_id", "user_id"]
-SUMS = ["sessions", "carried", "events", "pageviews", "conversions", "leads", "value", "revenue",
-        "seconds", "timed", "engaged"]
+DAY_SUMS = ["events", "pageviews", "conversions", "leads", "value", "revenue", "seconds", "timed",
+            "engaged"]
+SUMS = ["sessions", "carried", *DAY_SUMS]
 
 
 def day_parts(sessions: DataFrame, before: DataFrame) -> DataFrame:
-    """One row per day and user; ``before`` has the session ids of the days before these days."""
+    """One row per day and user; ``before`` has the session ids of the days before these days.
+
+    Sessions and the ids of the day before are stacked, so each is shuffled once: first by
+    session, which counts every one once, then by user.
+    """
+    own = sessions.select(
+        F.col("session_date").alias("from_day"), *USER, "session_id", F.lit(1).alias("_rows"),
+        F.lit(0).alias("_before"), F.col("events_count").alias("events"), "pageviews",
+        F.when(F.col("has_conversion"), 1).otherwise(0).alias("conversions"),
+        F.when(F.col("has_lead"), 1).otherwise(0).alias("leads"),
+        F.col("total_conversion_value").alias("value"),
+        F.col("total_purchase_revenue").alias("revenue"),
+        F.col("session_duration_seconds").alias("seconds"),
+        F.col("session_duration_seconds").isNotNull().cast("int").alias("timed"),
+        F.col("session_engaged").alias("engaged"),
+        F.struct("session_date", "ga_session_id", "session_id", *USER_PICKS).alias("first"))
     ran_on = before.where("session_id IS NOT NULL").select(
-        F.date_add("session_date", 1).alias("_day"), F.col("session_id").alias("_session"),
-        *[F.col(c).alias(f"_{c}") for c in USER]).distinct()
-    same = [F.col("session_date") == F.col("_day"), F.col("session_id") == F.col("_session"),
-            *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in USER]]
-    rows = sessions.join(ran_on, same, "left")
-    return rows.groupBy(F.col("session_date").alias("from_day"), *USER).agg(
-        F.min("session_date").alias("first_day"), F.max("session_date").alias("last_day"),
-        F.count_distinct("session_id").alias("sessions"),
-        F.count_distinct("_session").alias("carried"),
-        F.sum("events_count").alias("events"), F.sum("pageviews").alias("pageviews"),
-        F.count_if("has_conversion").alias("conversions"), F.count_if("has_lead").alias("leads"),
-        F.sum("total_conversion_value").alias("value"),
-        F.sum("total_purchase_revenue").alias("revenue"),
-        F.sum("session_duration_seconds").alias("seconds"),
-        F.count("session_duration_seconds").alias("timed"),
-        F.sum("session_engaged").alias("engaged"),
-        F.min(F.struct("session_date", "ga_session_id", "session_id", *USER_PICKS)).alias("first")
+        F.date_add("session_date", 1).alias("from_day"), *USER, "session_id",
+        F.lit(0).alias("_rows"), F.lit(1).alias("_before"))
+    once = own.unionByName(ran_on, allowMissingColumns=True).groupBy(
+        "from_day", *USER, "session_id").agg(
+        F.max("_rows").alias("_rows"), F.max("_before").alias("_before"),
+        *[F.sum(c).alias(c) for c in DAY_SUMS], F.min("first").alias("first")).where("_rows = 1")
+    return once.groupBy("from_day", *USER).agg(
+        F.min("from_day").alias("first_day"), F.max("from_day").alias("last_day"),
+        F.count("session_id").alias("sessions"), F.sum("_before").alias("carried"),
+        *[F.sum(c).alias(c) for c in DAY_SUMS], F.min("first").alias("first")
     ).withColumn("carried_first", F.col("carried"))
 
 
@@ -128,7 +137,7 @@ def build(spark: SparkSession, path: str, sessions: DataFrame, days: list[dt.dat
             parts.write.mode("overwrite").parquet(folder(path, 1, chunk[0]))
         else:
             (parts.withColumn("start", F.date_format("from_day", "yyyyMMdd"))
-             .repartition("start").write.mode("overwrite").partitionBy("start")
+             .hint("rebalance", F.col("start")).write.mode("overwrite").partitionBy("start")
              .parquet(f"{path}/days=1"))
     newest = max(stored(spark, path, 1) | set(days))
     old = max(before, default=dt.date.min)

@@ -166,3 +166,25 @@ def test_unknown_users_stay_cut_into_slots(spark):
     assert min(n for i, n in got.items() if df.where(F.col("src_event_id") == i).first()[0] is None) == 8
     text = lifetime.numbered_day(df, before)._jdf.queryExecution().executedPlan().toString()
     assert "_slot" in [x for x in text.splitlines() if "Exchange hashpartitioning" in x][0]
+
+
+def test_day_parts_shuffle_by_session_and_by_user_only(spark):
+    rows = spark.createDataFrame(random_sessions(5, 4, 40), SESSIONS)
+    before = rows.select("session_date", "session_id", *rolling.USER)
+    text = rolling.day_parts(rows, before)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in text and "Join" not in text
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_repeated_sessions_and_unknown_users_count_as_before(spark):
+    known = ("s1", "u", None, 1, day(1), "a", "y", "s", "m", 5, 2, True, None, 2.5, 1.0, 10, 1)
+    unknown = (None, None, None, None, day(1), "a", "y", "s", "m", 3, 1, None, True, None, None, None, None)
+    rows = spark.createDataFrame([known, known, unknown, unknown], SESSIONS)
+    before = spark.createDataFrame([(day(0), "s1", "u", None), (day(0), "s1", "u", None),
+                                    (day(0), None, None, None), (day(0), "s9", "u", None)],
+                                   "session_date date, session_id string, user_pseudo_id string, user_id string")
+    got = {r.user_pseudo_id: r for r in rolling.day_parts(rows, before).collect()}
+    assert set(got) == {"u", None}
+    assert (got["u"].sessions, got["u"].carried, got["u"].events, got["u"].conversions) == (1, 1, 10, 2)
+    assert (got[None].sessions, got[None].carried, got[None].events, got[None].leads) == (0, 0, 6, 2)
+    assert (got["u"].timed, got[None].timed, got[None].seconds, got[None].value) == (2, 0, None, None)
