@@ -25,7 +25,8 @@ def _matches(keys: list[str], null_safe: bool) -> Column:
 
 
 def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
-               update_columns: list[str] | None = None, null_safe: bool = True) -> DataFrame:
+               update_columns: list[str] | None = None, null_safe: bool = True,
+               repeats: bool = False) -> DataFrame:
     """The table after the merge.
 
     A matched row takes ``update_columns`` from the source (all columns when not
@@ -36,7 +37,8 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
 
     Both sides are stacked and sorted by key with the source row first, so rows are shuffled
     once, and every target row stays, also where several share a key: the window hands them
-    the source row and buffers no group. Two source rows of one key stop the job.
+    the source row and buffers no group. Two source rows of one key stop the job, or with
+    ``repeats`` count as one, for sources that may deliver a row again.
     """
     columns = target.columns
     update = set(columns if update_columns is None else update_columns) - set(keys)
@@ -56,8 +58,10 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str],
     twice = F.concat(F.lit(f"{TWICE} {', '.join(keys)}: "),
                      F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]))
     # a source row stays where no target row follows it
-    stays = F.when(~F.col("_new") | F.col("_next_new").isNull(), True).when(
-        F.col("_next_new"), F.raise_error(twice).cast("boolean")).otherwise(False)
+    stays = F.when(~F.col("_new") | F.col("_next_new").isNull(), True)
+    if not repeats:
+        stays = stays.when(F.col("_next_new"), F.raise_error(twice).cast("boolean"))
+    stays = stays.otherwise(False)
 
     def value(c: str) -> Column:
         if c not in update:
@@ -88,7 +92,8 @@ def touched_days(target: DataFrame, source: DataFrame, table: Table) -> list:
     return [r[0] for r in days.collect()]
 
 
-def merge_table(spark: SparkSession, path: str, source: DataFrame, table: Table) -> int:
+def merge_table(spark: SparkSession, path: str, source: DataFrame, table: Table,
+                repeats: bool = False) -> int:
     """Merges ``source`` into the table at ``path``; rewrites touched days only.
 
     Returns the number of touched days. New versions of the days are written beside the
@@ -107,7 +112,7 @@ def merge_table(spark: SparkSession, path: str, source: DataFrame, table: Table)
     if None in days:
         inside = inside | day.isNull()
     merged = merge_rows(target.where(inside), source, list(table.merge_keys),
-                        list(table.update_columns))
+                        list(table.update_columns), repeats=repeats)
     try:
         tables.stage_days(merged, path, table.partition, table.cluster)
     except Exception as error:

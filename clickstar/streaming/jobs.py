@@ -261,14 +261,13 @@ def stream_upsert_events(raw: DataFrame, dims: dict[str, DataFrame], table: Tabl
                          ) -> StreamingQuery:
     """Upserts events into the event fact; an event that comes again changes nothing."""
     def upsert(batch: DataFrame, number: int) -> None:
-        """Stages the batch once, as the merge reads its source several times."""
+        """Stages the batch once, as the merge reads its source several times and drops repeats."""
         folder = f"{staging}/batch={number}"
-        once = facts.fact_events(batch, dims, conformed=True).dropDuplicates(
-            list(table.merge_keys))
-        once = once.withColumn("_etl_timestamp", F.lit(None).cast("timestamp"))
-        once.write.mode("overwrite").parquet(folder)
+        rows = facts.fact_events(batch, dims, conformed=True)
+        rows = rows.withColumn("_etl_timestamp", F.lit(None).cast("timestamp"))
+        rows.write.mode("overwrite").parquet(folder)
         merge.merge_table(batch.sparkSession, path, batch.sparkSession.read.parquet(folder),
-                          table)
+                          table, repeats=True)
         tables.drop(batch.sparkSession, folder)
 
     return _each_batch(flat_stream(raw), checkpoint, upsert, continuous)

@@ -240,3 +240,10 @@ def test_a_lookup_of_an_absent_id_reads_no_row(spark, tmp_path):
         assert read["bloom"].where(there).count() == 1
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_rows_that_come_again_count_as_one_where_allowed(spark):
+    target = rows(spark, ("1", d(1), "old", "old"))
+    source = rows(spark, *[("1", d(1), "new", "new")] * 3, *[("2", d(1), "new", "new")] * 2)
+    merged = merge.merge_rows(target, source, ["id", "day"], repeats=True)
+    assert sorted(map(tuple, merged.collect())) == [("1", d(1), "new", "new"), ("2", d(1), "new", "new")]
