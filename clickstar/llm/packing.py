@@ -34,6 +34,7 @@ END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
 PIECE = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
          "sequence_id bigint, offset bigint, segment int, loss_tokens bigint")
+_NO_IDS = np.empty(0, np.int32)
 _caches: dict[str, TokenCache] = {}
 
 
@@ -162,9 +163,9 @@ class Packer:
         out = [[], [], [], [], [], [], [], [], []]
         ids = []
         for piece, number, offset, segment in rows:
-            own = piece.example.ids[piece.start:piece.end]
+            own = np.ascontiguousarray(piece.example.ids[piece.start:piece.end], "<i4")
             values = (piece.example.doc_id, piece.start, piece.tokens,
-                      zlib.crc32(own.astype("<u4").tobytes()), len(piece.example.ids),
+                      zlib.crc32(own), len(piece.example.ids),
                       base + number, offset, segment, piece.loss)
             for column, value in zip(out, values):
                 column.append(value)
@@ -173,7 +174,9 @@ class Packer:
         arrays = [pa.array(c, pa.int32() if n == 7 else pa.int64()) for n, c in enumerate(out)]
         names = [p.split()[0] for p in PIECE.split(", ")]
         if with_ids:
-            arrays.append(pa.array(ids, pa.list_(pa.int32())))
+            ends = np.cumsum([0, *map(len, ids)])
+            arrays.append(pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(np.concatenate([_NO_IDS, *ids]))))
             names.append("ids")
         return pa.record_batch(arrays, names=names)
 

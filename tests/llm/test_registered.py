@@ -63,3 +63,10 @@ def test_pipeline_gives_the_token_ids(llm, awkward):
 
 def test_run_gives_the_last_stage(llm):
     assert "sequence_id" in corpus_pipeline.run(llm, SF_DIR).columns
+
+
+def test_op1_gives_the_packed_ids(llm):
+    rows = queries.QUERIES["op1_packing"](llm, SF_DIR).where("doc_id < 40").collect()
+    assert len({r.doc_id for r in rows}) == 40
+    for r in rows:
+        assert len(r.ids) == r.length and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32
