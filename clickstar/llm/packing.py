@@ -9,7 +9,7 @@ first cut into whole sequences. What waits at a task's end is less than one sequ
 cut into sequences whose lengths are powers of two, so nothing is padded there either.
 
 Tasks pack their own rows as they stream through, without a shuffle; a pool holds at most
-one batch of examples. Sequence numbers hold the task's number in their upper bits.
+``POOL`` new examples, whatever the batches they come in. Sequence numbers hold the task's number in their upper bits.
 
 Defined cases: a null text is empty and has its end token alone; repeated rows are packed
 each; a null doc_id is kept; an example without tokens (only without an end token) has no
@@ -35,6 +35,8 @@ TOKENIZER = "word_bpe_49k.json"
 PIECE = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
          "sequence_id bigint, offset bigint, segment int, loss_tokens bigint")
 _NO_IDS = np.empty(0, np.int32)
+# Examples that are packed at once.
+POOL = 2000
 _caches: dict[str, TokenCache] = {}
 
 
@@ -186,10 +188,18 @@ def pack_examples(examples: Callable[[pa.RecordBatch], list[Example]], limits: L
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(limits)
         base = TaskContext.get().partitionId() << 32
+        new: list[Example] = []
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                packer.add(examples(batch.slice(at, 2000)))
-                yield packer.flush(base, with_ids)
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, POOL - len(new))
+                at += part.num_rows
+                new += examples(part)
+                if len(new) == POOL:
+                    packer.add(new)
+                    new = []
+                    yield packer.flush(base, with_ids)
+        packer.add(new)
         packer.finish()
         yield packer.flush(base, with_ids)
 

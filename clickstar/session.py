@@ -47,9 +47,13 @@ def prepare(spark: SparkSession) -> SparkSession:
     The JVM never compiles a method above 8,000 bytes of bytecode. A projection of
     many columns fused into one such method would be interpreted, several times
     slower than the same projection in smaller methods, so fusing stops there.
+
+    Batches for Python are bounded by bytes too: 10,000 whole texts may take tens of megabytes,
+    and a task holds its batches several times, in the JVM and in Python.
     """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     return spark
 
 
