@@ -15,9 +15,10 @@ expectations are whole multiples of 2^-20, so sums do not depend on how the text
 The model is languages x pieces numbers (256 kB a language with 32,000 pieces), which go
 through the driver and into the closure: its size follows the number of languages, not of texts.
 
-Words of one length are summed together in numpy, position by position; words with a spelled
-character or beyond ``LONG`` characters take their own sum of logarithms. A worker keeps the sums
-of the words it met, at most ``CACHED``, which changes work only.
+Texts are cut into words together, as arrays of code points, and each distinct word of a portion of
+texts becomes one string. Words of one length are summed together in numpy, position by position; words
+with a spelled character or beyond ``LONG`` characters take their own sum of logarithms. A worker keeps
+the sums of the words it met, at most ``CACHED`` or those of one portion, which changes work only.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; so is every text if no
 language can be learned; otherwise the score is the posterior of the language, with the
@@ -63,6 +64,35 @@ def words_of(text: str) -> list[str]:
         [run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
 
 
+_ALPHABETIC: list[np.ndarray] = []
+
+
+def alphabetic() -> np.ndarray:
+    """Whether each code point is a letter."""
+    if not _ALPHABETIC:
+        _ALPHABETIC.append(np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000))
+    return _ALPHABETIC[0]
+
+
+def words_by_text(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct words of some texts, the place there of each of their words, and each text's
+    first word: ``words_of`` over arrays of code points."""
+    lowered = [t.lower() for t in texts]
+    points = np.frombuffer(("\n".join(lowered) + "\n").encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = alphabetic()[points]
+    edges = np.flatnonzero(np.diff(letter, prepend=False))
+    starts, ends = edges[::2], edges[1::2]
+    offsets = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in lowered)]))
+    bounds = 4 * np.cumsum(np.append(0, ends - starts))
+    coded = pa.Array.from_buffers(pa.large_binary(), len(starts), [
+        None, pa.py_buffer(bounds), pa.py_buffer(points[letter])]).dictionary_encode()
+    _, bounds, letters = coded.dictionary.buffers()
+    n = len(coded.dictionary)
+    bounds = (np.frombuffer(bounds, np.int64)[:n + 1] // 4).tolist() if n else [0]
+    letters = letters.to_pybytes()[:4 * bounds[-1]].decode("utf-32-le") if n else ""
+    return ([letters[a:b] for a, b in zip(bounds, bounds[1:])], coded.indices.to_numpy(), offsets)
+
+
 class Pieces:
     """The vocabulary: pieces by text and by hash, and the pieces of single bytes."""
 
@@ -83,8 +113,9 @@ class Pieces:
         hashes = np.array([self.hash(p) for p in self.ids], np.uint64)
         order = np.argsort(hashes)
         self.hashes, self.by_hash = hashes[order], np.array([*self.ids.values()], np.int32)[order]
-        self.maybe = np.zeros(1 << 20, bool)
-        self.maybe[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
+        # by the upper 20 bits of a hash: its first place, and how many hashes have them
+        places = np.searchsorted(self.hashes >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64))
+        self.first, self.several = places[:-1].astype(np.int32), np.diff(places).astype(np.int16)
 
     FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,11 +141,16 @@ class Pieces:
         for m in range(min(n, self.longest)):
             h = self.step(h[:, :n - m], points[:, m:])
             ids = np.full(h.shape, -1, np.int32)
-            row, col = np.nonzero(self.maybe[(h >> np.uint64(44)).astype(np.int64)])
-            at = np.searchsorted(self.hashes, h[row, col])
-            at[at == len(self.hashes)] = 0
-            hit = self.hashes[at] == h[row, col]
-            ids[row[hit], col[hit]] = self.by_hash[at[hit]]
+            upper, flat = (h >> np.uint64(44)).astype(np.int32).ravel(), ids.reshape(-1)
+            left = np.flatnonzero(self.several[upper])
+            wanted, upper, k = h.ravel()[left], upper[left], 0
+            while len(left):
+                at = self.first[upper] + k
+                hit = self.hashes[at] == wanted
+                flat[left[hit]] = self.by_hash[at[hit]]
+                k += 1
+                more = ~hit & (self.several[upper] > k)
+                left, wanted, upper = left[more], wanted[more], upper[more]
             found.append(ids)
         return found
 
@@ -314,11 +350,15 @@ def count_pieces(model: Model):
                                                np.fromiter(counter.values(), np.int64, len(words)))
                 counter.clear()
 
+        def count(lang, texts):
+            words, places, _ = words_by_text(texts)
+            if sum(map(len, seen)) + len(words) > CACHED:
+                settle()
+            seen[lang].update(dict(zip(words, np.bincount(places, minlength=len(words)).tolist())))
+
         for batch in batches:
-            for text, lang in zip(batch["text"], batch["lang"]):
-                seen[number[lang.as_py()]].update(words_of(text.as_py()))
-                if sum(map(len, seen)) > CACHED:
-                    settle()
+            for lang, texts in in_portions(batch["text"], batch["lang"], number):
+                count(lang, texts)
         settle()
         lang, piece = np.nonzero(total)
         yield pa.record_batch([pa.array(lang, pa.int32()), pa.array(piece, pa.int32()),
@@ -327,6 +367,21 @@ def count_pieces(model: Model):
     return run
 
 
+def in_portions(texts: pa.Array, langs: pa.Array, number: dict[str, int]
+                ) -> Iterator[tuple[int, list[str]]]:
+    """Texts of one language at a time, of about ``PORTION`` characters at most."""
+    waiting: dict[int, list[str]] = {}
+    held: Counter = Counter()
+    for text, lang in zip(texts.to_pylist(), langs.to_pylist()):
+        lang = number[lang]
+        waiting.setdefault(lang, []).append(text)
+        held[lang] += len(text)
+        if held[lang] > PORTION:
+            yield lang, waiting.pop(lang)
+            del held[lang]
+    yield from waiting.items()
+
+
 class Scorer:
     """Scores texts; keeps the words it met."""
 
@@ -334,15 +389,14 @@ class Scorer:
         self.model, self.place, self.logs = model, {}, np.zeros((0, len(model.languages)))
 
     def portion(self, texts: list[str]) -> list[tuple[str, float]]:
-        said = [words_of(t) for t in texts]
-        new = [w for w in dict.fromkeys(w for words in said for w in words) if w not in self.place]
+        words, places, offsets = words_by_text(texts)
+        new = [w for w in words if w not in self.place]
         if len(self.place) + len(new) > CACHED:
-            self.place, self.logs = {}, self.logs[:0]
-            new = list(dict.fromkeys(w for words in said for w in words))
+            self.place, self.logs, new = {}, self.logs[:0], words
         self.place.update(zip(new, range(len(self.logs), len(self.logs) + len(new))))
         self.logs = np.vstack([self.logs, self.model.log_words([START + w for w in new])])
-        return [self.judged(np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)))
-                for words in said]
+        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))[places]
+        return [self.judged(at[a:b]) for a, b in zip(offsets, offsets[1:])]
 
     def judged(self, at: np.ndarray) -> tuple[str, float]:
         if not len(at) or not self.model.languages:

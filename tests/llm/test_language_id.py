@@ -1,6 +1,7 @@
 """Language identification against sums over listed segmentations, and on held-out documents."""
 
 import math
+import time
 import zlib
 from collections import Counter
 
@@ -158,3 +159,56 @@ def test_held_out_documents(llm):
             held += 1
             right += r.lang_pred == truth[r.doc_id]
     assert held > 150 and right >= 0.97 * held
+
+
+def test_words_of_many_texts_are_those_of_each(pieces):
+    texts = ["", "The cat, the CAT", "ΣΑΣ ΟΔΟΣ Σ", "İstanbul ẞ", "12½x²y_zⅧw", "日本語 テキスト", "\U00010437a\U0001F600b",
+             "end", "start", "éa­", "x" * 5000, "\n\t", "a\x00b", "ŉ ǅ ﷺ"]
+    words, places, offsets = language_id.words_by_text(texts)
+    assert len(set(words)) == len(words)
+    got = [[words[i] for i in places[a:b]] for a, b in zip(offsets, offsets[1:])]
+    assert got == [language_id.words_of(t) for t in texts]
+    for none in ([], [""], ["12 !", "_"]):
+        words, places, offsets = language_id.words_by_text(none)
+        assert words == [] and len(places) == 0 and offsets.tolist() == [0] * (len(none) + 1)
+
+
+def test_pieces_at_each_place(pieces):
+    words = [START + w for w in ("house", "straß", "xqzjk", "łódźa")]
+    for m, found in enumerate(pieces.ids_of(words), 1):
+        for word, row in zip(words, found):
+            assert row[:len(word) - m + 1].tolist() == [
+                pieces.ids.get(word[i:i + m], -1) for i in range(len(word) - m + 1)]
+
+
+def test_a_worker_spends_little_on_repeated_words():
+    """Cutting texts and counting their words takes less time than text by text."""
+    texts = [" ".join(f"word{chr(97 + i % 26)}{chr(97 + j % 26)} the" for j in range(1000)) for i in range(300)]
+    language_id.words_by_text(texts[:1])
+    began = time.process_time()
+    words, places, _ = language_id.words_by_text(texts)
+    counts = dict(zip(words, np.bincount(places).tolist()))
+    together = time.process_time() - began
+    plain = Counter()
+    for t in texts:
+        plain.update(language_id.words_of(t))
+    assert counts == plain
+    assert together < 0.8 * (time.process_time() - began - together)
+
+
+def test_tasks_that_settle_often_learn_the_same(llm, monkeypatch):
+    """Few cached words and small portions change work only."""
+    docs = read(llm, "/root/testdata/sf0.001", "documents", "text", "lang").where(
+        "text IS NOT NULL AND lang IS NOT NULL").toArrow().combine_chunks().to_batches()
+    languages = sorted(set(docs[0]["lang"].to_pylist()))
+    size = Pieces(default_vocabulary()).size
+    model = Model(default_vocabulary(), languages, np.full((size, len(languages)), 1 / size),
+                  np.ones(len(languages)))
+    whole = [b.to_pydict() for b in language_id.count_pieces(model)(iter(docs))]
+    texts = docs[0]["text"].to_pylist()
+    scored = language_id.Scorer(model).portion(texts)
+    monkeypatch.setattr(language_id, "CACHED", 500)
+    monkeypatch.setattr(language_id, "PORTION", 3000)
+    assert [b.to_pydict() for b in language_id.count_pieces(model)(iter(docs))] == whole
+    scorer = language_id.Scorer(model)
+    assert [scorer.portion([t])[0] for t in texts] == scored
