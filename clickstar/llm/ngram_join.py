@@ -14,7 +14,7 @@ tokens of passages that many documents share, which would make long lists of can
 Steps: (1) one pass over the texts gives each document its set's class (a 64-bit hash) and
 size, and the counts; equal sets are one node from here on. (2) A second pass emits prefix
 tokens; those of a single class go, the rest are the lists. A candidate pair first compares the
-shapes of its sets, 128 counts each, which bound their difference from below; whole sets are
+shapes of its sets, 128 counts or one for 16 tokens, which bound their difference from below; whole sets are
 made again from the texts for the classes that are left, which a bit filter of fixed size picks
 before anything is shuffled, and meet for the prefixes of the other two orders and, if those
 share a token each, for the overlap itself.
@@ -68,11 +68,27 @@ def bucket(tokens: np.ndarray) -> np.ndarray:
 
 
 def shape(tokens: np.ndarray) -> bytes:
-    """How many tokens of a set lie in each of SHAPE_PARTS parts of the hashes, up to 255."""
-    counts = np.bincount((tokens & np.uint64(SHAPE_PARTS - 1)).astype(np.int64), minlength=SHAPE_PARTS)
+    """How many tokens of a set lie in each of SHAPE_PARTS parts of the hashes, up to 255.
+
+    Large sets have more parts, a power of two times as many, with 16 tokens each at most on average:
+    in fewer parts the counts of any two of them are close by chance.
+    """
+    parts = max(SHAPE_PARTS, 1 << (-(-len(tokens) // 16) - 1).bit_length())
+    counts = np.bincount((tokens & np.uint64(parts - 1)).astype(np.int64), minlength=parts)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def folded(shapes: list[bytes], parts: int) -> np.ndarray:
+    """The counts that shapes of at least ``parts`` parts have in ``parts``, a row each."""
+    lengths = np.fromiter(map(len, shapes), np.int64, len(shapes))
+    out = np.empty((len(shapes), parts), np.int16)
+    for length in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == length)
+        counts = np.frombuffer(b"".join([shapes[i] for i in at]), np.uint8)
+        out[at] = np.minimum(counts.reshape(len(at), -1, parts).sum(axis=1, dtype=np.int64), 255)
+    return out
+
+
 def alike(percent: int):
     """The pairs (a, b, n_a, shape_a, n_b, shape_b) whose shapes leave a link possible, as (a, b).
 
@@ -81,16 +97,17 @@ def alike(percent: int):
     """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-    def counts(column: pa.Array) -> np.ndarray:
-        joined = b"".join(column.to_pylist())
-        return np.frombuffer(joined, np.uint8).reshape(-1, SHAPE_PARTS).astype(np.int16)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             both = batch["n_a"].to_numpy().astype(np.int64) + batch["n_b"].to_numpy()
-            apart = np.abs(counts(batch["shape_a"]) - counts(batch["shape_b"])).sum(axis=1)
+            a, b = batch["shape_a"].to_pylist(), batch["shape_b"].to_pylist()
+            parts = np.minimum(*[np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b)])
+            apart = np.empty(len(a), np.int64)
+            for n in np.unique(parts).tolist():
+                at = np.flatnonzero(parts == n)
+                apart[at] = np.abs(folded([a[i] for i in at], n) - folded([b[i] for i in at], n)).sum(axis=1)
             keep = pa.array(apart * (100 + percent) <= both * (100 - percent))
             yield pa.record_batch([batch["a"].filter(keep), batch["b"].filter(keep)], schema=schema)
 
@@ -181,6 +198,15 @@ def only(column: int, wanted: np.ndarray):
     return run
 
 
+def let_through(wanted: np.ndarray):
+    """``passes`` as a Column function: of the rows only the tested column goes to Python."""
+    @F.arrow_udf("boolean")
+    def run(values: pa.Array) -> pa.Array:
+        return pa.array(passes(wanted, values.to_numpy()))
+
+    return run
+
+
 def chosen_sets(width: int, wanted: np.ndarray):
     """(text) to one row (class, n, tokens) of each class that the filter lets through."""
     schema = pa.schema([("class", pa.int64()), ("n", pa.int32()), ("tokens", pa.list_(pa.int64()))])
@@ -437,7 +463,8 @@ def one_per_group(docs: DataFrame, membership: DataFrame, scratch: Scratch) -> D
 
     It has the group's smallest id, or none if no row has one. Rows without words are groups
     of their own; of those that share an id and a text one stays, those without an id all
-    stay. Only rows that a group loses are joined.
+    stay. Only rows that a group loses are joined; a filter of their keys picks them first, so
+    that the texts of the others, most of all, are not shuffled for the join.
     """
     first = (F.col("doc_id").eqNullSafe(F.col("component_id"))
              & (F.col("text_key") == F.col("component_key")))
@@ -445,10 +472,15 @@ def one_per_group(docs: DataFrame, membership: DataFrame, scratch: Scratch) -> D
         F.col("doc_id").alias("_near_id"), F.col("text_key").alias("_near_key")).agg(
         F.count("*").alias("_near_rows"), F.max(first).alias("_near_first"))
     marks = scratch.keep(per_row.where("_near_rows > 1 OR NOT _near_first"), "marks")
-    joined = docs.withColumn("_near_text", text_key()).join(
+    marked = let_through(filter_bits(marks.select(
+        F.xxhash64("_near_id", "_near_key").alias("key"))))
+    keyed = docs.withColumn("_near_text", text_key()).withColumn(
+        "_near_mark", marked(F.xxhash64(F.col("doc_id").cast("bigint"), "_near_text")))
+    joined = keyed.where("_near_mark").join(
         marks, F.col("doc_id").eqNullSafe(F.col("_near_id"))
         & (F.col("_near_text") == F.col("_near_key")), "left")
-    kept = joined.where("_near_rows IS NULL")
+    kept = keyed.where("NOT _near_mark").unionByName(
+        joined.where("_near_rows IS NULL"), allowMissingColumns=True)
     if not marks.where("_near_rows > 1 AND _near_first").isEmpty():
         repeated = joined.where("_near_rows > 1 AND _near_first")
         kept = kept.unionByName(repeated.dropDuplicates(["_near_id", "_near_key"]))

@@ -326,6 +326,25 @@ def test_shapes_never_part_a_link(percent):
     assert len(kept - {k for k, link in enumerate(links) if link}) < 250
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_shapes_tell_large_sets_apart(percent):
+    """Large sets that met by chance do not pass; links do, whatever the sizes and the parts."""
+    rng = np.random.default_rng(percent)
+    new = lambda n: rng.integers(0, 2 ** 63, n, np.uint64)
+    pairs, links = [], set()
+    for k, n in enumerate([*rng.integers(2000, 30_000, 60).tolist(), 2040, 4090, 8190]):
+        x = np.unique(new(n))
+        y = np.unique(np.concatenate([x[n // 50:], new(n // 50 + k % 2 * 40)]) if k % 3 == 0 or k >= 60 else new(n))
+        if k % 3 == 0 or k >= 60:
+            links.add(k)
+        pairs.append((k, -k, len(x), ngram_join.shape(x), len(y), ngram_join.shape(y)))
+    heavy = np.arange(1, 400, dtype=np.uint64) << np.uint64(20)  # one part holds all of them
+    pairs.append((99, -99, 399, ngram_join.shape(heavy), 399, ngram_join.shape(heavy)))
+    batch = pa.RecordBatch.from_pydict(dict(zip(("a", "b", "n_a", "shape_a", "n_b", "shape_b"), zip(*pairs))))
+    (kept,) = ngram_join.alike(percent)(iter([batch]))
+    assert set(kept["a"].to_pylist()) == links | {99}
+
+
 def test_ngram_join_follows_chains_and_hot_passages(llm, scratch):
     """A chain whose ends do not link, in any id order, beside a passage that all texts hold."""
     base = [f"c{i}" for i in range(200)]
@@ -374,6 +393,33 @@ def test_one_row_of_each_group_stays_whatever_the_ids(llm, scratch):
     assert len(got) == len(fixed) + 2
 
 
+def test_texts_of_kept_rows_are_not_shuffled(llm, scratch):
+    """Without broadcasts, the rows shuffled beside the marks are those that their groups lose."""
+    path = f"{scratch.root}/docs"
+    llm.range(300).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("text "), F.when(F.col("id") % 10 == 3, 0).otherwise(F.col("id"))).alias("text")).write.parquet(path)
+    docs = llm.read.parquet(path)
+    groups = scratch.keep(ngram_join.near_duplicates(docs, scratch), "groups")
+    set_to = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: llm.conf.get(k) for k in set_to}
+    try:
+        for k, v in set_to.items():
+            llm.conf.set(k, v)
+        kept = ngram_join.one_per_group(docs, groups, scratch)
+        ids = {r.doc_id for r in kept.collect()}
+    finally:
+        for k, v in before.items():
+            llm.conf.set(k, v)
+    assert ids == {i for i in range(300) if i % 10 != 3}
+    moved, left = [], [kept._jdf.queryExecution().executedPlan()]
+    while left:
+        node = left.pop()
+        if node.nodeName() == "Exchange" and "_near_text" in node.output().mkString():
+            moved.append(node.metrics().apply("shuffleRecordsWritten").value())
+        left += [node.children().apply(i) for i in range(node.children().size())]
+    assert moved == [30]
+
+
 # --- 5 toxicity ------------------------------------------------------------------------------------
 
 
