@@ -110,6 +110,7 @@ class Packer:
     def fill(self) -> None:
         waiting = sorted(self.waiting, key=lambda p: -p.tokens)
         weight = np.array([(p.tokens, 1, p.loss) for p in waiting], np.float64).reshape(-1, 3)
+        sides = np.ascontiguousarray(weight.T)
         here = np.ones(len(waiting), bool)
         shares = self.limits.shares()
         total, first = int(weight[:, 0].sum()), 0
@@ -119,7 +120,9 @@ class Packer:
             while left[0] >= 1 and left[1] >= 1:
                 while first < len(here) and not here[first]:
                     first += 1
-                fits = here[first:] & (weight[first:] <= left).all(axis=1)
+                fits = here[first:].copy()
+                for side, most in zip(sides, left):
+                    fits &= side[first:] <= most
                 if fits.any():
                     gain = weight[first:] @ (left * shares * shares)
                     at = first + int(np.argmax(np.where(fits, gain, -1.0)))
@@ -137,6 +140,7 @@ class Packer:
                 rest = Piece(piece.example, piece.start + n, piece.end)
                 left -= np.array([n, 1, taken[-1].loss])
                 waiting[first], weight[first] = rest, (rest.tokens, 1, rest.loss)
+                sides[:, first] = weight[first]
             total -= sum(p.tokens for p in taken)
             self.close(taken)
         self.waiting = [p for p, h in zip(waiting, here) if h]

@@ -3,9 +3,11 @@
 The tokenizer lower-cases, drops white space and splits a text into letter runs, single
 digits, contractions and runs of other signs before it merges inside each of these. So a
 text of Latin script is cut by the same rules over arrays of code points, words are looked
-up by a 64-bit hash of their lower-case form, and only words not met before go through the
-tokenizer, many at once: each word's last id is one that ends a word, which tells where the
-next one begins. Any other text goes through the tokenizer whole.
+up by a 64-bit hash of their lower-case form, and only words not met before are encoded. Those of
+ASCII signs need no normalizing, as their bytes stand for themselves in the vocabulary: the
+tokenizer's model merges each. Others go through the tokenizer, many at once: each word's last
+id is one that ends a word, which tells where the next one begins. Any other text goes through
+the tokenizer whole.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ SPACE, LETTER, DIGIT, SIGN = 0, 1, 2, 3
 # Texts with anything but these signs and letters take the tokenizer's own path.
 OTHER_SCRIPT = re.compile("[^\\t\\n\\r\\x20-\\x7e\\xa1-\\u012f\\u0131-\\u0239\\u023c-\\u023d\\u023f-\\u024f]"
                           "|<\\|(?:start|end)oftext\\|>")
+# The same for texts of ASCII signs, as bytes.
+PLAIN_ASCII = bytes([9, 10, 13, *range(0x20, 0x7f)])
 CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
 CHUNK = 1 << 18
 
@@ -47,6 +51,13 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 KINDS, LOWER = _tables()
 
 
+def other_script(text: str) -> bool:
+    """Whether OTHER_SCRIPT is found; texts of ASCII signs are told without going letter by letter."""
+    if text.isascii() and "<|" not in text:
+        return bool(text.encode().translate(None, PLAIN_ASCII))
+    return OTHER_SCRIPT.search(text) is not None
+
+
 def cut(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the words of one array of lower-case code points."""
     kind = KINDS[np.minimum(points, LIMIT - 1)]
@@ -75,6 +86,7 @@ class TokenCache:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.most = most
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -115,12 +127,24 @@ class TokenCache:
             left = left[(self.slots[at[left]] != numbers[left])]
             at[left] = (at[left] + 1) & (self.size - 1)
 
-    def add(self, keys: np.ndarray, words: list[str]) -> None:
-        if self.n + len(keys) > self.most:
+    def add(self, keys: np.ndarray, words: list[str]) -> bool:
+        """Whether the table had to be emptied before."""
+        emptied = self.n + len(keys) > self.most
+        if emptied:
             self.clear()
-        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids,
-                       np.int32)
-        ends = np.flatnonzero(self.ends_word[ids]) + 1
+        plain, ends, rest = [], [], []
+        for at, word in enumerate(words):
+            if word.isascii():
+                plain += [token.id for token in self.model.tokenize(word)]
+                ends.append(len(plain))
+            else:
+                rest.append(at)
+        keys = np.concatenate([np.delete(keys, rest), keys[rest]])
+        rest_ids = np.array(self.tokenizer.encode(
+            " ".join([words[at] for at in rest]), add_special_tokens=False).ids, np.int32)
+        ids = np.concatenate([np.array(plain, np.int32), rest_ids])
+        ends = np.concatenate([np.array(ends, np.int64),
+                               len(plain) + np.flatnonzero(self.ends_word[rest_ids]) + 1])
         if len(ends) != len(words):
             raise RuntimeError("the tokenizer cut a word in two")
         n, filled = self.n + len(keys), self.filled + len(ids)
@@ -142,6 +166,7 @@ class TokenCache:
             self.place(old_keys, old_numbers)
         self.place(keys, numbers)
         self.n, self.filled = n, filled
+        return emptied
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """The ids of each text, without special tokens."""
@@ -149,7 +174,7 @@ class TokenCache:
         run, held = [], 0
         for text in texts:
             text = text or ""
-            if OTHER_SCRIPT.search(text):
+            if other_script(text):
                 out += self.encode_run(run)
                 run, held = [], 0
                 out.append(np.array(self.tokenizer.encode(
@@ -181,9 +206,14 @@ class TokenCache:
             new, first = np.unique(keys[missing], return_index=True)
             lowered = points.astype("<u4").tobytes().decode("utf-32-le")
             at = missing[first]
-            self.add(new, [lowered[a:b] for a, b in zip(starts[at], ends[at])])
-            found = self.find(keys)
-            if (found < 0).any():  # the table was emptied meanwhile
+            emptied = self.add(new, [lowered[a:b] for a, b in zip(starts[at].tolist(),
+                                                                  ends[at].tolist())])
+            # words found before are gone if the table was emptied meanwhile
+            if emptied:
+                found = self.find(keys)
+            else:
+                found[missing] = self.find(keys[missing])
+            if (found < 0).any():
                 return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.int32)
                         for t in texts]
         lengths = self.length[found]

@@ -108,6 +108,36 @@ def test_token_ids_equal_the_tokenizers(text):
         assert got.tolist() == cache.tokenizer.encode(one, add_special_tokens=False).ids
 
 
+def test_ascii_words_need_no_normalizing(monkeypatch):
+    """Words of ASCII signs reach the tokenizer's model only, with the ids of the whole tokenizer."""
+    from clickstar.llm import token_ids
+
+    rng = np.random.default_rng(4)
+    signs = [chr(c) for c in [9, 10, 13, *range(0x20, 0x7f)]]
+    texts = ["".join(rng.choice(signs, 300)) for _ in range(40)]
+    texts += ["</w> a</w>b <| |> <|endoftext|", "it's we'LL 12.5 x" + "y" * 500, "Zürich été the end"]
+    cache = token_ids.TokenCache(packing.tokenizer_path())
+    whole, given = cache.tokenizer, []
+
+    class Noted:
+        def encode(self, text, **options):
+            given.append(text)
+            return whole.encode(text, **options)
+
+    cache.tokenizer = Noted()
+    for text, ids in zip(texts, cache.encode(texts)):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert " ".join(sorted(" ".join(given).split())) == "zürich été"
+
+
+@pytest.mark.parametrize("text", ["", "a b", "a\x0bb", "a\x7f", "\x00", "\t\r\n ~", "<|startoftext|>", "<|x",
+                                  "é", "日", "\x85", "é<|endoftext|>"])
+def test_texts_for_the_tokenizer_alone(text):
+    from clickstar.llm import token_ids
+
+    assert token_ids.other_script(text) == bool(token_ids.OTHER_SCRIPT.search(text))
+
+
 # --- 2 mixing ------------------------------------------------------------------------------
 
 
